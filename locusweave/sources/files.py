@@ -168,8 +168,13 @@ def read_motif_matrix(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_peak_hits(spark: SparkSession, directory: str) -> DataFrame:
-    """Per-position peak tables ``<prefix>_<chr>:<pos>.txt`` with the position taken from the file name."""
-    rows = _csv(spark, schemas.PEAK_HIT, True, glob="*.txt").csv(directory)
+    """Per-position peak tables ``<prefix>_<chr>:<pos>.txt`` with the position taken from the file name.
+
+    The checksum layer over local files cannot open names with a colon, so local
+    paths are read without it; other file systems ignore the two options.
+    """
+    raw_local = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+    rows = _csv(spark, schemas.PEAK_HIT, True, glob="*.txt", **raw_local).csv(directory)
     locus = F.regexp_extract(_file_name(), r"([^_]+:\d+)\.txt$", 1)
     return rows.select(
         chrom_number(F.split_part(locus, F.lit(":"), F.lit(1))).alias("chr"),

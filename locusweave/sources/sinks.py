@@ -15,8 +15,13 @@ def safe_name(name: Column) -> Column:
     return F.btrim(F.translate(name, UNSAFE_IN_NAMES, ""), F.lit(TRIMMED_FROM_NAMES))
 
 
+# Plain tab-separated text: no quoting, nulls and empty texts as nothing. The comment
+# character is moved away from ``#``, or a header such as ``#Chrom`` would be quoted.
+TSV = {"sep": "\t", "header": "true", "quote": "\u0000", "comment": "\u0001", "nullValue": "", "emptyValue": ""}
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("sep", "\t").option("header", True).option("nullValue", "").csv(path)
+    df.write.mode(mode).options(**TSV).csv(path)
 
 
 def write_partitioned(
@@ -31,7 +36,7 @@ def write_partitioned(
     rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     writer = rows.write.mode(mode).partitionBy(by)
     if file_format == "csv":
-        writer = writer.option("sep", "\t").option("header", True)
+        writer = writer.options(**TSV)
     writer.format(file_format).save(path)
 
 
@@ -49,7 +54,7 @@ def write_by_region(members: DataFrame, path: str, mode: str = "errorifexists")
 def write_vcf_chunks(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Predictor input, one folder per chunk. A chunk is one sorted file, small by construction."""
     plain = rows.repartition("chunk").sortWithinPartitions("chunk", "ordinal").drop("ordinal")
-    plain.write.mode(mode).partitionBy("chunk").option("sep", "\t").option("header", True).csv(path)
+    plain.write.mode(mode).partitionBy("chunk").options(**TSV).csv(path)
 
 
 def land_results(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -1,0 +1,38 @@
+import pytest
+
+from conftest import rows
+from locusweave import schemas
+from locusweave.operators import hits, quality
+
+
+def test_locus_report(spark):
+    data = ["chr1:5", "2:77", "chrX:1", "chr1-5", "1:", None, "chr1:5 "]
+    got = quality.locus_quality(spark.createDataFrame([(d,) for d in data], "l string"), "l").first()
+    assert got.asDict() == dict(num_rows=7, num_missing=1, num_valid=3, num_malformed=3, num_prefixed=2)
+
+
+def test_unmatched_and_unparsed(spark):
+    results = spark.createDataFrame([("rs1", 0.1, 30.0, "t"), ("rs2", 0.1, 30.0, "t"), ("rs9", 0.1, 30.0, "u")],
+                                    "ID string, beta double, chi2 double, phenotype string")
+    info = spark.createDataFrame([("rs1", "chr1:5", "A", "G", 0.1, 0.9), ("rs2", "chr1-5", "A", "G", 0.1, 0.9)],
+                                 "ID string, Marker string, OA string, EA string, EAF double, Info double")
+    assert rows(quality.unmatched_hits(results, info)) == [("u", 1)]
+    assert rows(quality.unparsed_markers(hits.annotate(results, info))) == [("t", 1)]
+
+
+def test_sample_overlap_counts_each_id_once(spark):
+    a = spark.createDataFrame([(1,), (1,), (2,)], "sample_id bigint")
+    b = spark.createDataFrame([(2,), (3,), (3,)], "sample_id bigint")
+    assert rows(quality.sample_overlap(a, b)) == [(2, 2, 1)]
+    assert rows(quality.shared_samples(a, b)) == [(2,)]
+    quality.require_shared(a, b)
+    with pytest.raises(ValueError, match="shared"):
+        quality.require_shared(a, b.filter("sample_id = 3"))
+
+
+def test_column_checks_raise_before_any_job(spark):
+    df = spark.range(1)
+    with pytest.raises(ValueError, match="missing_one"):
+        schemas.require_columns(df, ["id", "missing_one"])
+    with pytest.raises(ValueError, match="14 columns"):
+        schemas.require_width(df, 14)

@@ -1,0 +1,77 @@
+"""One key holding most rows: results stay whole, and the work of the key is split."""
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from locusweave.operators import hits, regions, tf_binding
+
+SMALL_SKEW = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20000",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "20000",
+    "spark__sql__adaptive__coalescePartitions__enabled": "false",
+}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_hot_variant_is_split_in_the_annotation_join(spark, conf):
+    conf(**SMALL_SKEW)
+    n = F.col("id")
+    results = spark.range(0, 60_000, 1, 8).select(
+        F.when(n % 3 > 0, "rs0").otherwise(F.concat(F.lit("rs"), n)).alias("ID"), (n * 0.5).alias("beta"),
+        F.lit(40.0).alias("chi2"), F.concat(F.lit("t"), n % 50).alias("phenotype"))
+    info = spark.range(0, 60_000, 1, 8).select(
+        F.concat(F.lit("rs"), n).alias("ID"), F.concat(F.lit("chr1:"), n + 1).alias("Marker"), F.lit("A").alias("OA"),
+        F.lit("G").alias("EA"), F.lit(0.1).alias("EAF"), F.lit(0.9).alias("Info"))
+    got = hits.significant_hits(results, info)
+    assert len(got.collect()) == 60_000
+    assert "skew=true" in _plan(got)
+    assert got.filter("position IS NULL").count() == 0
+
+
+def test_hot_locus_is_combined_before_the_region_shuffle(spark):
+    n = F.col("id")
+    found = spark.range(0, 50_000, 1, 8).select(
+        F.concat(F.lit("rs"), n).alias("ID"), F.lit(0.1).alias("beta"), (30 + n % 7).cast("double").alias("chi2"),
+        (1 / (30 + n % 7)).alias("pval"), F.lit("m").alias("Marker"), F.lit(1).alias("chromosome"),
+        F.when(n % 3 > 0, 1_000).otherwise(1_000 + n * 50).cast("bigint").alias("position"), F.lit("A").alias("OA"),
+        F.lit("G").alias("EA"), F.lit(0.1).alias("EAF"), F.lit(0.9).alias("Info"), F.concat(F.lit("t"), n % 5).alias("phenotype"))
+    got = regions.hit_regions(found, None, 100)
+    assert got.agg(F.sum("num_included_variants")).first()[0] == 50_000
+    first = got.orderBy("chromStart").first()
+    assert first.num_included_variants > 33_000 and first.num_phenotypes == 5
+    assert "partial_count" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stacked_peaks_are_split_by_bin(spark, conf, monkeypatch):
+    conf(**SMALL_SKEW)
+    monkeypatch.setattr(tf_binding, "fits_broadcast", lambda *a, **k: False)
+    n = F.col("id")
+    peaks = spark.range(0, 60_000, 1, 8).select(
+        F.lit(1).alias("chromosome"), F.when(n % 2 == 0, 5_000).otherwise(n * 300).alias("peak_start"),
+        (F.when(n % 2 == 0, 5_000).otherwise(n * 300) + 400).alias("peak_end"),
+        F.concat(F.lit("S"), n, F.lit(".TF.bio")).alias("name"), n.alias("thick_start"), (n + 1).alias("thick_end"))
+    loci = spark.createDataFrame([(1, 5_200), (1, 5_300), (1, 900_050)], "chromosome int, position bigint")
+    got = tf_binding.peak_overlap(loci, peaks)
+    assert len(got.collect()) == 30_000 * 2 + 0 + peaks.filter("peak_start < 900050 AND peak_end >= 900050").count() + \
+        2 * 0 + peaks.filter("peak_start <> 5000 AND peak_start < 5200 AND peak_end >= 5200").count() + \
+        peaks.filter("peak_start <> 5000 AND peak_start < 5300 AND peak_end >= 5300").count()
+    assert "skew=true" in _plan(got)
+
+
+def test_hot_variant_sends_one_row_per_task_to_the_ranking(spark):
+    n = F.col("id")
+    table = spark.range(0, 40_000, 1, 8).select(
+        F.when(n % 3 > 0, "rs0").otherwise(F.concat(F.lit("rs"), n)).alias("ID"), F.lit(0.1).alias("beta"),
+        n.cast("double").alias("chi2"), (1 / (n + 1)).alias("pval"), F.lit("m").alias("Marker"), F.lit(1).alias("chromosome"),
+        n.alias("position"), F.lit("A").alias("OA"), F.lit("G").alias("EA"), F.lit(0.1).alias("EAF"), F.lit(0.9).alias("Info"),
+        F.concat(F.lit("t"), n).alias("phenotype"))
+    best = hits.best_per_variant(table)
+    assert rows(best.filter("ID = 'rs0'"), "position") == [(39_998,)]
+    plan = _plan(best)
+    assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")

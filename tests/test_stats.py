@@ -1,0 +1,90 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from locusweave.functions import stats
+from locusweave.operators.association import with_hwe
+
+
+def test_chi2_survival_against_erfc(spark):
+    values = np.concatenate([np.linspace(1e-6, 40, 3000), np.linspace(40, 1370, 1500)]).tolist()
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for x, p in df.select("x", stats.chi2_sf(F.col("x"))).collect():
+        assert p == pytest.approx(math.erfc(math.sqrt(x / 2)), rel=2e-13)
+
+
+def test_chi2_survival_edges(spark):
+    df = spark.createDataFrame([(0.0,), (-3.0,), (None,), (5000.0,)], "x double")
+    assert [r[0] for r in df.select(stats.chi2_sf(F.col("x"))).collect()] == [1.0, 1.0, None, 0.0]
+
+
+def test_chi2_survival_stays_in_generated_code(spark):
+    plan = spark.range(10).select(stats.chi2_sf(F.col("id").cast("double")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
+@pytest.mark.parametrize("p, chi2", [
+    (1e-4, 15.136705226623398), (1e-6, 23.928126976934827), (5e-8, 29.71678548976309), (1e-11, 46.32847615645834)])
+def test_chi2_thresholds(p, chi2):
+    assert stats.chi2_isf(p) == pytest.approx(chi2, rel=1e-13)
+    assert math.erfc(math.sqrt(stats.chi2_isf(p) / 2)) == pytest.approx(p, rel=1e-12)
+
+
+def test_ln_factorial(spark):
+    values = list(range(0, 200)) + [1000, 19999, 10**6]
+    df = spark.createDataFrame([(v,) for v in values], "n bigint")
+    for n, got in df.select("n", stats.ln_factorial(F.col("n"))).collect():
+        assert got == pytest.approx(math.lgamma(n + 1), rel=2e-12, abs=2e-12)
+
+
+def test_student_t_closed_forms():
+    t = np.array([0, 0.1, 1, 2, 5, 50, 1e3, -2.0])
+    one = np.array([1 - 2 / math.pi * math.atan(abs(v)) for v in t])
+    two = np.array([1 - abs(v) / math.sqrt(2 + v * v) for v in t])
+    assert stats.student_t_two_sided(t, np.full(8, 1.0)) == pytest.approx(one, abs=1e-14)
+    assert stats.student_t_two_sided(t, np.full(8, 2.0)) == pytest.approx(two, abs=1e-14)
+
+
+def test_student_t_against_quadrature_and_far_tail():
+    for dof in (5, 100, 3000):
+        grid = np.linspace(2.5, 400, 4_000_001)
+        log_c = math.lgamma((dof + 1) / 2) - math.lgamma(dof / 2) - 0.5 * math.log(dof * math.pi)
+        density = np.exp(log_c - (dof + 1) / 2 * np.log1p(grid**2 / dof))
+        area = 2 * np.sum((density[1:] + density[:-1]) / 2) * (grid[1] - grid[0])
+        got = stats.student_t_two_sided(np.array([2.5]), np.array([float(dof)]))[0]
+        assert got == pytest.approx(area, rel=1e-6)
+    assert 0 < stats.student_t_two_sided(np.array([37.0]), np.array([1e6]))[0] < 1e-290
+    assert np.isnan(stats.student_t_two_sided(np.array([1.0, np.nan]), np.array([0.0, 5.0]))).all()
+
+
+def test_student_t_udf_keeps_nulls(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (None, 3.0), (2.0, 0.0)], "t double, d double")
+    assert [r[0] for r in df.select(stats.student_t_p("t", "d")).collect()] == [pytest.approx(0.5), None, None]
+
+
+def _hwe_by_recurrence(ref, het, var):
+    n, minor = ref + het + var, min(2 * ref + het, 2 * var + het)
+    weight = {}
+    for h in range(minor % 2, minor + 1, 2):
+        a = (minor - h) // 2
+        weight[h] = math.exp(h * math.log(2) - math.lgamma(a + 1) - math.lgamma(h + 1) - math.lgamma(n - a - h + 1)
+                             + math.lgamma(n + 1) + math.lgamma(minor + 1) + math.lgamma(2 * n - minor + 1)
+                             - math.lgamma(2 * n + 1))
+    return sum(w for w in weight.values() if w <= weight[het] * (1 + 1e-8)), weight[het]
+
+
+def test_hwe_exact_and_mid_p(spark):
+    triples = [(57, 78, 50), (298, 489, 213), (5, 0, 95), (0, 0, 10), (10, 0, 0), (1, 1, 0), (3000, 4100, 1500)]
+    counts = spark.createDataFrame(
+        [(f"v{i}", *t) for i, t in enumerate(triples)], "ID string, n_hom_ref bigint, n_het bigint, n_hom_var bigint")
+    exact = {r["ID"]: r["p_hwe"] for r in with_hwe(counts, mid_p=False).collect()}
+    mid = {r["ID"]: r["p_hwe"] for r in with_hwe(counts, mid_p=True).collect()}
+    for i, triple in enumerate(triples):
+        p, observed = _hwe_by_recurrence(*triple)
+        assert exact[f"v{i}"] == pytest.approx(min(p, 1.0), rel=1e-8)
+        assert mid[f"v{i}"] == pytest.approx(p - observed / 2, rel=1e-8)
+    assert [round(exact[f"v{i}"], 6) for i in range(2)] == [0.039005, 0.655663]
+    assert exact["v2"] == pytest.approx(3.35341e-09, rel=1e-5)
+    assert mid["v0"] == pytest.approx(0.033174, abs=1e-6)
