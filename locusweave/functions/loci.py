@@ -10,7 +10,7 @@ LAST_CHROMOSOME = 25
 
 
 def strip_chr(chrom: Column) -> Column:
-    return F.regexp_replace(chrom.cast("string"), "^chr", "")
+    return F.replace(chrom.cast("string"), F.lit("chr"), F.lit(""))
 
 
 def add_chr(chrom: Column) -> Column:
@@ -19,13 +19,17 @@ def add_chr(chrom: Column) -> Column:
 
 
 def chrom_number(chrom: Column) -> Column:
-    """1..22, X=23, Y=24, M=25 from names with or without ``chr``; other contigs give null."""
+    """1..22, X=23, Y=24, M=25 from names with or without ``chr``; other contigs give null.
+
+    The input appears once in the expression, so a filter on the result that is
+    pushed below the projection does not evaluate it again and again. A name that
+    merely contains one of the letters becomes a number outside the table.
+    """
     name = strip_chr(chrom)
-    number = (
-        F.when(name == "X", 23).when(name == "Y", 24).when(name.isin("M", "MT"), 25)
-        .otherwise(name.try_cast("int"))
-    )
-    return F.when(number.between(1, LAST_CHROMOSOME), number)
+    for letter, number in (("X", "23"), ("Y", "24"), ("MT", "25"), ("M", "25")):
+        name = F.replace(name, F.lit(letter), F.lit(number))
+    numbers = F.array(F.lit(None).cast("int"), *[F.lit(n) for n in range(1, LAST_CHROMOSOME + 1)])
+    return F.get(numbers, name.try_cast("int"))
 
 
 def chrom_name(number: Column) -> Column:

@@ -28,7 +28,7 @@ def annotate(results: DataFrame, variant_info: DataFrame) -> DataFrame:
     info = parse_marker(variant_info.select("ID", "Marker", "OA", "EA", "EAF", "Info"))
     return (
         results.join(info, "ID", "left")
-        .withColumn("pval", chi2_sf(F.col("chi2")))
+        .withColumn("pval", chi2_sf("chi2"))
         .select(*SUMSTATS_COLUMNS)
     )
 

@@ -11,7 +11,7 @@ from locusweave.functions.loci import chrom_name, chrom_number, locus_text, pars
 from locusweave.functions.stats import chi2_sf
 from locusweave.operators import association, eqtl, hits, quality, regions, tf_binding
 from locusweave.plans.fixtures import Tables
-from locusweave.session import tune
+from locusweave.session import settle, tune
 from locusweave.sources.files import cell_type_from_filename, gene_name, phenotype_from_filename
 
 TEMPLATE_TRAIT = "trait_0"
@@ -32,8 +32,8 @@ def _hits(t: Tables) -> DataFrame:
     return hits.significant_hits(t.gwas, t.vi)
 
 
-def _regions(t: Tables) -> DataFrame:
-    return regions.hit_regions(_hits(t), t.genes, WINDOW_BUFFER)
+def _regions(t: Tables, found: DataFrame | None = None) -> DataFrame:
+    return regions.hit_regions(_hits(t) if found is None else found, t.genes, WINDOW_BUFFER)
 
 
 def _combined(t: Tables) -> DataFrame:
@@ -82,7 +82,7 @@ def normalized_chromosomes(t: Tables) -> DataFrame:
 
 
 def chi2_pvalue(t: Tables) -> DataFrame:
-    return t.gwas.select("ID", "phenotype", nine_digits(chi2_sf(F.col("chi2"))).alias("pval"))
+    return t.gwas.select("ID", "phenotype", nine_digits(chi2_sf("chi2")).alias("pval"))
 
 
 def significant_hits(t: Tables) -> DataFrame:
@@ -122,7 +122,8 @@ def hit_regions_no_genes(t: Tables) -> DataFrame:
 
 
 def region_hits(t: Tables) -> DataFrame:
-    return _short_pval(regions.region_hits(_regions(t), _hits(t)))
+    found = settle(_hits(t))
+    return _short_pval(regions.region_hits(_regions(t, found), found))
 
 
 def nearest_gene(t: Tables) -> DataFrame:
@@ -242,7 +243,7 @@ def _rounded_fits(fits: DataFrame) -> DataFrame:
 
 
 def genomic_inflation(t: Tables) -> DataFrame:
-    table = t.gwas.select("phenotype", chi2_sf(F.col("chi2")).alias("pval"))
+    table = t.gwas.select("phenotype", chi2_sf("chi2").alias("pval"))
     return association.genomic_inflation(table).withColumn("lambda_gc", nine_digits(F.col("lambda_gc")))
 
 

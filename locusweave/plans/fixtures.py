@@ -10,7 +10,15 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+# The columns of the base tables that the views use, so that no read has to look for a schema first.
+BASE_TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_size INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING",
+    "lineitem": "l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+                "l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING",
+}
 
 VIEWS: dict[str, str] = {
     "vi": """
@@ -143,7 +151,7 @@ class Tables:
 
     def _build(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
-            return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+            return self._spark.read.schema(BASE_TABLES[name]).parquet(f"{self._dir}/{name}.parquet")
         text = VIEWS[name]
         sources = {
             t: getattr(self, t) for t in [*BASE_TABLES, *VIEWS] if re.search(rf"\b(FROM|JOIN) {t}\b", text)

@@ -47,6 +47,22 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once for several readers.
+
+    Where the cluster names a shared folder in ``spark.checkpoint.dir``, the rows
+    are written there and the lineage ends, so lost executors cost nothing.
+    Elsewhere they are cached and recomputed from lineage when lost.
+    """
+    context = df.sparkSession.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir")
+    if folder is None:
+        return df.persist()
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def measured(df: DataFrame) -> DataFrame:
     """Cache a small summary so that the planner sees its true size.
 
