@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from locusweave.functions.stats import chi2_isf, chi2_isf_column, ln_factorial, student_t_p
-from locusweave.session import BROADCAST_BYTES, broadcast_if_small, measured
+from locusweave.session import BROADCAST_BYTES, measured, settle
 
 MIN_ALLELE_FREQUENCY = 0.05
 MIN_HWE_P = 1e-6
@@ -108,13 +108,14 @@ class _Design:
     centres: np.ndarray
     slopes: np.ndarray
     basis: np.ndarray
+    complete: bool
 
     @property
     def dof(self) -> int:
         return self.n - 2 - self.basis.shape[1]
 
 
-def _designs(samples: DataFrame, phenotypes: list[str], covariates: list[str]) -> list[_Design]:
+def _designs(samples: DataFrame, size: int, phenotypes: list[str], covariates: list[str]) -> list[_Design]:
     """Per phenotype: sample count, centring, and an orthonormal basis of the covariates.
 
     One aggregation over the sample table brings ``k * k`` covariances per
@@ -152,7 +153,7 @@ def _designs(samples: DataFrame, phenotypes: list[str], covariates: list[str]) -
         shared = basis.T @ with_y
         designs.append(_Design(
             row["phenotype"], n, row["mean"], n * row["var"] - float(shared @ shared),
-            np.array(row["centres"], dtype=float), basis @ shared, basis))
+            np.array(row["centres"], dtype=float), basis @ shared, basis, n == size))
     return sorted(designs, key=lambda d: phenotypes.index(d.phenotype))
 
 
@@ -161,51 +162,81 @@ def _weighted(covariates: list[str], centres: np.ndarray, weights: np.ndarray) -
     return reduce(lambda a, b: a + b, terms, F.lit(0.0))
 
 
-def _sample_columns(design: _Design, index: int, covariates: list[str]) -> list[Column]:
-    """Residual phenotype and covariate basis of one phenotype, null for samples it leaves out."""
-    complete = reduce(lambda a, c: a & F.col(c).isNotNull(), covariates, F.col(f"`{design.phenotype}`").isNotNull())
-    residual = F.col(f"`{design.phenotype}`") - design.mean - _weighted(covariates, design.centres, design.slopes)
-    columns = [F.when(complete, residual).alias(f"_y{index}")]
-    for j in range(design.basis.shape[1]):
-        direction = _weighted(covariates, design.centres, design.basis[:, j])
-        columns.append(F.when(complete, direction).alias(f"_q{index}_{j}"))
-    return columns
-
-
-def _sums(design: _Design, index: int) -> list[Column]:
-    x, y = F.col("n_alt").cast("double"), F.col(f"_y{index}")
-    inside = F.when(y.isNotNull(), x)
-    sums = [
-        F.count(inside).alias(f"_m{index}"), F.sum(inside).alias(f"_x{index}"), F.sum(inside * x).alias(f"_xx{index}"),
-        F.sum(x * y).alias(f"_xy{index}"), F.sum(F.when(x.isNotNull(), y)).alias(f"_sy{index}"),
-    ]
-    for j in range(design.basis.shape[1]):
-        q = F.col(f"_q{index}_{j}")
-        sums += [F.sum(x * q).alias(f"_xq{index}_{j}"), F.sum(F.when(x.isNotNull(), q)).alias(f"_sq{index}_{j}")]
-    return sums
+@dataclass(frozen=True)
+class _Term:
+    """A phenotype within a block. Phenotypes known for every sample share the sums that depend on samples only."""
+
+    design: _Design
+    index: int
+    group: str
+
+    def known(self, covariates: list[str]) -> Column:
+        given = F.col(f"`{self.design.phenotype}`").isNotNull()
+        return reduce(lambda a, c: a & F.col(c).isNotNull(), covariates, given)
+
+    def residual(self, covariates: list[str]) -> Column:
+        d = self.design
+        value = F.col(f"`{d.phenotype}`") - d.mean - _weighted(covariates, d.centres, d.slopes)
+        return F.when(self.known(covariates), value).alias(f"_y{self.index}")
+
+    def directions(self, covariates: list[str]) -> list[Column]:
+        """Covariate basis of the group, null for samples the phenotype leaves out; the first stands for the mean."""
+        d = self.design
+        bases = [F.lit(1.0)] + [_weighted(covariates, d.centres, d.basis[:, j]) for j in range(d.basis.shape[1])]
+        return [F.when(self.known(covariates), q).alias(f"_q{self.group}_{j}") for j, q in enumerate(bases)]
+
+    def own_sums(self) -> list[Column]:
+        x, y = F.col("n_alt").cast("double"), F.col(f"_y{self.index}")
+        return [F.sum(x * y).alias(f"_xy{self.index}"), F.sum(F.when(x.isNotNull(), y)).alias(f"_sy{self.index}")]
+
+    def group_sums(self) -> list[Column]:
+        x = F.col("n_alt").cast("double")
+        sums = [F.sum(x * x * F.col(f"_q{self.group}_0")).alias(f"_xx{self.group}")]
+        for j in range(self.design.basis.shape[1] + 1):
+            q = F.col(f"_q{self.group}_{j}")
+            sums += [F.sum(x * q).alias(f"_xq{self.group}_{j}"), F.sum(F.when(x.isNotNull(), q)).alias(f"_sq{self.group}_{j}")]
+        return sums
+
+    def fit(self) -> Column:
+        """Corrected sums of one phenotype; missing genotypes stand at the variant's mean.
+
+        A genotype at the mean adds nothing to the centred sums, so only called
+        genotypes enter, while ``n`` counts every sample of the phenotype.
+        """
+        g, d = self.group, self.design
+        called, total, squares = F.col(f"_sq{g}_0"), F.col(f"_xq{g}_0"), F.col(f"_xx{g}")
+        mean = F.when(called > 0, total / called)
+        sxx = squares - total * mean
+        for j in range(1, d.basis.shape[1] + 1):
+            along = F.col(f"_xq{g}_{j}") - mean * F.col(f"_sq{g}_{j}")
+            sxx = sxx - along * along
+        sxy = F.col(f"_xy{self.index}") - mean * F.col(f"_sy{self.index}")
+        usable = sxx > 1e-9 * F.greatest(F.lit(1.0), squares)
+        return F.struct(
+            F.lit(d.phenotype).alias("phenotype"), F.lit(d.n).cast("bigint").alias("n"), F.lit(d.dof).alias("dof"),
+            F.lit(float(d.residual_ss)).alias("syy"), F.when(usable, sxx).alias("sxx"), F.when(usable, sxy).alias("sxy"),
+        )
 
 
-def _fit(design: _Design, index: int) -> Column:
-    """Slope and t of one phenotype from the sums; missing genotypes stand at the variant's mean.
+def _blocks(designs: list[_Design], covariates: int, rows: int, max_bytes: int) -> list[list[_Term]]:
+    """Phenotypes in blocks whose sums stay inside generated code and whose sample table fits ``max_bytes``.
 
-    A genotype at the mean adds nothing to the centred sums, so only called
-    genotypes enter, while ``n`` counts every sample of the phenotype.
+    Complete phenotypes come first and lie together, so that they share.
     """
-    mean = F.col(f"_x{index}") / F.col(f"_m{index}")
-    sxx = F.col(f"_xx{index}") - F.col(f"_x{index}") * mean
-    for j in range(design.basis.shape[1]):
-        along = F.col(f"_xq{index}_{j}") - mean * F.col(f"_sq{index}_{j}")
-        sxx = sxx - along * along
-    sxy = F.col(f"_xy{index}") - mean * F.col(f"_sy{index}")
-    usable = (F.col(f"_m{index}") > 0) & (sxx > 1e-9 * F.greatest(F.lit(1.0), F.col(f"_xx{index}")))
-    return F.struct(
-        F.lit(design.phenotype).alias("phenotype"),
-        F.lit(design.n).cast("bigint").alias("n"),
-        F.lit(design.dof).alias("dof"),
-        F.lit(float(design.residual_ss)).alias("syy"),
-        F.when(usable, sxx).alias("sxx"),
-        F.when(usable, sxy).alias("sxy"),
-    )
+    per_group, blocks, sums, columns = 3 + 2 * covariates, [], 0, 0
+    for design in sorted(designs, key=lambda d: not d.complete):
+        shares = bool(blocks) and design.complete and blocks[-1][-1].design.complete
+        more_sums = 2 + (0 if shares else per_group)
+        more_columns = 1 + (0 if shares else 1 + covariates)
+        full = sums + more_sums > BLOCK_COLUMNS or rows * (32 + 16 * (columns + more_columns)) > max_bytes
+        if not blocks or full:
+            blocks.append([])
+            sums, columns = 2 + per_group, 2 + covariates
+        else:
+            sums, columns = sums + more_sums, columns + more_columns
+        index = len(blocks[-1])
+        blocks[-1].append(_Term(design, index, "c" if design.complete else str(index)))
+    return blocks
 
 
 def association(
@@ -229,6 +260,10 @@ def association(
     Covariates are projected out of the phenotype on the sample table and out of
     the genotype through its sums with an orthonormal basis, which gives the
     coefficients of the full model without solving anything per variant.
+
+    Each block of phenotypes is one scan. Its sample table is broadcast when, by
+    its counted rows, it fits the limit; only where even a single phenotype is too
+    large for that does the join shuffle.
     """
     names = [c for c in phenotypes.columns if c != "sample_id"]
     extra = [c for c in covariates.columns if c != "sample_id"] if covariates is not None else []
@@ -238,24 +273,33 @@ def association(
     table = table.select(
         "sample_id", *[F.col(f"`{c}`").cast("double").alias(c) for c in names],
         *[F.col(f"`{c}`").cast("double").alias(c) for c in extra])
-    designs = _designs(table, names, extra)
-
-    per_block = max(1, BLOCK_COLUMNS // (5 + 2 * len(extra)))
-    blocks = []
-    for begin in range(0, len(designs), per_block):
-        part = list(enumerate(designs[begin:begin + per_block]))
-        sample_side = table.select("sample_id", *[c for i, d in part for c in _sample_columns(d, i, extra)])
+    size = table.count()
+    designs = _designs(table, size, names, extra)
+
+    def common(counts: DataFrame) -> DataFrame:
+        return counts if min_af is None else counts.filter(F.col("af") > min_af)
+
+    blocks, passing = [], None
+    for block in _blocks(designs, len(extra), size, broadcast_bytes):
+        groups = list({term.group: term for term in block}.values())
+        directions = [c for term in groups for c in term.directions(extra)]
+        side = table.select("sample_id", *[term.residual(extra) for term in block], *directions)
+        fits_limit = size * (16 + 16 * len(side.columns)) <= broadcast_bytes
         sums = (
-            genotypes.join(broadcast_if_small(sample_side, broadcast_bytes), "sample_id", "left")
+            genotypes.join(F.broadcast(side) if fits_limit else side, "sample_id", "left")
             .groupBy("ID")
-            .agg(*_qc_counts(), *[s for i, d in part for s in _sums(d, i)])
+            .agg(*_qc_counts(), *[c for t in block for c in t.own_sums()], *[c for t in groups for c in t.group_sums()])
         )
-        kept = _with_frequency(sums)
-        if min_af is not None:
-            kept = kept.filter(F.col("af") > min_af)
-        if min_p_hwe is not None:
-            kept = with_hwe(kept, mid_p).filter(F.col("p_hwe") > min_p_hwe)
-        blocks.append(kept.select("ID", "af", F.inline(F.array(*[_fit(d, i) for i, d in part]))))
+        if min_p_hwe is not None and passing is None:
+            # The exact test makes many rows of each variant's counts, so it runs beside the wide
+            # sums and not through them; settling keeps that from scanning the genotypes again.
+            sums = settle(sums)
+            counts = common(_with_frequency(sums.select("ID", "n_hom_ref", "n_het", "n_hom_var")))
+            passing = with_hwe(counts, mid_p).filter(F.col("p_hwe") > min_p_hwe).select("ID")
+        kept = common(_with_frequency(sums))
+        if passing is not None:
+            kept = kept.join(passing, "ID", "left_semi")
+        blocks.append(kept.select("ID", "af", F.inline(F.array(*[term.fit() for term in block]))))
     fits = reduce(DataFrame.unionByName, blocks)
 
     beta = F.col("sxy") / F.col("sxx")

@@ -42,11 +42,6 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return df.select(F.lit(1)).limit(limit + 1).count() <= limit
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only for a side of checked size; a larger one joins by shuffle."""
-    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
-
-
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once for several readers.
 
@@ -54,10 +49,10 @@ def settle(df: DataFrame) -> DataFrame:
     are written there and the lineage ends, so lost executors cost nothing.
     Elsewhere they are cached and recomputed from lineage when lost.
     """
-    context = df.sparkSession.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir")
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         return df.persist()
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -100,12 +100,25 @@ def test_genotypes_are_scanned_once_with_quality_control(study, tmp_path):
     geno = study["geno"].sparkSession.read.parquet(path)
     fits = association.association(geno, study["samples"], study["pheno"], min_af=0.05, min_p_hwe=1e-6)
     plan = fits._jdf.queryExecution().executedPlan().toString()
-    assert plan.count(f"[file:{path}]") == 1
+    assert f"[file:{path}]" not in plan, "the sums were settled in the only scan"
+    plain = association.association(geno, study["samples"], study["pheno"], min_af=0.05)
+    assert plain._jdf.queryExecution().executedPlan().toString().count(f"[file:{path}]") == 1
     kept = {r.ID for r in fits.select("ID").distinct().collect()}
     qc = association.variant_qc(geno)
     assert kept == {r.ID for r in association.variant_qc_filter(qc).collect()}
 
 
+def test_complete_phenotypes_share_sums_and_incomplete_ones_do_not(study):
+    table = study["pheno"].join(study["cov"].drop("twice_age"), "sample_id")
+    names = list(study["y"])
+    designs = association._designs(table, table.count(), names, ["sex", "age"])
+    assert [d.phenotype for d in designs if not d.complete] == ["trait 1"]
+    [block] = association._blocks(designs, 2, 80, 10**9)
+    assert [t.group for t in block] == ["c"] * 4 + ["4"]
+    alone = association._blocks(designs, 2, 80, 1)
+    assert [len(b) for b in alone] == [1] * 5
+
+
 def test_quality_counts_and_one_sided_frequency(spark):
     geno = spark.createDataFrame(
         [("common", s, s % 3) for s in range(30)] + [("rare", s, 0) for s in range(30)]
