@@ -230,7 +230,7 @@ def gwas_covariate_regression(t: Tables) -> DataFrame:
     return _rounded_fits(fits)
 
 
-def gwas_pipeline(t: Tables) -> DataFrame:
+def gwas_with_quality_control(t: Tables) -> DataFrame:
     fits = association.association(t.geno, t.cohort, t.pheno, min_af=0.05, min_p_hwe=1e-3)
     table = association.gwas_table(fits, t.loci)
     return table.withColumns({
@@ -269,7 +269,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         causal_gene_candidates, causal_gene_union, causal_gene_rank, variant_key_map, variant_loci, vcf_projection,
         peak_overlap, peak_biotype_filter, motif_effect_filter, motif_matrix_unpivot, double_evidence_tfs,
         sample_overlap, shared_samples, variant_qc, variant_qc_filter, gwas_linear_regression,
-        gwas_covariate_regression, gwas_pipeline, genomic_inflation, locus_quality, unmatched_hits, unparsed_markers,
+        gwas_covariate_regression, gwas_with_quality_control, genomic_inflation, locus_quality, unmatched_hits, unparsed_markers,
     )
 }
 

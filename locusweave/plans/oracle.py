@@ -308,7 +308,7 @@ SELECT ID, n_hom_ref, n_het, n_hom_var, n_called, round(af, 9) AS af, round(p_hw
         "gwas_linear_regression": _query(("geno", "pheno"), (COUNTS, GRID, _fit("filled", 2)), f"SELECT {FIT_COLUMNS}"),
         "gwas_covariate_regression": _query(
             ("geno", "pheno", "cov"), (COUNTS, GRID, ADJUSTED, _fit("adjusted", 4)), f"SELECT {FIT_COLUMNS}"),
-        "gwas_pipeline": _query(("geno", "pheno", "loci"), (COUNTS, GRID, _fit("filled", 2)), f"""
+        "gwas_with_quality_control": _query(("geno", "pheno", "loci"), (COUNTS, GRID, _fit("filled", 2)), f"""
 SELECT t.ID AS rsid, l.chromosome, l.position, l.OA, l.EA, round(q.af, 9) AS EAF, round(t.p, 8) AS pval,
        {_short('t.beta')} AS beta, round(t.tstat, 6) AS tstat, t.n, t.phenotype
 FROM tested t JOIN qc q ON q.ID = t.ID JOIN loci l ON l.ID = t.ID WHERE q.af > 0.05 AND q.p_hwe > 1e-3"""),

@@ -41,6 +41,10 @@ REGION_COLUMNS = REGION.fieldNames()
 VARIANT_LIST_COLUMNS = VARIANT_LIST.fieldNames()
 
 
+def text_columns(names: list[str]) -> StructType:
+    return StructType([StructField(name, _S) for name in names])
+
+
 def require_columns(df: DataFrame, columns: list[str], what: str = "input") -> DataFrame:
     """Fail on the driver, before any job, when a needed column is absent."""
     absent = [c for c in columns if c not in df.columns]
