@@ -73,8 +73,11 @@ def chi2_isf_column(p: pd.Series) -> pd.Series:
     return p.map(lambda v: None if pd.isna(v) else (math.inf if v <= 0 else 0.0 if v >= 1 else chi2_isf(v)))
 
 
-def neg_log10(p: Column) -> Column:
-    return -F.log10(p)
+def neg_log10_p(pval: Column, chi2: Column) -> Column:
+    """-log10 p, from the leading terms of the tail where the p-value itself has become zero."""
+    s = chi2 / 2.0
+    tail = (s + 0.5 * F.log(math.pi * s) - F.log(1.0 - 1.0 / chi2)) / math.log(10.0)
+    return F.when(pval > 0, -F.log10(pval)).when((pval == 0) & (chi2 > 1000), tail)
 
 
 def ln_factorial(n: Column) -> Column:

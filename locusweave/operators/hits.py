@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from locusweave.functions.loci import LAST_CHROMOSOME, parse_marker
-from locusweave.functions.stats import chi2_isf, chi2_sf, neg_log10
+from locusweave.functions.stats import chi2_isf, chi2_sf, neg_log10_p
 from locusweave.operators.ordering import genomic_sort
 from locusweave.schemas import SUMSTATS_COLUMNS, require_columns
 
@@ -125,7 +125,8 @@ def combined_sumstats(
 
 
 def manhattan_points(table: DataFrame) -> DataFrame:
-    """Plot coordinates: ``x`` runs through the chromosomes one after the other, ``y`` is -log10 p.
+    """Plot coordinates: ``x`` runs through the chromosomes one after the other, ``y`` is -log10 p,
+    also where p is too small for a double.
 
     Chromosome lengths are one row per chromosome number, at most 25 by the
     filter, so their running sum is one small task and is broadcast.
@@ -136,7 +137,7 @@ def manhattan_points(table: DataFrame) -> DataFrame:
         table.filter(known).groupBy("chromosome").agg(F.max("position").alias("_length"))
         .select("chromosome", F.coalesce(F.sum("_length").over(earlier), F.lit(0)).alias("_offset"))
     )
-    y = neg_log10(F.col("pval"))
+    y = neg_log10_p(F.col("pval"), F.col("chi2"))
     return (
         table.filter(known).join(F.broadcast(offsets), "chromosome")
         .withColumn("x", F.col("_offset") + F.col("position"))

@@ -63,13 +63,14 @@ def hit_regions(
         (F.col("position") + window_buffer).alias("chromEnd"),
         "phenotype", "n", "lead",
     )
+    once = F.coalesce(F.col("_item_no"), F.lit(0)) == 0
     merged = merge_intervals(
         spans, "chrom", "chromStart", "chromEnd",
         first={"n": F.sum("n"), "lead": F.min("lead"), "traits": F.collect_set("phenotype")},
         again={
-            "n": F.sum("n"), "lead": F.min("lead"),
-            "traits": F.array_sort(F.array_distinct(F.flatten(F.collect_list("traits")))),
+            "n": F.sum(F.when(once, F.col("n"))), "lead": F.min("lead"), "traits": F.array_sort(F.collect_set("_item")),
         },
+        spread="traits",
     )
     regions = merged.select(
         "chrom", "chromStart", "chromEnd",
@@ -100,16 +101,18 @@ def number_regions(regions: DataFrame) -> DataFrame:
 def region_hits(regions: DataFrame, hits: DataFrame, bed: bool = True) -> DataFrame:
     """Hits inside each region whose trait is on the region's list, for all regions in one pass.
 
-    ``bed`` adds the end column ``position2`` of the BED layout.
+    The list is taken apart and the trait becomes part of the join key, which
+    spreads a region that holds very many hits over its traits. ``bed`` adds the end column ``position2`` of the BED layout.
     """
     named = number_regions(regions).select(
         F.col("chrom").alias("chromosome"), "chromStart", "chromEnd", "region_id", "region",
-        F.split("phenotypes", ",").alias("traits"),
+        F.explode(F.array_distinct(F.split("phenotypes", ","))).alias("phenotype"),
     )
     columns = ["region_id", "region", "chromosome", "position", "EA", "pval", "phenotype"]
     points = hits.select("chromosome", "position", "EA", "pval", "phenotype")
-    inside = overlap_join(points, named, chrom="chromosome", pos="position", start="chromStart", end="chromEnd")
-    members = inside.filter(F.array_contains("traits", F.col("phenotype"))).select(*columns)
+    members = overlap_join(
+        points, named, chrom="chromosome", pos="position", start="chromStart", end="chromEnd", by=["phenotype"],
+    ).select(*columns)
     if not bed:
         return members
     return members.withColumn("position2", F.col("position")).select(

@@ -29,10 +29,12 @@ def write_partitioned(
 ) -> None:
     """One folder per value of ``by``, rows in ``order`` inside it.
 
-    Rows are placed by range of value and order, so a small value lands in one
-    file and a value with very many rows is written by many tasks.
+    Rows are placed by range of value, order and then all other columns, so a small
+    value lands in one file and a value or place with very many rows is written by
+    many tasks.
     """
-    keys = [F.col(f"`{c}`") for c in [by, *order]]
+    lead = [by, *order]
+    keys = [F.col(f"`{c}`") for c in lead + [c for c in df.columns if c not in lead]]
     rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     writer = rows.write.mode(mode).partitionBy(by)
     if file_format == "csv":

@@ -43,6 +43,17 @@ def test_query_matches_sql(spark, checker, name):
     assert sorted(got, key=_key) == sorted(want, key=_key)
 
 
+PYTHON_QUERIES = {
+    "gwas_linear_regression", "gwas_covariate_regression", "gwas_with_quality_control", "genomic_inflation"}
+
+
+@pytest.mark.parametrize("name", list(entry_module.queries()))
+def test_plans_have_no_pairwise_join_and_no_stray_python(spark, name):
+    plan = entry_module.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert ("ArrowEvalPython" in plan) == (name in PYTHON_QUERIES)
+
+
 def test_entry_is_the_region_table(spark):
     df = entry_module.entry(spark)
     assert df.count() > 0 and df.columns[0] == "chrom"

@@ -88,3 +88,12 @@ def test_hwe_exact_and_mid_p(spark):
     assert [round(exact[f"v{i}"], 6) for i in range(2)] == [0.039005, 0.655663]
     assert exact["v2"] == pytest.approx(3.35341e-09, rel=1e-5)
     assert mid["v0"] == pytest.approx(0.033174, abs=1e-6)
+
+
+def test_neg_log10_continues_where_p_is_zero(spark):
+    df = spark.createDataFrame([(1300.0,), (1400.0,), (1e5,), (4.0,)], "x double").withColumn("p", stats.chi2_sf("x"))
+    got = df.select("x", "p", stats.neg_log10_p(F.col("p"), F.col("x")), stats.neg_log10_p(F.lit(0.0), F.col("x"))).collect()
+    for x, p, y, tail in got[:2]:
+        assert p > 0 and y == pytest.approx(tail, abs=1e-6)
+    assert got[2][1] == 0.0 and got[2][2] == pytest.approx(5e4 / math.log(10) + 0.5 * math.log10(math.pi * 5e4), abs=1e-4)
+    assert got[3][3] is None
