@@ -70,7 +70,7 @@ def hit_regions(
         again={
             "n": F.sum(F.when(once, F.col("n"))), "lead": F.min("lead"), "traits": F.array_sort(F.collect_set("_item")),
         },
-        spread="traits",
+        longest=2 * window_buffer, spread="traits",
     )
     regions = merged.select(
         "chrom", "chromStart", "chromEnd",

@@ -165,6 +165,20 @@ def test_landed_results_prune_by_phenotype(spark, tmp_path):
     assert one.count() == 10
 
 
+def test_bucketed_tables_join_without_an_exchange(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    table = _sumstats(spark)
+    sinks.land_bucketed(table.select("ID", "beta", "chi2", "phenotype"), "landed_results", "ID", 4, "overwrite")
+    info = table.select("ID", "Marker", "OA", "EA", "EAF", "Info").dropDuplicates(["ID"])
+    sinks.land_bucketed(info, "landed_info", "ID", 4, "overwrite")
+    joined = hits.full_sumstats(spark.table("landed_results"), spark.table("landed_info"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert joined.count() == 30
+    for name in ("landed_results", "landed_info"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_safe_names(spark):
     df = spark.createDataFrame([(' a<b>c:"d"/e\\f|g?h*i. ',), (".x.",)], "n string")
     assert [r[0] for r in df.select(sinks.safe_name(F.col("n"))).collect()] == ["abcdefghi", "x"]
