@@ -124,7 +124,7 @@ def _designs(samples: DataFrame, size: int, phenotypes: list[str], covariates: l
     complete = reduce(lambda a, c: a & F.col(c).isNotNull(), covariates, F.col("y").isNotNull())
     pairs = [(a, b) for i, a in enumerate(covariates) for b in covariates[i:]]
     rows = (
-        samples.unpivot(["sample_id", *covariates], phenotypes, "phenotype", "y")
+        samples.unpivot(["sample_id", *covariates], [F.col(f"`{p}`") for p in phenotypes], "phenotype", "y")
         .filter(complete)
         .groupBy("phenotype")
         .agg(
@@ -266,15 +266,18 @@ def association(
     large for that does the join shuffle.
     """
     names = [c for c in phenotypes.columns if c != "sample_id"]
-    extra = [c for c in covariates.columns if c != "sample_id"] if covariates is not None else []
-    table = samples.select("sample_id").distinct().join(phenotypes, "sample_id")
+    table = samples.select("sample_id").distinct().join(
+        phenotypes.select("sample_id", *[F.col(f"`{c}`").cast("double").alias(c) for c in names]), "sample_id")
+    extra = []
     if covariates is not None:
-        table = table.join(covariates, "sample_id")
-    table = table.select(
-        "sample_id", *[F.col(f"`{c}`").cast("double").alias(c) for c in names],
-        *[F.col(f"`{c}`").cast("double").alias(c) for c in extra])
+        given = [c for c in covariates.columns if c != "sample_id"]
+        extra = [f"_covariate{i}" for i in range(len(given))]
+        table = table.join(covariates.select(
+            "sample_id", *[F.col(f"`{c}`").cast("double").alias(e) for c, e in zip(given, extra)]), "sample_id")
     size = table.count()
     designs = _designs(table, size, names, extra)
+    if not designs:
+        raise ValueError("no genotyped sample has a phenotype value together with all covariates")
 
     def common(counts: DataFrame) -> DataFrame:
         return counts if min_af is None else counts.filter(F.col("af") > min_af)

@@ -94,6 +94,16 @@ def test_blocks_and_shuffled_sample_side_give_the_same(study, monkeypatch):
     assert all(a[k] == pytest.approx(b[k], rel=1e-9) for k in a if a[k] is not None)
 
 
+def test_names_with_dots_and_no_usable_sample(spark):
+    geno = spark.createDataFrame([("v", s, s % 3) for s in range(9)], GENO)
+    samples = spark.createDataFrame([(s,) for s in range(9)], "sample_id bigint")
+    pheno = spark.createDataFrame([(s, float(s % 4)) for s in range(9)], "sample_id bigint, `a.b c` double")
+    cov = spark.createDataFrame([(s, float(s)) for s in range(9)], "sample_id bigint, `pc.1` double")
+    assert association.association(geno, samples, pheno, cov).first().phenotype == "a.b c"
+    with pytest.raises(ValueError, match="no genotyped sample"):
+        association.association(geno, samples, pheno.filter("sample_id < 0"))
+
+
 def test_genotypes_are_scanned_once_with_quality_control(study, tmp_path):
     path = str(tmp_path / "geno")
     study["geno"].write.parquet(path)
