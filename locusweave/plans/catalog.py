@@ -136,12 +136,12 @@ def gtf_gene_name(t: Tables) -> DataFrame:
 
 
 def manhattan_points(t: Tables) -> DataFrame:
-    points = hits.manhattan_points(_combined(t))
+    points = hits.manhattan_points(settle(_combined(t)))
     return _short_pval(points).withColumn("y", F.round("y", 7))
 
 
 def manhattan_thinned(t: Tables) -> DataFrame:
-    thinned = hits.manhattan_thinned(hits.manhattan_points(_combined(t)))
+    thinned = hits.manhattan_thinned(hits.manhattan_points(settle(_combined(t))))
     return _short_pval(thinned).withColumn("y", F.round("y", 7))
 
 
