@@ -123,7 +123,7 @@ def hit_regions_no_genes(t: Tables) -> DataFrame:
 
 def region_hits(t: Tables) -> DataFrame:
     found = settle(_hits(t))
-    return _short_pval(regions.region_hits(_regions(t, found), found))
+    return _short_pval(regions.region_hits(settle(_regions(t, found)), found))
 
 
 def nearest_gene(t: Tables) -> DataFrame:
