@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.llm import packing, token_counts, url_filter
+from locusweave.llm import decontamination, packing, token_counts, url_filter
 from locusweave.llm.common import table
 
 
@@ -15,6 +15,12 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -25,7 +31,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op6_packing, op8_token_counts)
+    f.__name__: f for f in (op1_url_filter, op2_decontamination, op6_packing, op8_token_counts)
 }
 
 _URL_PARTS = """
@@ -50,4 +56,32 @@ SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
   WHEN dotted LIKE '%.casino-%' OR dotted LIKE '%.cheap-pills.%' OR dotted LIKE '%.adult-%' THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled""",
+    "op2_decontamination": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+  FROM documents
+), items AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(words), 13) AS n, array_to_string(words[s:s + 12], ' ') AS gram
+  FROM (SELECT item_id, words, unnest(generate_series(1, greatest(len(words) - 12, 1))) AS s FROM items WHERE len(words) > 0)
+), starts AS (
+  SELECT r, words, unnest(generate_series(1, len(words))) AS s FROM docs WHERE len(words) > 0
+), grams AS (
+  SELECT r, s, n, array_to_string(words[s:s + n - 1], ' ') AS gram
+  FROM starts CROSS JOIN (SELECT DISTINCT n FROM windows) WHERE s + n - 1 <= len(words)
+), found AS (
+  SELECT r, s, n, item_id FROM grams JOIN windows USING (n, gram)
+), hit AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(s, s + n - 1)) AS p FROM found) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)""",
 }
