@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.llm import decontamination, packing, token_counts, url_filter
+from locusweave.llm import decontamination, packing, quality, token_counts, toxicity, url_filter
 from locusweave.llm.common import table
 
 
@@ -26,12 +26,20 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.context_totals(token_counts.length_histogram(table(spark, sf_dir, "documents")))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_decontamination, op6_packing, op8_token_counts)
+    f.__name__: f for f in (op1_url_filter, op2_decontamination, op6_packing, op7_toxicity, op8_token_counts, op10_quality)
 }
 
 _URL_PARTS = """
