@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.llm import decontamination, packing, quality, sharding, token_counts, toxicity, url_filter
+from locusweave.llm import decontamination, near_duplicates, packing, quality, sharding, token_counts, toxicity, url_filter
 from locusweave.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -43,7 +47,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_decontamination, op4_sharding, op6_packing, op7_toxicity, op8_token_counts, op10_quality)
+    f.__name__: f for f in (op1_url_filter, op2_decontamination, op4_sharding, op5_near_duplicates, op6_packing, op7_toxicity, op8_token_counts, op10_quality)
 }
 
 _URL_PARTS = """
