@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.llm import decontamination, near_duplicates, packing, quality, sharding, token_counts, toxicity, url_filter
+from locusweave.llm import decontamination, hamming_search, near_duplicates, packing, quality, sharding, token_counts, toxicity, url_filter
 from locusweave.llm.common import table
 
 
@@ -42,12 +42,16 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.context_totals(token_counts.length_histogram(table(spark, sf_dir, "documents")))
 
 
+def op9_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_decontamination, op4_sharding, op5_near_duplicates, op6_packing, op7_toxicity, op8_token_counts, op10_quality)
+    f.__name__: f for f in (op1_url_filter, op2_decontamination, op4_sharding, op5_near_duplicates, op6_packing, op7_toxicity, op8_token_counts, op9_top_k_search, op10_quality)
 }
 
 _URL_PARTS = """
@@ -100,4 +104,15 @@ WITH docs AS (
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)""",
+    "op9_top_k_search": """
+WITH vectors AS (
+  SELECT DISTINCT vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), pairs AS (
+  SELECT q.vec_id AS query_id, v.vec_id AS neighbor_id,
+         CAST(len(list_filter(range(1, 65), lambda i: coalesce(q.embedding[i] > 0, false) <> coalesce(v.embedding[i] > 0, false))) AS INTEGER) AS distance
+  FROM vectors q JOIN vectors v ON q.vec_id % 100 = 0 AND v.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank FROM pairs
+)
+SELECT * FROM ranked WHERE rank <= 10""",
 }
