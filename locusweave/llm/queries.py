@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.llm import decontamination, hamming_search, near_duplicates, packing, quality, sharding, token_counts, toxicity, url_filter
+from locusweave.llm import decontamination, hamming_search, html_text, near_duplicates, packing, quality, sharding, token_counts, toxicity, url_filter
 from locusweave.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract_pages(table(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -51,7 +56,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_decontamination, op4_sharding, op5_near_duplicates, op6_packing, op7_toxicity, op8_token_counts, op9_top_k_search, op10_quality)
+    f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_html_text, op4_sharding, op5_near_duplicates, op6_packing, op7_toxicity, op8_token_counts, op9_top_k_search, op10_quality)
 }
 
 _URL_PARTS = """
