@@ -238,7 +238,7 @@ class TreeModel:
             held = np.array([[counts[name, a, b] for b in (0, 1)] for a in (0, 1)], dtype=float)
             usual = (held.sum() + 0.5) / (edges.sum() + 1)
             # Amounts of text vary more than the labelled pages show; tags and names mean what they say.
-            most = limit if name.startswith(("tag", "name")) else 1.0
+            most = limit if name.startswith(("tag", "name")) else 0.5
             potentials[name] = np.clip(np.log((held + 5 * usual) / (edges + 5) / usual), -most, most)
         return cls(potentials)
 
