@@ -68,22 +68,22 @@ def quotas(demand: list, sizes: dict[int, float], target: float) -> dict[tuple[i
 
 
 def propagate(units: DataFrame, links: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
-    """``unit, rows, shard`` for ``units`` (``unit, rows``).
+    """``unit, rows, seed, shard`` for ``units`` (``unit, rows``); the seed is a unit's smallest shared line, null without links.
 
     What reaches the driver each round are sums by pair of shards and level of
     gain. Units without links go where room is left.
     """
     seed = links.groupBy("unit").agg(F.min("line").alias("seed"))
     start = stored(units.join(seed, "unit", "left").withColumn("shard", F.pmod(F.xxhash64("seed"), F.lit(shards)).cast("int")))
-    places = start.where(F.col("seed").isNotNull()).select("unit", "rows", "shard")
-    loose = start.where(F.col("seed").isNull()).select("unit", "rows")
+    places = start.where(F.col("seed").isNotNull()).select("unit", "rows", "seed", "shard")
+    loose = start.where(F.col("seed").isNull()).select("unit", "rows", "seed")
     total = float(units.agg(F.sum("rows")).first()[0] or 0)
     target = total / shards
     for step in range(rounds):
         best = votes(links, places, shards).withColumn("to", F.array_position("votes", F.array_max("votes")).cast("int") - 1)
         wish = places.join(best, "unit", "left").withColumn(
             "level", F.ceil((F.get("votes", F.col("to")) - F.get("votes", F.col("shard"))) / F.col("degree") * LEVELS).cast("int"))
-        wish = stored(wish.select("unit", "rows", "shard", F.coalesce("to", "shard").alias("to"), F.coalesce("level", F.lit(0)).alias("level")))
+        wish = stored(wish.select("unit", "rows", "seed", "shard", F.coalesce("to", "shard").alias("to"), F.coalesce("level", F.lit(0)).alias("level")))
         moving = (F.col("level") > 0) & (F.col("to") != F.col("shard"))
         sizes = {r.shard: float(r["n"]) for r in wish.groupBy("shard").agg(F.sum("rows").alias("n")).collect()}
         demand = [tuple(r) for r in wish.where(moving).groupBy("shard", "to", "level").agg(F.sum("rows").cast("double").alias("n")).collect()]
@@ -93,7 +93,7 @@ def propagate(units: DataFrame, links: DataFrame, shards: int, rounds: int = ROU
         table = F.create_map(*[F.lit(v) for (s, t, level), part in share.items() for v in ((s * shards + t) * (LEVELS + 1) + level, part)])
         key = (F.col("shard") * shards + F.col("to")) * (LEVELS + 1) + F.col("level")
         luck = F.pmod(F.xxhash64("unit", F.lit(step)), F.lit(1 << 20)) / (1 << 20)
-        places = stored(wish.select("unit", "rows", F.when(moving & (luck < F.coalesce(F.element_at(table, key), F.lit(0.0))), F.col("to"))
+        places = stored(wish.select("unit", "rows", "seed", F.when(moving & (luck < F.coalesce(F.element_at(table, key), F.lit(0.0))), F.col("to"))
                                     .otherwise(F.col("shard")).alias("shard")))
     sizes = {r.shard: float(r["n"]) for r in places.groupBy("shard").agg(F.sum("rows").alias("n")).collect()}
     room = [max(0.0, target - sizes.get(k, 0.0)) for k in range(shards)]
@@ -118,14 +118,20 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> D
     cells = rows.groupBy("unit", "part").agg(F.count(F.lit(1)).alias("rows"))
     links = stored(shared_lines(docs))
     placed = propagate(cells.groupBy("unit").agg(F.sum("rows").alias("rows")), links, shards, rounds)
-    cells = cells.join(placed.select("unit", "shard"), "unit").withColumn("coarse", F.pmod(F.col("unit"), F.lit(_COARSE)))
-    # Counts are summed inside coarse ranges, then over the ranges, of which there are shards * _COARSE.
-    before = Window.orderBy("shard", "coarse").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = cells.groupBy("shard", "coarse").agg(F.sum("rows").alias("rows")).select(
-        "shard", "coarse", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"), F.sum("rows").over(Window.partitionBy()).alias("total"))
-    inside = Window.partitionBy("shard", "coarse").orderBy("unit", "part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cells.withColumn("inner", F.coalesce(F.sum("rows").over(inside), F.lit(0))).join(F.broadcast(ranges), ["shard", "coarse"])
-    starts = starts.select("unit", "part", (F.col("base") + F.col("inner")).alias("start"), "total")
+    placed = placed.select("unit", "shard", F.pmod(F.coalesce("seed", "unit"), F.lit(_COARSE)).alias("coarse"), F.pmod(F.col("unit"), F.lit(_PARTS)).alias("fine"))
+    cells = cells.join(placed, "unit")
+    # Counts are summed inside fine ranges, over the fine ranges of a coarse one, and over the coarse ranges,
+    # of which there are shards * _COARSE. Units with one seed share a coarse range and so lie together.
+    earlier = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    coarse = cells.groupBy("shard", "coarse").agg(F.sum("rows").alias("rows")).select(
+        "shard", "coarse", F.coalesce(F.sum("rows").over(earlier().orderBy("shard", "coarse")), F.lit(0)).alias("base"),
+        F.sum("rows").over(Window.partitionBy()).alias("total"))
+    fine = cells.groupBy("shard", "coarse", "fine").agg(F.sum("rows").alias("rows")).select(
+        "shard", "coarse", "fine", F.coalesce(F.sum("rows").over(earlier("shard", "coarse").orderBy("fine")), F.lit(0)).alias("middle"))
+    ranges = fine.join(F.broadcast(coarse), ["shard", "coarse"])
+    inner = F.coalesce(F.sum("rows").over(earlier("shard", "coarse", "fine").orderBy("unit", "part")), F.lit(0))
+    starts = cells.withColumn("inner", inner).join(ranges, ["shard", "coarse", "fine"]).select(
+        "unit", "part", (F.col("base") + F.col("middle") + F.col("inner")).alias("start"), "total")
     order = Window.partitionBy("unit", "part").orderBy("doc_id", "text_crc32", "size")
     numbered = rows.withColumn("number", F.row_number().over(order) - 1).join(starts, ["unit", "part"]).withColumn(
         "place", F.col("start") + F.col("number"))

@@ -1,0 +1,89 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from locusweave.llm import quality, queries, toxicity
+
+from .conftest import needs_data
+
+LARGER = "/root/testdata/sf0.01"
+
+
+def test_folding_undoes_disguise():
+    assert toxicity.fold("1D10T") == toxicity.fold("idiot") == toxicity.fold("ІdіоТ") == toxicity.fold("ｉｄｉｏｔ")
+    assert toxicity.folded_words("m0r0n, $cum!") == ["moron", "scumi"]
+
+
+def lexicon():
+    return toxicity.Lexicon({"idiot": 5.0, "idi": 2.0, "ciown": 4.0}, ("clown fish",), (-6.0, 0.0, 4.0, 0.0))
+
+
+def test_heaviest_entry_counts_and_exceptions_do_not():
+    found = lexicon()
+    assert found.evidence("You 1diots!") == (5.0, 1.0, 2)
+    assert found.evidence("an idiom") == (2.0, 1.0, 2)
+    assert found.evidence("the clown fish swims, clown") == (4.0, 1.0, 5)
+    assert found.evidence("videodiot") == (0, 0.0, 1) and found.evidence("") == (0, 0.0, 0)
+
+
+def test_chosen_entries_are_closed_and_weigh_enough():
+    counts = {"idio": (50.0, 0.0), "idiot": (50.0, 0.0), "idiots": (6.0, 0.0), "comm": (50.0, 400.0), "rare": (2.0, 0.0)}
+    assert set(toxicity.choose_entries(counts, 100, 900)) == {"idiot"}
+
+
+def test_discriminant_equals_the_densities():
+    draw = np.random.default_rng(1)
+    d = len(quality.STATISTICS)
+    parts = {0: draw.normal(0, 1, (200, d)), 1: draw.normal(1, 2, (300, d))}
+    moments = {k: np.concatenate([[len(x)], x.sum(0), (x.T @ x).ravel()]) for k, x in parts.items()}
+    model = quality.discriminant(moments, 0.05)
+    x = draw.normal(0, 2, (20, d))
+    every = np.concatenate(list(parts.values()))
+    scale = every.std(0)
+    logs = []
+    for k in (0, 1):
+        cov = np.cov(parts[k].T, bias=True) / np.outer(scale, scale)
+        cov = 0.95 * cov + 0.05 * np.trace(cov) / d * np.eye(d)
+        z = (x - parts[k].mean(0)) / scale
+        logs.append(np.log(len(parts[k]) / 500) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * np.einsum("ij,jk,ik->i", z, np.linalg.inv(cov), z))
+    assert np.allclose(model.difference(x), logs[1] - logs[0])
+    assert quality.discriminant({}) == 0.5 and quality.discriminant({1: moments[1]}) == 1.0
+
+
+@pytest.mark.parametrize("module, keep", [(quality, "keep_good"), (toxicity, "keep_harmless")])
+def test_odd_rows_and_labels(docs, labels, module, keep):
+    pairs = [(1, None), (2, ""), (None, "text"), (3, "x " * 50_000), (3, "x " * 50_000), (4, "text"), (5, "日本 😀 ퟿")]
+    for known in ([], [(4, 1, 1)], [(4, None, None), (None, 1, 1), (99, 0, 0)], [(i, i % 2, i % 2) for i in range(40)], [(4, 0, 0), (4, 1, 1)]):
+        got = module.score_documents(docs(pairs), labels(known)).collect()
+        assert len(got) == len(pairs) and all(0 <= r.score <= 1 for r in got)
+        assert {r.doc_id: r.held_out for r in got} == {i: i is not None and zlib.crc32(str(i).encode()) % 3 == 1 for i, _ in pairs}
+    assert module.score_documents(docs([]), labels([])).count() == 0
+    kept = getattr(module, keep)(docs(pairs), labels([]))
+    assert kept.columns == docs(pairs).columns and kept.count() == len(pairs)
+
+
+def test_held_out_labels_are_never_seen(spark, docs, labels):
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 == 1]
+    pairs = [(i, f"some words of text {i} " * (1 + i % 5)) for i in range(60)]
+    plain, turned = [(i, i % 2, i % 2) for i in range(60)], [(i, (i + (i in held)) % 2, (i + (i in held)) % 2) for i in range(60)]
+    for module in (quality, toxicity):
+        a, b = (sorted((r.doc_id, r.score) for r in module.score_documents(docs(pairs), labels(x)).collect()) for x in (plain, turned))
+        assert a == b
+
+
+def accuracy(spark, query, column, wanted):
+    truth = {r.doc_id: r[column] for r in spark.read.parquet(f"{LARGER}/labels.parquet").collect()}
+    rows = [r for r in query(spark, LARGER).collect() if r.held_out and r.doc_id in truth]
+    right = np.array([r.predicted == truth[r.doc_id] for r in rows])
+    y = np.array([truth[r.doc_id] for r in rows])
+    clean = right[y == wanted].mean()
+    return right.mean(), clean
+
+
+@needs_data
+def test_held_out_accuracy(spark):
+    right, good = accuracy(spark, queries.op10_quality, "quality", 1)
+    assert right > 0.97 and good > 0.97
+    right, harmless = accuracy(spark, queries.op7_toxicity, "toxic", 0)
+    assert right > 0.93 and harmless > 0.97

@@ -1,0 +1,105 @@
+import random
+import re
+
+import duckdb
+
+from locusweave.llm import decontamination as D
+from locusweave.llm import queries
+
+from .conftest import DATA, needs_data
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(docs, items):
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        for i in range(max(1, len(w) - 12) if w else 0):
+            windows.setdefault(tuple(w[i:i + 13]), set()).add(item)
+    out = []
+    for doc_id, text in docs:
+        w = words(text)
+        hit, named = set(), set()
+        for n in {len(k) for k in windows}:
+            for i in range(len(w) - n + 1):
+                if (found := windows.get(tuple(w[i:i + n]))) is not None:
+                    hit.update(range(i, i + n))
+                    named |= {str(x) for x in found if x is not None}
+        out.append((doc_id, len(w), len(hit), sorted(named), bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=str)
+
+
+def cases():
+    draw = random.Random(3)
+    vocabulary = ["the", "of"] * 20 + [f"w{i}" for i in range(60)] + ["É", "日本"]
+    text = lambda n: " ".join(draw.choices(vocabulary, k=n))
+    items = [(i, text(draw.choice([5, 13, 14, 40]))) for i in range(12)] + [(12, "One-word"), (13, None), (14, ""), (None, text(15)), (3, text(20)), (15, "a " * 30)]
+    docs = [(i, text(draw.choice([0, 1, 12, 13, 200]))) for i in range(40)]
+    for i, (_, item) in enumerate(items):
+        docs.append((100 + i, f"{text(draw.choice([0, 30, 900]))}; {(item or '').upper()}! {text(9)} {item or ''}"))
+    docs += [(None, items[0][1]), (7, None), (7, ""), (100, docs[45][1]), (100, docs[45][1]), (200, "word one\nONE...WORD " * 3), (201, "a " * 5000), (202, " ".join(words(items[3][1])[:13]))]
+    return docs, items
+
+
+def found(df):
+    return sorted(((r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated) for r in df.collect()), key=str)
+
+
+def test_hits_agree_with_brute_force(spark, docs):
+    texts, items = cases()
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(texts, items)
+    assert sum(r[4] for r in want) > 10
+    assert found(D.contamination(docs(texts), benchmark)) == want
+
+
+def test_shuffled_lookup_gives_the_same(spark, docs, monkeypatch):
+    texts, items = cases()
+    monkeypatch.setattr(D, "fits_broadcast", lambda df: False)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert found(D.contamination(docs(texts), benchmark)) == brute(texts, items)
+
+
+def test_clean_rows_stay_whole(spark, docs):
+    texts, items = cases()
+    kept = D.drop_contaminated(docs(texts), spark.createDataFrame(items, "item_id long, text string"))
+    assert kept.columns == docs(texts).columns
+    bad = {(r[0], r[1], r[2]) for r in brute(texts, items) if r[4]}
+    want = [(i, t) for i, t in texts if (brute([(i, t)], items)[0][:3]) not in bad]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_empty_tables(spark, docs):
+    nothing = spark.createDataFrame([], "item_id long, text string")
+    assert found(D.contamination(docs([(1, "a b")]), nothing)) == [(1, 2, 0, [], False)]
+    assert D.contamination(docs([]), nothing).count() == 0
+
+
+def test_proximity_finds_scattered_terms(spark, docs):
+    texts = [(1, "alpha x x x beta"), (2, "beta " + "x " * 50 + "alpha"), (3, "alpha"), (4, "x beta alpha x")]
+    windows = D.benchmark_windows(spark.createDataFrame([(1, "alpha beta")], "item_id long, text string"))
+    keyed = D.keyed_words(docs(texts))
+    terms = D.rarest_terms(keyed, windows)
+    near = D.proximity_matches(D.build_index(keyed, terms), terms, 5)
+    assert sorted(r.key.doc_id for r in near.collect()) == [1, 4]
+
+
+@needs_data
+def test_query_matches_sql(spark):
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
+    columns = "doc_id, n_words, n_hit, n_items, items_sha256, contaminated"
+    want = con.execute(f"SELECT {columns} FROM ({queries.SQL['op2_decontamination']})").fetchall()
+    assert sorted(want) == sorted(map(tuple, queries.op2_decontamination(spark, DATA).collect()))
+
+
+@needs_data
+def test_no_python_runs(spark):
+    plan = queries.op2_decontamination(spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan

@@ -1,0 +1,69 @@
+import random
+import zlib
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from locusweave.llm import queries, sharding
+
+from .conftest import DATA, needs_data
+
+
+def clusters():
+    """Forty groups of documents that share two lines each, a hot text, and loose documents."""
+    shared = [[f"line {g} of the group, number {k}, long enough" for k in range(2)] for g in range(40)]
+    pairs = [(g * 10 + i, "\n".join([*shared[g], f"own words {g} {i}"])) for g in range(40) for i in range(5)]
+    pairs += [(1000 + i, "the same text in very many documents") for i in range(150)]
+    pairs += [(2000 + i, f"alone {i}") for i in range(97)] + [(None, None), (None, None), (3000, ""), (3000, None), (3001, "x" * 100_000), (3001, "x" * 100_000)]
+    return pairs
+
+
+def check(got, pairs, shards):
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter(
+        (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in pairs)
+    sizes = Counter(r.shard for r in got)
+    counts = [sizes[k] for k in range(shards)]
+    assert max(counts) - min(counts) <= 1
+    for k in range(shards):
+        assert sorted(r.slot for r in got if r.shard == k) == list(range(sizes[k]))
+    assert {(r.law, r.grown_shard) for r in got} <= {("rows", None)}
+
+
+def test_law_holds_and_groups_stay_together(docs):
+    pairs = clusters()
+    got = sharding.shard_documents(docs(pairs)).collect()
+    check(got, pairs, 8)
+    split = sum(len({r.shard for r in got if r.doc_id in range(g * 10, g * 10 + 5)}) > 1 for g in range(40))
+    assert split <= 12
+    assert len({r.shard for r in got if r.size == len("the same text in very many documents") + 1}) <= 4
+
+
+def test_propagation_cuts_fewer_links(docs):
+    draw = random.Random(4)
+    lines = [[f"line {g} of the group, number {k}, long enough" for k in range(8)] for g in range(40)]
+    df = docs([(g * 20 + i, "\n".join([*draw.sample(lines[g], 4), f"own words {g} {i}"])) for g in range(40) for i in range(12)])
+    links = sharding.shared_lines(df)
+    units = df.groupBy(F.xxhash64("text").alias("unit")).agg(F.count(F.lit(1)).alias("rows"))
+    still = sharding.propagate(units, links, 8, rounds=0)
+    moved = sharding.propagate(units, links, 8, rounds=4)
+    assert sharding.cut_links(links, moved, 8) < 0.7 * sharding.cut_links(links, still, 8)
+
+
+def test_quotas_swap_and_fill_free_room():
+    share = sharding.quotas([(0, 1, 9, 10.0), (0, 1, 1, 10.0), (1, 0, 5, 5.0)], {0: 50.0, 1: 45.0}, 47.5)
+    assert share[1, 0, 5] == 1.0
+    assert share[0, 1, 9] == 0.75 and share[0, 1, 1] == 0.0
+
+
+def test_few_rows(docs):
+    for pairs in ([], [(1, "a")], [(1, "a"), (2, None), (2, None)]):
+        got = sharding.shard_documents(docs(pairs)).collect()
+        check(got, pairs, 8)
+
+
+@needs_data
+def test_query_uses_no_python(spark):
+    df = queries.op4_sharding(spark, DATA)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+    check(df.collect(), [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()], 8)

@@ -1,0 +1,30 @@
+from locusweave.llm import queries, token_counts, tokens
+
+from .conftest import DATA, needs_data
+
+
+def brute(lengths):
+    n, total = len(lengths), sum(lengths)
+    return sorted((limit, lengths.count(limit), total, sum(x <= limit for x in lengths), sum(x > limit for x in lengths), sum(x for x in lengths if x > limit),
+                   sum(min(x, limit) for x in lengths), sum(x <= limit for x in lengths) / n) for limit in set(lengths))
+
+
+def test_every_limit_is_exact(docs):
+    pairs = [(1, "a b c"), (1, "a b c"), (2, None), (3, ""), (None, "longer text " * 2000), (4, "longer text " * 700), (5, "x")]
+    histogram = token_counts.length_histogram(docs(pairs))
+    lengths = [len(tokens.encode(t or "")) for _, t in pairs]
+    totals = token_counts.context_totals(histogram)
+    assert sorted(map(tuple, totals.collect())) == brute(lengths)
+    row = token_counts.totals_at(histogram, [2, 1024]).first()
+    assert (row.tokens_2, row.tokens_1024) == tuple(sum(min(x, k) for x in lengths) for k in (2, 1024))
+    assert token_counts.quantile_length(totals, 0.5).first().length == sorted(lengths)[3]
+
+
+def test_no_rows(docs):
+    assert token_counts.context_totals(token_counts.length_histogram(docs([]))).count() == 0
+
+
+@needs_data
+def test_query_agrees_with_brute_force(spark):
+    lengths = [len(tokens.encode(r.text or "")) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    assert sorted(map(tuple, queries.op8_token_counts(spark, DATA).collect())) == brute(lengths)
