@@ -10,15 +10,15 @@ share shingles that the leader lacks, which makes the next, smaller buckets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
 from bisect import bisect_left
+from collections.abc import Iterator
 from functools import reduce
-import re
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusweave.llm.common import stored
@@ -84,9 +84,7 @@ def sketch(shingled: np.ndarray) -> np.ndarray:
     kept = min(KEPT, n)
     keys = np.empty(TABLES, dtype=np.uint64)
     for at in range(0, TABLES, step := max(1, min(TABLES, 2_000_000 // n))):
-        ranks = shingled[None, :] * _SALTS[at:at + step, None]
-        ranks ^= ranks >> np.uint64(31)
-        ranks *= _MULTIPLY
+        ranks = ((shingled[None, :] * _SALTS[at:at + step, None]) >> np.uint64(32)).astype(np.uint32)
         chosen = np.sort(np.argpartition(ranks, kept - 1, axis=1)[:, :kept], axis=1) if kept < n else np.tile(np.arange(n), (len(ranks), 1))
         key = _SALTS[at:at + step].copy()
         for j in range(kept):
@@ -191,31 +189,38 @@ def _shared_buckets(members: DataFrame) -> DataFrame:
 def links_between(texts: DataFrame, members: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Pairs ``a, b`` of similar texts that connect every class of the texts in ``members`` (``bucket, unit, n, linked, size``).
 
-    Each round a bucket's most popular member leads. Of two similar members that
-    are not both linked to it, either both share with the leader what they share
-    with each other, and stay in the bucket, or they have a shingle in common
-    that it lacks, and meet in that shingle's bucket. A leader leaves its bucket,
-    so buckets shrink and the rounds end.
+    Each round a bucket's most popular members lead, four times as many as in the
+    round before, and are compared with all its members. Of two other members
+    that are not both linked to the first leader, either both share with it what
+    they share with each other, and stay in the bucket, or they have a shingle in
+    common that it lacks, and meet in that shingle's bucket. Leaders leave their
+    bucket, so buckets shrink and the rounds end.
     """
     found: list[DataFrame] = []
+    most = 1
     while True:
         popular = members.groupBy("unit").agg(F.sum("size").alias("popular"))
-        leaders = members.join(popular, "unit").groupBy("bucket").agg(
-            F.max(F.struct("popular", "unit")).alias("lead"), F.min("n").alias("shortest")).select(
-            "bucket", F.col("lead.unit").alias("leader"), "shortest")
+        ranking = Window.partitionBy("bucket").orderBy(F.desc("popular"), "unit")
+        shortest = members.groupBy("bucket").agg(F.min("n").alias("shortest"))
+        leaders = stored(members.select("bucket", "unit").join(popular, "unit").withColumn("place", F.row_number().over(ranking)).where(
+            F.col("place") <= most).select("bucket", F.col("unit").alias("leader"), "place").join(shortest, "bucket"))
         led = stored(members.select("bucket", "unit", "n").join(leaders, "bucket").where(F.col("unit") != F.col("leader")))
         result = stored(_compared(led.select("leader", "unit").distinct(), texts, least))
         found.append(result.where("linked").select(F.col("leader").alias("a"), F.col("unit").alias("b")))
+        # Other leaders have met every member; what is left is told apart by the first one.
+        left = led.where(F.col("place") == 1).join(
+            leaders.where(F.col("place") > 1).select("bucket", F.col("leader").alias("unit")), ["bucket", "unit"], "left_anti")
         bound = least / (1 + least) * (F.col("n") + F.greatest(F.col("n") * least, F.col("shortest")))
-        inside = led.join(result.select("leader", "unit", "linked", "shared"), ["leader", "unit"]).where(
+        inside = left.join(result.select("leader", "unit", "linked", "shared"), ["leader", "unit"]).where(
             F.col("shared") >= bound - 1e-6).select(F.xxhash64("bucket", "leader").alias("bucket"), "unit", "n", "linked")
-        counts = led.select("leader", "unit", "n").distinct()
+        counts = left.select("leader", "unit", "n").distinct()
         outside = result.select("leader", "unit", "linked", F.explode("rest").alias("shingle")).join(counts, ["leader", "unit"]).select(
             F.xxhash64("leader", "shingle").alias("bucket"), "unit", "n", "linked")
         members = stored(_shared_buckets(inside.unionByName(outside).groupBy("bucket", "unit").agg(
             F.max("n").alias("n"), F.min("linked").alias("linked"))))
         if members.isEmpty():
             return reduce(DataFrame.unionByName, found)
+        most *= 4
 
 
 def components(links: DataFrame) -> DataFrame:
