@@ -8,9 +8,7 @@ lies within what the steps so far cover.
 
 from __future__ import annotations
 
-import json
 from functools import reduce
-from itertools import combinations
 from math import log2
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,10 +41,14 @@ def _distances(a: Column, b: Column, pieces: list[tuple[int, int]]) -> list[Colu
     return [F.bit_count(_part(a.bitwiseXOR(b), *piece)) for piece in pieces]
 
 
-def _masks(width: int, flips: int) -> Column:
-    """All numbers of ``width`` bits of which ``flips`` are set, as one constant."""
-    masks = [sum(1 << i for i in chosen) for chosen in combinations(range(width), flips)]
-    return F.from_json(F.lit(json.dumps(masks)), "array<long>")
+def _with_masks(df: DataFrame, width: int, flips: int) -> DataFrame:
+    """Each row once per number of ``width`` bits of which ``flips`` are set, that number as ``mask``; bits are chosen one by one, upwards."""
+    df = df.withColumns({"mask": F.lit(0).cast("long"), "from": F.lit(0)})
+    for _ in range(flips):
+        left = F.when(F.col("from") < width, F.sequence(F.col("from"), F.lit(width - 1)))
+        df = df.withColumn("bit", F.explode(left)).withColumns(
+            {"mask": F.col("mask").bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))), "from": F.col("bit") + 1}).drop("bit")
+    return df.drop("from")
 
 
 def index_codes(codes: DataFrame, parts: int) -> DataFrame:
@@ -68,8 +70,8 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, parts: int) -> D
     results: list[DataFrame] = []
     for flips in range(max(width for _, width in pieces) + 1):
         probes = [
-            open_queries.repartition("query").select("query", F.lit(p).alias("part"), F.explode(_masks(width, flips)).alias("mask")).select(
-                "query", "part", _part(F.col("query"), shift, width).bitwiseXOR(F.col("mask")).alias("value"))
+            _with_masks(open_queries.repartition("query"), width, flips).select(
+                "query", F.lit(p).alias("part"), _part(F.col("query"), shift, width).bitwiseXOR(F.col("mask")).alias("value"))
             for p, (shift, width) in enumerate(pieces) if flips <= width]
         met = reduce(DataFrame.unionByName, probes).join(index, ["part", "value"])
         apart = F.array(*_distances(F.col("query"), F.col("code"), pieces))
