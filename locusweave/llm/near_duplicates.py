@@ -3,7 +3,8 @@
 A text is the sequence of its five-word shingles, each labelled with its
 occurrence. A sketch keeps, per hash function, the few smallest shingles in text
 order, so texts share one only where they agree in content and order. Texts that
-share a sketch form a bucket. Buckets are resolved around leaders: every member
+share a sketch form a bucket. A text whose own shingles, found in no other
+candidate, are too many to be similar to anything leaves. Buckets are resolved around leaders: every member
 is compared with the bucket's leader only, and pairs that this leaves open must
 share shingles that the leader lacks, which makes the next, smaller buckets.
 """
@@ -180,47 +181,79 @@ def _compared(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 
 def _shared_buckets(members: DataFrame) -> DataFrame:
-    """Members of buckets with two texts at least, and one that is not linked yet."""
-    several = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("linked").alias("done")).where(
-        (F.col("size") > 1) & ~F.col("done"))
-    return members.join(several.select("bucket", "size"), "bucket")
+    """``bucket, unit, n, able, root, linked, size, open``: members of buckets in which texts of different classes still meet.
+
+    Members of the class that most of a bucket belong to count as linked, and
+    ``open`` is the number of others.
+    """
+    classes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("rows"))
+    several = classes.groupBy("bucket").agg(
+        F.sum("rows").alias("size"), F.max(F.struct("rows", "root")).alias("top")).where(F.col("size") > F.col("top.rows"))
+    return members.join(several, "bucket").select(
+        "bucket", "unit", "n", "able", "root", (F.col("root") == F.col("top.root")).alias("linked"), "size", (F.col("size") - F.col("top.rows")).alias("open"))
+
+
+def _own_shingles(texts: DataFrame) -> DataFrame:
+    """``unit, own``: how many of a text's shingles no other of ``texts`` has; texts without any are left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 200):
+                part = batch.iloc[at:at + 200]
+                each = [shingles(text) for text in part["text"]]
+                lengths = [len(x) for x in each]
+                if sum(lengths):
+                    yield pd.DataFrame({"shingle": np.concatenate(each).view(np.int64), "unit": np.repeat(part["unit"].to_numpy(dtype=object), lengths)})
+
+    held = texts.mapInPandas(run, "shingle long, unit binary").groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("texts"), F.min("unit").alias("unit"))
+    return held.where(F.col("texts") == 1).groupBy("unit").agg(F.count(F.lit(1)).alias("own"))
 
 
 def links_between(texts: DataFrame, members: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Pairs ``a, b`` of similar texts that connect every class of the texts in ``members`` (``bucket, unit, n, linked, size``).
-
-    Each round a bucket's most popular members lead, four times as many as in the
-    round before, and are compared with all its members. Of two other members
-    that are not both linked to the first leader, either both share with it what
-    they share with each other, and stay in the bucket, or they have a shingle in
-    common that it lacks, and meet in that shingle's bucket. Leaders leave their
-    bucket, so buckets shrink and the rounds end.
+    """``unit, root`` of the texts that are similar to another one; ``members`` has ``bucket, unit, n``.
+
+    Each round the most popular open members of a bucket lead, eight times as many
+    as in the round before, and are compared with all its members of other classes
+    that have enough shingles of others (``able``). A bucket whose open members
+    have all led is done. Of two other members that are not yet in one class,
+    either both share with the first leader what they share with each other, and
+    stay in the bucket, or they have a shingle in common that it lacks, and meet in
+    that shingle's bucket. Leaders leave their bucket, so buckets shrink and the
+    rounds end.
     """
+    factor = least / (1 + least)
+    own = _own_shingles(texts)
+    members = members.join(own, "unit", "left").select("bucket", "unit", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("able"), F.col("unit").alias("root"))
+    members = stored(_shared_buckets(members.where(F.col("able") >= F.col("n") * least - 1e-6)))
     found: list[DataFrame] = []
+    roots: DataFrame | None = None
     most = 1
-    while True:
+    while not members.isEmpty():
         popular = members.groupBy("unit").agg(F.sum("size").alias("popular"))
         ranking = Window.partitionBy("bucket").orderBy(F.desc("popular"), "unit")
         shortest = members.groupBy("bucket").agg(F.min("n").alias("shortest"))
-        leaders = stored(members.select("bucket", "unit").join(popular, "unit").withColumn("place", F.row_number().over(ranking)).where(
-            F.col("place") <= most).select("bucket", F.col("unit").alias("leader"), "place").join(shortest, "bucket"))
-        led = stored(members.select("bucket", "unit", "n").join(leaders, "bucket").where(F.col("unit") != F.col("leader")))
-        result = stored(_compared(led.select("leader", "unit").distinct(), texts, least))
+        leaders = stored(members.where(~F.col("linked") | (F.col("size") == F.col("open") + 1)).select("bucket", "unit", "n", "able", "root").join(
+            popular, "unit").withColumn("place", F.row_number().over(ranking)).where(F.col("place") <= most).select(
+            "bucket", F.col("unit").alias("leader"), F.col("n").alias("leader_n"), F.col("able").alias("leader_able"), F.col("root").alias("leader_root"), "place").join(shortest, "bucket"))
+        enough = F.least("able", "leader_able") >= factor * (F.col("n") + F.col("leader_n")) - 1e-6
+        led = stored(members.join(leaders, "bucket").where(F.col("unit") != F.col("leader")).withColumn(
+            "tried", enough & (F.col("root") != F.col("leader_root"))).where(F.col("tried") | (F.col("place") == 1)))
+        routed = led.where((F.col("place") == 1) & (F.col("open") > most)).select("bucket", "leader", "unit", "n", "able", "shortest")
+        pairs = led.where("tried").select("leader", "unit").unionByName(routed.select("leader", "unit")).distinct()
+        result = stored(_compared(pairs, texts, least))
         found.append(result.where("linked").select(F.col("leader").alias("a"), F.col("unit").alias("b")))
-        # Other leaders have met every member; what is left is told apart by the first one.
-        left = led.where(F.col("place") == 1).join(
-            leaders.where(F.col("place") > 1).select("bucket", F.col("leader").alias("unit")), ["bucket", "unit"], "left_anti")
-        bound = least / (1 + least) * (F.col("n") + F.greatest(F.col("n") * least, F.col("shortest")))
-        inside = left.join(result.select("leader", "unit", "linked", "shared"), ["leader", "unit"]).where(
-            F.col("shared") >= bound - 1e-6).select(F.xxhash64("bucket", "leader").alias("bucket"), "unit", "n", "linked")
-        counts = left.select("leader", "unit", "n").distinct()
-        outside = result.select("leader", "unit", "linked", F.explode("rest").alias("shingle")).join(counts, ["leader", "unit"]).select(
-            F.xxhash64("leader", "shingle").alias("bucket"), "unit", "n", "linked")
-        members = stored(_shared_buckets(inside.unionByName(outside).groupBy("bucket", "unit").agg(
-            F.max("n").alias("n"), F.min("linked").alias("linked"))))
-        if members.isEmpty():
-            return reduce(DataFrame.unionByName, found)
-        most *= 4
+        roots = components(reduce(DataFrame.unionByName, found))
+        left = routed.join(leaders.where(F.col("place") > 1).select("bucket", F.col("leader").alias("unit")), ["bucket", "unit"], "left_anti")
+        bound = factor * (F.col("n") + F.greatest(F.col("n") * least, F.col("shortest")))
+        inside = left.join(result.select("leader", "unit", "shared"), ["leader", "unit"]).where(F.col("shared") >= bound - 1e-6).select(
+            F.xxhash64("bucket", "leader").alias("bucket"), "unit", "n", "able")
+        outside = left.select("leader", "unit", "n", "able").distinct().join(result.select("leader", "unit", F.explode("rest").alias("shingle")), ["leader", "unit"]).select(
+            F.xxhash64("leader", "shingle").alias("bucket"), "unit", "n", "able")
+        after = inside.unionByName(outside).distinct().join(roots, "unit", "left").withColumn("root", F.coalesce("root", "unit"))
+        members = stored(_shared_buckets(after))
+        most *= 8
+    return roots if roots is not None else texts.select("unit", F.col("unit").alias("root")).limit(0)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -247,15 +280,16 @@ def classify(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     ``class_id`` is the smallest id in the class, null if no member has one.
     """
     texts = docs.select(text_key(F.col("text")).alias("unit"), F.coalesce("text", F.lit("")).alias("text"))
-    sketched = _sketches(texts).groupBy("bucket", "unit").agg(F.max("n").alias("n")).withColumn("linked", F.lit(False))
-    members = stored(_shared_buckets(stored(sketched)))
+    sketched = stored(_sketches(texts).groupBy("bucket", "unit").agg(F.max("n").alias("n")))
+    several = sketched.groupBy("bucket").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") > 1).select("bucket")
+    members = stored(sketched.join(several, "bucket"))
     units = stored(docs.select(text_key(F.col("text")).alias("unit"), "doc_id").groupBy("unit").agg(
         F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")))
     if members.isEmpty():
         return units.select("unit", F.col("unit").alias("root"), F.col("first").alias("class_id"), F.col("rows").alias("class_size"))
     wanted = members.select("unit").distinct()
     near = stored(texts.join(wanted, "unit", "left_semi").groupBy("unit").agg(F.first("text").alias("text")))
-    roots = components(links_between(near, members, least))
+    roots = links_between(near, members, least)
     rooted = stored(units.join(roots, "unit", "left").withColumn("root", F.coalesce("root", "unit")))
     classes = rooted.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("rows").alias("class_size"))
     return rooted.join(classes, "root").select("unit", "root", "class_id", "class_size")
