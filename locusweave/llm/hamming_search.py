@@ -41,11 +41,11 @@ def _distances(a: Column, b: Column, pieces: list[tuple[int, int]]) -> list[Colu
     return [F.bit_count(_part(a.bitwiseXOR(b), *piece)) for piece in pieces]
 
 
-def _with_masks(df: DataFrame, width: int, flips: int) -> DataFrame:
+def _with_masks(df: DataFrame, width: Column, flips: int) -> DataFrame:
     """Each row once per number of ``width`` bits of which ``flips`` are set, that number as ``mask``; bits are chosen one by one, upwards."""
     df = df.withColumns({"mask": F.lit(0).cast("long"), "from": F.lit(0)})
     for _ in range(flips):
-        left = F.when(F.col("from") < width, F.sequence(F.col("from"), F.lit(width - 1)))
+        left = F.when(F.col("from") < width, F.sequence(F.col("from"), width - 1))
         df = df.withColumn("bit", F.explode(left)).withColumns(
             {"mask": F.col("mask").bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))), "from": F.col("bit") + 1}).drop("bit")
     return df.drop("from")
@@ -69,11 +69,11 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, parts: int) -> D
     found: DataFrame | None = None
     results: list[DataFrame] = []
     for flips in range(max(width for _, width in pieces) + 1):
-        probes = [
-            _with_masks(open_queries.repartition("query"), width, flips).select(
-                "query", F.lit(p).alias("part"), _part(F.col("query"), shift, width).bitwiseXOR(F.col("mask")).alias("value"))
-            for p, (shift, width) in enumerate(pieces) if flips <= width]
-        met = reduce(DataFrame.unionByName, probes).join(index, ["part", "value"])
+        places = F.array(*[F.struct(F.lit(p).alias("part"), _part(F.col("query"), *piece).alias("own"), F.lit(piece[1]).alias("width"))
+                           for p, piece in enumerate(pieces)])
+        probes = open_queries.repartition("query").select("query", F.inline(places)).repartition("query", "part")
+        probes = _with_masks(probes, F.col("width"), flips).select("query", "part", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
+        met = probes.join(index, ["part", "value"])
         apart = F.array(*_distances(F.col("query"), F.col("code"), pieces))
         # A code is taken at the first part that comes closest, so once.
         met = met.withColumn("apart", apart).where((F.array_min("apart") == flips) & (F.array_position("apart", F.lit(flips)) == F.col("part") + 1))

@@ -26,6 +26,9 @@ from locusweave.llm.common import stored
 
 SHINGLE, SIMILARITY = 5, 0.8
 TABLES, KEPT = 32, 5  # a pair at the threshold is missed with probability (1 - 0.8**5)**32 = 3e-6
+# Few shingles agree in five of their smallest less often than that, so texts of up to SHORT also get
+# tables of two; the lengths of a pair differ by a fifth, hence one of 64 or fewer has them on both sides.
+SHORT, SHORT_KEPT = 80, 2
 
 _WORD = re.compile(r"[^\W_]+")
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -78,16 +81,22 @@ _SALTS = _mix(np.arange(1, TABLES + 1, dtype=np.uint64) * _MULTIPLY) | np.uint64
 
 
 def sketch(shingled: np.ndarray) -> np.ndarray:
-    """One bucket number per table: hash of the smallest shingles in text order; none for an empty sequence."""
-    n = len(shingled)
-    if n == 0:
+    """Bucket numbers of a sequence, one per table, and as many again for a short one; none for an empty one."""
+    if len(shingled) == 0:
         return np.empty(0, dtype=np.int64)
-    kept = min(KEPT, n)
+    keys = _tables(shingled, KEPT)
+    return keys if len(shingled) > SHORT else np.concatenate([keys, _tables(shingled, SHORT_KEPT)])
+
+
+def _tables(shingled: np.ndarray, most: int) -> np.ndarray:
+    """Per table, the hash of the ``most`` smallest shingles in text order."""
+    n = len(shingled)
+    kept = min(most, n)
     keys = np.empty(TABLES, dtype=np.uint64)
     for at in range(0, TABLES, step := max(1, min(TABLES, 2_000_000 // n))):
         ranks = ((shingled[None, :] * _SALTS[at:at + step, None]) >> np.uint64(32)).astype(np.uint32)
         chosen = np.sort(np.argpartition(ranks, kept - 1, axis=1)[:, :kept], axis=1) if kept < n else np.tile(np.arange(n), (len(ranks), 1))
-        key = _SALTS[at:at + step].copy()
+        key = _SALTS[at:at + step] + np.uint64(most)
         for j in range(kept):
             key = _mix(key * _MULTIPLY + shingled[chosen[:, j]])
         keys[at:at + step] = key
