@@ -41,16 +41,23 @@ def chrom_name(number: Column) -> Column:
     )
 
 
+def gene_name(attributes: Column) -> Column:
+    """``gene_name`` of a GTF attribute column, found by key."""
+    return F.regexp_extract(attributes, 'gene_name "([^"]+)"', 1)
+
+
 def parse_marker(df: DataFrame, marker: str = "Marker") -> DataFrame:
     """Split ``chr<c>:<pos>`` into ``chromosome`` and ``position``, writing X as 23 in the marker too.
 
-    Markers that do not parse give nulls instead of failing the job; the
-    quality operators count them.
+    Chromosomes X, Y, M and MT get their numbers with or without ``chr``, and
+    other numbers stay as they are. Markers that do not parse give nulls instead
+    of failing the job; the quality operators count them.
     """
     sortable = F.regexp_replace(F.col(marker), "^chrX", "chr23")
+    contig = F.split_part(F.col(marker), F.lit(":"), F.lit(1))
     return (
         df.withColumn(marker, sortable)
-        .withColumn("chromosome", strip_chr(F.split_part(F.col(marker), F.lit(":"), F.lit(1))).try_cast("int"))
+        .withColumn("chromosome", F.coalesce(chrom_number(contig), strip_chr(contig).try_cast("int")))
         .withColumn("position", F.split_part(F.col(marker), F.lit(":"), F.lit(2)).try_cast("bigint"))
     )
 

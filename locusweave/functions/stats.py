@@ -100,7 +100,7 @@ def _beta_fraction(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:
     d = 1.0 - (a + b) * x / (a + 1.0)
     d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
     h = d.copy()
-    for m in range(1, 2000):
+    for m in range(1, 2000 + int(5 * math.sqrt(np.max(np.maximum(a, b), initial=0.0)))):
         for numerator in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
             -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
@@ -111,7 +111,11 @@ def _beta_fraction(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:
             step = c * d
             h = h * step
         if np.all(np.abs(step - 1.0) < 1e-15):
-            break
+            return h
+    # The loop needs about as many steps as the square root of the degrees of freedom.
+    unsettled = np.abs(step - 1.0)
+    if np.any(unsettled > 1e-12):
+        raise ArithmeticError(f"the incomplete beta function did not converge; last relative change {unsettled.max():.1e}")
     return h
 
 

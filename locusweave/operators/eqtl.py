@@ -69,14 +69,21 @@ def causal_gene_candidates(
 
     ``chained`` keeps variants found in both, one row per pair of matches.
     ``union`` lists the matches of each collection on their own, so its size is
-    the sum and not the product of the matches of a variant.
+    the sum and not the product of the matches of a variant. ``collapsed`` keeps
+    both genes on one row without the product: the matches of the first, each with
+    the sorted list ``genes_b`` of the genes that the second has for the variant.
     """
     a, b = first_collection(eqtls_a), second_collection(eqtls_b)
     with_a = variant_allele_join(variants, a, trim_alleles=trim_alleles)
     if mode == "chained":
         return variant_allele_join(with_a, b, oa="ref", ea="alt", trim_alleles=trim_alleles)
+    if mode == "collapsed":
+        keys = variants.select(*ALLELE_KEYS).distinct()
+        genes = variant_allele_join(keys, b, oa="ref", ea="alt", trim_alleles=trim_alleles).groupBy(*ALLELE_KEYS).agg(
+            F.sort_array(F.collect_set("gene_b")).alias("genes_b"))
+        return with_a.join(genes, ALLELE_KEYS).select(*with_a.columns, "genes_b")
     if mode != "union":
-        raise ValueError("mode must be 'chained' or 'union'")
+        raise ValueError("mode must be 'chained', 'collapsed' or 'union'")
     with_b = variant_allele_join(variants, b, oa="ref", ea="alt", trim_alleles=trim_alleles)
     return (
         with_a.select(*variants.columns, F.lit("a").alias("collection"), F.col("gene_a").alias("gene"),

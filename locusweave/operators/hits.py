@@ -103,16 +103,19 @@ def count_aliases(table: DataFrame) -> DataFrame:
 
 
 def combined_sumstats(
-    template: DataFrame, hits: DataFrame, alias_map: DataFrame | None, prefer: str = "template"
+    template: DataFrame, hits: DataFrame, alias_map: DataFrame | None, prefer: str = "template", replace: bool = False
 ) -> DataFrame:
     """Template rows and hits of all traits, equal 12-column rows once, with aliases.
 
     Template rows carry no alias. Which of two equal rows stays is decided by
     ``prefer``. Only the source rank is aggregated, so copies collapse before the
-    shuffle, and the alias follows from source and phenotype afterwards.
+    shuffle, and the alias follows from source and phenotype afterwards. With
+    ``replace``, hits take the place of all template rows of their variant.
     """
     if prefer not in ("template", "hits"):
         raise ValueError("prefer must be 'template' or 'hits'")
+    if replace:
+        template = template.join(hits.select("ID").distinct(), "ID", "left_anti")
     from_hits = F.lit(1 if prefer == "template" else -1)
     rows = (
         template.select(*SUMSTATS_COLUMNS).withColumn("_source", F.lit(0))

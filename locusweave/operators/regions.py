@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusweave.functions.loci import chrom_number
+from locusweave.functions.loci import chrom_number, gene_name
 from locusweave.operators.intervals import merge_intervals, nearest_start, overlap_join
 from locusweave.operators.ordering import number_rows
 from locusweave.schemas import REGION_COLUMNS
@@ -15,15 +15,18 @@ GENE_WINDOW = 1_000_000
 FIRST_BASE = 2
 
 
-def gene_table(annotation: DataFrame) -> DataFrame:
-    """Genes of an annotation table: chromosome number, closed interval and the ``gene_name`` attribute."""
+def gene_table(annotation: DataFrame, x_as_23: bool = True) -> DataFrame:
+    """Genes of an annotation table: chromosome number, closed interval and the ``gene_name`` attribute.
+
+    Without ``x_as_23`` genes of X keep no number and are never nearest to a hit, which is numbered 23 there.
+    """
     return (
-        annotation.filter(F.col("feature") == "gene")
+        annotation.filter(F.col("feature") == "gene").filter(F.lit(x_as_23) | ~F.col("seqname").isin("chrX", "X"))
         .select(
             chrom_number(F.col("seqname")).alias("chromosome"),
             F.col("start").alias("gene_start"),
             F.col("end").alias("gene_end"),
-            F.regexp_extract("attributes", 'gene_name "([^"]+)"', 1).alias("gene_name"),
+            gene_name(F.col("attributes")).alias("gene_name"),
         )
     )
 
@@ -49,6 +52,7 @@ def hit_regions(
     Hits of one locus and trait are combined before the shuffle, so a hot locus
     brings at most one row per trait into its bin. Everything a region reports is
     carried through both merging steps; hits are read once and never joined back.
+    ``phenotypes`` is an array; text tables hold it by ``functions.traits``.
     """
     located = hits.filter(F.col("chromosome").isNotNull() & F.col("position").isNotNull())
     per_locus = located.groupBy("chromosome", "position", "phenotype").agg(
@@ -78,7 +82,7 @@ def hit_regions(
         F.col("lead.pval").alias("leadSnp_pval"),
         F.col("n").alias("num_included_variants"),
         F.size("traits").cast("bigint").alias("num_phenotypes"),
-        F.concat_ws(",", "traits").alias("phenotypes"),
+        F.col("traits").alias("phenotypes"),
     )
     if genes is None:
         return regions.withColumn("leadSnp_closest_gene", F.lit(NO_GENE)).select(*REGION_COLUMNS)
@@ -106,7 +110,7 @@ def region_hits(regions: DataFrame, hits: DataFrame, bed: bool = True) -> DataFr
     """
     named = number_regions(regions).select(
         F.col("chrom").alias("chromosome"), "chromStart", "chromEnd", "region_id", "region",
-        F.explode(F.array_distinct(F.split("phenotypes", ","))).alias("phenotype"),
+        F.explode(F.array_distinct("phenotypes")).alias("phenotype"),
     )
     columns = ["region_id", "region", "chromosome", "position", "EA", "pval", "phenotype"]
     points = hits.select("chromosome", "position", "EA", "pval", "phenotype")

@@ -7,15 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.functions.loci import chrom_name, chrom_number, locus_text, parse_marker
+from locusweave.functions.loci import chrom_name, chrom_number, gene_name, locus_text, parse_marker
 from locusweave.functions.stats import chi2_sf
+from locusweave.functions.traits import encode_traits
 from locusweave.operators import association, eqtl, hits, quality, regions, tf_binding
 from locusweave.plans.fixtures import Tables
 from locusweave.session import settle, tune
-from locusweave.sources.files import cell_type_from_filename, gene_name, phenotype_from_filename
+from locusweave.sources.files import cell_type_from_filename, phenotype_from_filename
 
 TEMPLATE_TRAIT = "trait_0"
 WINDOW_BUFFER = 20_000
+VCF_CHUNK = 300
 SAFE_BIOTYPES = ["1-URGENT", "5-LOW"]
 
 
@@ -98,7 +100,13 @@ def best_pheno_per_variant(t: Tables) -> DataFrame:
 
 
 def all_hits_table(t: Tables) -> DataFrame:
-    return _short_pval(hits.all_hits([_hits(t)]))
+    found, early = _hits(t), F.col("phenotype") < "trait_3"
+    return _short_pval(hits.all_hits([found.filter(early), found.filter(~early)]))
+
+
+def all_hits_one_per_variant(t: Tables) -> DataFrame:
+    found, early = _hits(t), F.col("phenotype") < "trait_3"
+    return _short_pval(hits.all_hits([found.filter(early), found.filter(~early)], one_per_variant=True))
 
 
 def alias_assign(t: Tables) -> DataFrame:
@@ -113,12 +121,26 @@ def combined_sumstats(t: Tables) -> DataFrame:
     return _short_pval(_combined(t))
 
 
+def _region_text(table: DataFrame) -> DataFrame:
+    return _short_pval(table, "leadSnp_pval").withColumn("phenotypes", encode_traits(F.col("phenotypes")))
+
+
+def combined_prefer_hits(t: Tables) -> DataFrame:
+    template = hits.full_sumstats(t.gwas, t.vi, TEMPLATE_TRAIT)
+    return _short_pval(hits.combined_sumstats(template, _hits(t), t.alias_map, prefer="hits"))
+
+
+def combined_replaced(t: Tables) -> DataFrame:
+    template = hits.full_sumstats(t.gwas, t.vi, TEMPLATE_TRAIT)
+    return _short_pval(hits.combined_sumstats(template, _hits(t), t.alias_map, replace=True))
+
+
 def hit_regions(t: Tables) -> DataFrame:
-    return _short_pval(_regions(t), "leadSnp_pval")
+    return _region_text(_regions(t))
 
 
 def hit_regions_no_genes(t: Tables) -> DataFrame:
-    return _short_pval(regions.hit_regions(_hits(t), None, 5_000), "leadSnp_pval")
+    return _region_text(regions.hit_regions(_hits(t), None, 5_000))
 
 
 def region_hits(t: Tables) -> DataFrame:
@@ -126,9 +148,18 @@ def region_hits(t: Tables) -> DataFrame:
     return _short_pval(regions.region_hits(settle(_regions(t, found)), found))
 
 
+def region_hits_named_traits(t: Tables) -> DataFrame:
+    """Members with commas and percent signs in trait names, and regions on Y and the mitochondrion."""
+    found = settle(hits.significant_hits(t.odd_gwas, t.odd_vi))
+    return _short_pval(regions.region_hits(settle(_regions(t, found)), found))
+
+
 def nearest_gene(t: Tables) -> DataFrame:
-    loci = hits.annotate(t.gwas, t.vi).select("ID", "phenotype", "chromosome", "position")
-    return regions.nearest_gene(loci, t.genes, 100_000)
+    """The gene is found once per variant and rides along the ID join."""
+    variants = parse_marker(t.vi.select("ID", "Marker")).select("ID", "chromosome", "position")
+    known = regions.nearest_gene(variants, t.genes, 100_000)
+    return t.gwas.select("ID", "phenotype").join(known, "ID", "left").withColumn(
+        "closest_gene", F.coalesce("closest_gene", F.lit(regions.NO_GENE)))
 
 
 def gtf_gene_name(t: Tables) -> DataFrame:
@@ -166,6 +197,11 @@ def causal_gene_union(t: Tables) -> DataFrame:
     return eqtl.causal_gene_candidates(_candidate_variants(t), t.eqtl_a, t.eqtl_b, mode="union")
 
 
+def causal_gene_collapsed(t: Tables) -> DataFrame:
+    found = eqtl.causal_gene_candidates(_candidate_variants(t), t.eqtl_a, t.eqtl_b, mode="collapsed")
+    return found.withColumn("genes_b", F.concat_ws(",", "genes_b"))
+
+
 def causal_gene_rank(t: Tables) -> DataFrame:
     return eqtl.causal_gene_rank(variant_allele_join(t))
 
@@ -179,7 +215,7 @@ def variant_loci(t: Tables) -> DataFrame:
 
 
 def vcf_projection(t: Tables) -> DataFrame:
-    return tf_binding.vcf_projection(t.vlist)
+    return tf_binding.vcf_projection(t.vlist, VCF_CHUNK)
 
 
 def peak_overlap(t: Tables) -> DataFrame:
@@ -191,6 +227,11 @@ def peak_biotype_filter(t: Tables) -> DataFrame:
     return tf_binding.peak_biotype_filter(_peak_hits(t), biotypes)
 
 
+def peak_empty_biotypes(t: Tables) -> DataFrame:
+    none = t.orders.sparkSession.createDataFrame([], "biotype string")
+    return tf_binding.peak_biotype_filter(_peak_hits(t), none)
+
+
 def motif_effect_filter(t: Tables) -> DataFrame:
     return tf_binding.motif_effects(t.effects, tf_binding.variant_key_map(t.vlist), 0.3)
 
@@ -220,6 +261,15 @@ def variant_qc_filter(t: Tables) -> DataFrame:
     return association.variant_qc_filter(association.variant_qc(t.geno), min_p_hwe=1e-3).select("ID")
 
 
+def variant_qc_plain_p(t: Tables) -> DataFrame:
+    qc = association.variant_qc(t.geno, mid_p=False)
+    return qc.select("ID", F.round("p_hwe", 6).alias("p_hwe"))
+
+
+def variant_qc_two_sided(t: Tables) -> DataFrame:
+    return association.variant_qc_filter(association.variant_qc(t.geno), min_p_hwe=1e-3, two_sided=True).select("ID")
+
+
 def gwas_linear_regression(t: Tables) -> DataFrame:
     fits = association.association(t.geno, t.cohort, t.pheno)
     return _rounded_fits(fits)
@@ -264,16 +314,21 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     for f in (
         scan_variant_info, scan_gwas_results, phenotype_from_file_name, cell_type_from_file_name, parsed_markers,
         normalized_chromosomes, chi2_pvalue, significant_hits, full_sumstats, best_pheno_per_variant, all_hits_table,
-        alias_assign, alias_count, combined_sumstats, hit_regions, hit_regions_no_genes, region_hits, nearest_gene,
+        all_hits_one_per_variant, alias_assign, alias_count, combined_sumstats, combined_prefer_hits, combined_replaced, hit_regions,
+        hit_regions_no_genes, region_hits, region_hits_named_traits, nearest_gene,
         gtf_gene_name, manhattan_points, manhattan_thinned, eqtl_lookup, to_genomic_table, variant_allele_join,
-        causal_gene_candidates, causal_gene_union, causal_gene_rank, variant_key_map, variant_loci, vcf_projection,
-        peak_overlap, peak_biotype_filter, motif_effect_filter, motif_matrix_unpivot, double_evidence_tfs,
-        sample_overlap, shared_samples, variant_qc, variant_qc_filter, gwas_linear_regression,
+        causal_gene_candidates, causal_gene_union, causal_gene_collapsed, causal_gene_rank, variant_key_map, variant_loci, vcf_projection,
+        peak_overlap, peak_biotype_filter, peak_empty_biotypes, motif_effect_filter, motif_matrix_unpivot, double_evidence_tfs,
+        sample_overlap, shared_samples, variant_qc, variant_qc_filter, variant_qc_plain_p, variant_qc_two_sided, gwas_linear_regression,
         gwas_covariate_regression, gwas_with_quality_control, genomic_inflation, locus_quality, unmatched_hits, unparsed_markers,
     )
 }
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Build the named query over the tables of ``sf_dir``; nothing but small checks runs before an action."""
+    """Build the named query over the tables of ``sf_dir``.
+
+    Building runs jobs where an operator settles an intermediate table or checks a size:
+    region members, plot points, peaks, regressions and the inflation factor.
+    """
     return QUERIES[name](Tables(tune(spark), sf_dir))

@@ -15,6 +15,7 @@ BASE_TABLES = {
     "region": "r_regionkey INT, r_name STRING",
     "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
     "part": "p_partkey BIGINT, p_size INT",
+    "customer": "c_custkey BIGINT",
     "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING",
     "lineitem": "l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
                 "l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING",
@@ -89,7 +90,11 @@ SELECT ID, OA, EA, EAF, Info,
             WHEN EAF > 0.2e0 THEN replace(Marker, 'chr', '') ELSE Marker END AS Marker
 FROM vi""",
     "good_vi": """
-SELECT ID, Marker, OA, EA, EAF, Info FROM vi WHERE Info >= 0.85e0""",
+SELECT CASE WHEN Info >= 0.85e0 THEN ID ELSE 'old_' || ID END AS ID, Marker, OA, EA, EAF, Info FROM vi""",
+    "odd_vi": """
+SELECT ID, replace(replace(replace(Marker, 'chr2:', 'chrY:'), 'chr4:', 'chrMT:'), 'chrX:', 'X:') AS Marker, OA, EA, EAF, Info FROM vi""",
+    "odd_gwas": """
+SELECT ID, replace(replace(phenotype, 'trait_', 'trait, no. '), '3', '3 %2C') AS phenotype, beta, chi2 FROM gwas""",
     "result_files": """
 SELECT 'batch_1_run_2_' || phenotype || '_all_chr_v1.res' AS file_name, ID, beta, chi2 FROM gwas""",
     "attributes": """
@@ -97,7 +102,7 @@ SELECT 'gene_id "ENSG' || CAST(s_suppkey AS STRING) || '"; gene_type "protein_co
          '"; level 2;' AS attributes, s_suppkey AS line
 FROM supplier""",
     "genotyped": """
-SELECT DISTINCT l_suppkey AS sample_id FROM lineitem WHERE l_quantity >= 49""",
+SELECT c_custkey * 2 AS sample_id FROM customer""",
     "cohort": """
 SELECT s_suppkey AS sample_id FROM supplier""",
     "pheno": """

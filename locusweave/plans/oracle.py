@@ -38,8 +38,9 @@ def chi2_sf_sql(chi2: str) -> str:
     )
 
 
-THRESHOLD = _number(stats.chi2_isf(1e-6))
-MEDIAN = _number(stats.chi2_isf(0.5))
+# Upper quantiles of chi-square with one degree of freedom at 1e-6 and 0.5.
+THRESHOLD = "2.3928126976934827e1"
+MEDIAN = "4.549364231195727e-1"
 
 ANNOTATED = f"""annotated AS (
   SELECT g.ID, g.beta, g.chi2, {_short(chi2_sf_sql('g.chi2'))} AS pval, replace(v.Marker, 'chrX', 'chr23') AS Marker,
@@ -225,6 +226,9 @@ SELECT ID, CAST({CHROM_NUMBER.format(c='Chrom')} AS INT) AS chrom_number, Chrom
         "full_sumstats": _query(base, (ANNOTATED,), f"SELECT {SUMSTATS} FROM annotated"),
         "best_pheno_per_variant": _query(base, hit, f"""
 SELECT {SUMSTATS} FROM (SELECT *, row_number() OVER (PARTITION BY ID ORDER BY chi2 DESC, phenotype) AS rn FROM hits) r
+WHERE rn = 1"""),
+        "all_hits_one_per_variant": _query(base, hit, f"""
+SELECT {SUMSTATS} FROM (SELECT *, row_number() OVER (PARTITION BY ID ORDER BY chi2 DESC, phenotype) AS rn FROM hits) r
 WHERE rn = 1"""),
         "all_hits_table": _query(base, hit, f"SELECT {SUMSTATS} FROM hits ORDER BY chromosome, position"),
         "alias_assign": _query((*base, "alias_map"), hit, f"""
@@ -233,6 +237,16 @@ FROM hits h LEFT JOIN alias_map m ON m.phenotype = h.phenotype"""),
         "alias_count": _query((*base, "alias_map"), (*hit, COMBINED),
                               "SELECT count(DISTINCT alias) AS num_aliases FROM combined"),
         "combined_sumstats": _query((*base, "alias_map"), (*hit, COMBINED), f"SELECT {SUMSTATS}, alias FROM combined"),
+        "combined_prefer_hits": _query((*base, "alias_map"), hit, f"""
+SELECT {SUMSTATS.replace('phenotype', 'h.phenotype')}, coalesce(m.alias, '<no data>') AS alias FROM (SELECT DISTINCT {SUMSTATS} FROM hits) h
+LEFT JOIN alias_map m ON m.phenotype = h.phenotype
+UNION ALL SELECT {SUMSTATS}, '<no data>' FROM (
+  SELECT {SUMSTATS} FROM annotated WHERE phenotype = '{TEMPLATE_TRAIT}' EXCEPT SELECT {SUMSTATS} FROM hits) t"""),
+        "combined_replaced": _query((*base, "alias_map"), hit, f"""
+SELECT {SUMSTATS.replace('phenotype', 'h.phenotype')}, coalesce(m.alias, '<no data>') AS alias FROM (SELECT DISTINCT {SUMSTATS} FROM hits) h
+LEFT JOIN alias_map m ON m.phenotype = h.phenotype
+UNION ALL SELECT DISTINCT {SUMSTATS}, '<no data>' FROM annotated
+WHERE phenotype = '{TEMPLATE_TRAIT}' AND ID NOT IN (SELECT ID FROM hits)"""),
         "hit_regions": _query((*base, "genes"), (*hit, REGIONS), "SELECT * FROM regions"),
         "hit_regions_no_genes": _query(base, (*hit, _regions(5000)), """
 SELECT chrom, chromStart, chromEnd, leadSnp_pos, leadSnp_pval, 'NA' AS leadSnp_closest_gene, num_included_variants,
@@ -244,6 +258,18 @@ SELECT r.region_id, 'region_' || CAST(r.region_id AS VARCHAR) || '_chr' || CAST(
        h.chromosome, h.position, h.position AS position2, h.EA, h.pval, h.phenotype
 FROM numbered r JOIN hits h ON h.chromosome = r.chrom AND h.position BETWEEN r.chromStart AND r.chromEnd
  AND list_contains(string_split(r.phenotypes, ','), h.phenotype)"""),
+        "region_hits_named_traits": _query(("odd_gwas", "odd_vi", "genes"), (f"""placed AS (
+  SELECT *, CAST(CASE c WHEN 'X' THEN '23' WHEN 'Y' THEN '24' WHEN 'MT' THEN '25' ELSE c END AS INT) AS chromosome,
+         CAST(split_part(Marker, ':', 2) AS BIGINT) AS position
+  FROM (SELECT *, replace(split_part(Marker, ':', 1), 'chr', '') AS c FROM odd_vi) v),
+hits AS (
+  SELECT g.ID, g.chi2, {_short(chi2_sf_sql('g.chi2'))} AS pval, l.chromosome, l.position, l.EA, g.phenotype
+  FROM odd_gwas g JOIN placed l ON l.ID = g.ID WHERE g.chi2 > {THRESHOLD})""", _regions(WINDOW_BUFFER), """numbered AS (
+  SELECT *, row_number() OVER (ORDER BY chrom, chromStart) AS region_id FROM bare_regions)"""), """
+SELECT r.region_id, 'region_' || CAST(r.region_id AS VARCHAR) || '_chr' || CAST(r.chrom AS VARCHAR) || ':' ||
+         CAST(r.chromStart AS VARCHAR) || '-' || CAST(r.chromEnd AS VARCHAR) AS region,
+       h.chromosome, h.position, h.position AS position2, h.EA, h.pval, h.phenotype
+FROM numbered r JOIN hits h ON h.chromosome = r.chrom AND h.position BETWEEN r.chromStart AND r.chromEnd"""),
         "nearest_gene": _query((*base, "genes"), (ANNOTATED, """choice AS (
   SELECT v.chromosome, v.position, g.gene_name,
          row_number() OVER (PARTITION BY v.chromosome, v.position
@@ -272,6 +298,11 @@ SELECT v.*, 'a' AS collection, a.gene, a.pval AS eqtl_pval, a.cell_type FROM var
 UNION ALL
 SELECT v.*, 'b', b.gene, NULL, b.source FROM variants v JOIN eqtl_b b
     ON b.chromosome = v.chromosome AND b.position = v.position AND b.ref = v.OA AND b.alt = v.EA"""),
+        "causal_gene_collapsed": _query((*base, "eqtl_a", "eqtl_b"), (*hit, VARIANTS, MATCHED), """
+SELECT m.*, b.genes_b FROM matched m JOIN (
+  SELECT chromosome AS c, position AS p, ref, alt, string_agg(DISTINCT gene, ',' ORDER BY gene) AS genes_b
+  FROM eqtl_b GROUP BY chromosome, position, ref, alt) b
+    ON b.c = m.chromosome AND b.p = m.position AND b.ref = m.OA AND b.alt = m.EA"""),
         "causal_gene_rank": _query((*base, "eqtl_a"), (*hit, VARIANTS, MATCHED), """
 SELECT chromosome, position, OA, EA, gene_a AS gene, best_pval, num_cell_types,
        row_number() OVER (PARTITION BY chromosome, position, OA, EA ORDER BY best_pval, gene_a) AS gene_rank
@@ -285,10 +316,11 @@ SELECT DISTINCT replace(Chrom, 'chr', '') || ':' || CAST(Pos AS VARCHAR) AS chr_
   SELECT *, {CHROM_NUMBER.format(c='Chrom')} AS c FROM vlist), numbered AS (
   SELECT *, row_number() OVER (ORDER BY c, Pos, ID, OA, EA) AS ordinal FROM placed)""",), """
 SELECT c AS "#CHROM", Pos AS "POS", ID, OA AS "REF", EA AS "ALT", 100 AS "QUAL", '.' AS "FILTER", '.' AS "INFO",
-       'GT:DP' AS "FORMAT", '0/1:154' AS "NA00001", ordinal, (ordinal - 1) // 10000 + 1 AS chunk FROM numbered"""),
+       'GT:DP' AS "FORMAT", '0/1:154' AS "NA00001", ordinal, (ordinal - 1) // 300 + 1 AS chunk FROM numbered"""),
         "peak_overlap": _query(("loci", "peaks"), (PEAK_HITS,), "SELECT * FROM peak_hits"),
         "peak_biotype_filter": _query(("loci", "peaks"), (PEAK_HITS,),
                                       f"SELECT * FROM peak_hits WHERE biotype IN ({biotypes})"),
+        "peak_empty_biotypes": _query(("loci", "peaks"), (PEAK_HITS,), "SELECT * FROM peak_hits"),
         "motif_effect_filter": _query(("effects", "vlist"), (_motif(0.3),), "SELECT * FROM motif"),
         "motif_matrix_unpivot": _query(("motif_matrix",), (), "\nUNION ALL ".join(
             f"SELECT 'M{i}' AS variant, TF, M{i} AS score FROM motif_matrix" for i in range(1, 8))),
@@ -305,6 +337,10 @@ SELECT sample_id FROM genotyped INTERSECT SELECT sample_id FROM pheno WHERE y2 I
         "variant_qc": _query(("geno",), (COUNTS,), """
 SELECT ID, n_hom_ref, n_het, n_hom_var, n_called, round(af, 9) AS af, round(p_hwe, 6) AS p_hwe FROM qc"""),
         "variant_qc_filter": _query(("geno",), (COUNTS,), "SELECT ID FROM qc WHERE af > 0.05 AND p_hwe > 1e-3"),
+        "variant_qc_plain_p": _query(("geno",), (COUNTS, """plain AS (
+  SELECT t.ID, least(1e0, sum(CASE WHEN t.pr <= o.pr * (1e0 + 1e-8) THEN t.pr ELSE 0e0 END)) AS p
+  FROM hwe_terms t JOIN hwe_terms o ON o.ID = t.ID AND o.h = o.n_het GROUP BY t.ID)"""), "SELECT ID, round(p, 6) AS p_hwe FROM plain"),
+        "variant_qc_two_sided": _query(("geno",), (COUNTS,), "SELECT ID FROM qc WHERE least(af, 1 - af) > 0.05 AND p_hwe > 1e-3"),
         "gwas_linear_regression": _query(("geno", "pheno"), (COUNTS, GRID, _fit("filled", 2)), f"SELECT {FIT_COLUMNS}"),
         "gwas_covariate_regression": _query(
             ("geno", "pheno", "cov"), (COUNTS, GRID, ADJUSTED, _fit("adjusted", 4)), f"SELECT {FIT_COLUMNS}"),
@@ -322,5 +358,5 @@ FROM (SELECT Marker, regexp_full_match(Marker, '(chr)?([0-9]+|X|Y|M|MT):[0-9]+')
 SELECT phenotype, count(*) AS num_unmatched FROM hits WHERE ID NOT IN (SELECT ID FROM good_vi) GROUP BY phenotype"""),
         "unparsed_markers": _query(("gwas", "raw_vi"), (), """
 SELECT g.phenotype, count(*) AS num_unparsed FROM gwas g JOIN raw_vi v ON v.ID = g.ID
-WHERE v.Marker NOT LIKE '%:%' OR v.Marker LIKE 'X:%' GROUP BY g.phenotype"""),
+WHERE v.Marker NOT LIKE '%:%' GROUP BY g.phenotype"""),
     }

@@ -41,18 +41,27 @@ def post_process_gwas(
     annotation: str | None = None,
     template_trait: str | None = None,
     bed: bool = True,
+    strict: bool = True,
     mode: str = "errorifexists",
 ) -> dict[str, str]:
     """Hits per phenotype, combined hit table, Manhattan points, regions and region members.
 
     ``template_trait`` is the trait whose full statistics underlie the Manhattan
-    table, the alphabetically first one by default.
+    table, the alphabetically first one by default. The text results are landed as
+    Parquet first and read as text only then; malformed rows fail that step, or
+    are counted in a report with ``strict`` off. Hits with unknown IDs and with
+    markers that do not parse are reported as well.
     """
     tune(spark)
-    out = {name: f"{output}/{name}" for name in ("hits", "hit_tables", "combined", "points", "regions", "members", "unmatched")}
+    names = ("landed", "hits", "hit_tables", "combined", "points", "regions", "members", "unmatched", "unparsed", "malformed")
+    out = {name: f"{output}/{name}" for name in names}
     name = hits.hits_table_name(run_name, f"{pval_exponent:g}", one_per_variant)
     out["hits_table"] = f"{output}/{name}"
-    info, raw = files.read_variant_info(spark, variant_info), files.read_gwas_results(spark, results)
+    info = files.read_variant_info(spark, variant_info)
+    sinks.land_results(files.read_gwas_results(spark, results, strict), out["landed"], mode)
+    raw = spark.read.schema("ID string, beta double, chi2 double, phenotype string").parquet(out["landed"])
+    if not strict:
+        sinks.write_tsv(files.malformed_results(spark, results), out["malformed"], mode)
 
     sinks.write_partitioned(
         hits.significant_hits(raw, info, pval_exponent), out["hits"], "phenotype", ["chromosome", "position", "ID"], mode=mode)
@@ -60,8 +69,9 @@ def post_process_gwas(
     sinks.write_by_phenotype(found, out["hit_tables"], mode=mode)
     sinks.write_tsv(hits.all_hits([found], one_per_variant), out["hits_table"], mode)
     sinks.write_tsv(quality.unmatched_hits(found, info), out["unmatched"], mode)
+    sinks.write_tsv(quality.unparsed_markers(found), out["unparsed"], mode)
 
-    trait = template_trait or raw.agg(F.min("phenotype")).first()[0]
+    trait = template_trait or files.result_phenotypes(spark, results)[0]
     alias_map = files.read_alias_map(spark, aliases) if aliases else None
     combined = hits.combined_sumstats(hits.full_sumstats(raw, info, trait), found, alias_map)
     combined.write.mode(mode).parquet(out["combined"])
@@ -69,7 +79,7 @@ def post_process_gwas(
 
     genes = regions.gene_table(files.read_annotation(spark, annotation)) if annotation else None
     table = regions.hit_regions(found, genes, window_buffer)
-    sinks.write_tsv(genomic_sort(table, "chrom", "chromStart"), out["regions"], mode)
+    sinks.write_regions(table, out["regions"], mode)
     sinks.write_by_region(regions.region_hits(files.read_regions(spark, out["regions"]), found, bed), out["members"], mode)
     return out
 
@@ -140,20 +150,20 @@ def find_bound_factors(
     key_map = tf_binding.variant_key_map(table)
 
     over = tf_binding.peak_overlap(tf_binding.variant_positions(table), tf_binding.peak_table(files.read_peaks(spark, peaks)))
-    sinks.write_tsv(genomic_sort(over, "chr", "pos", "distance_to_peak"), out["peaks"], mode)
+    sinks.write_tsv(over, out["peaks"], mode, ["chr", "pos", "distance_to_peak"])
     peak_hits = spark.read.schema(over.schema).option("sep", "\t").option("header", True).csv(out["peaks"])
     if biotypes:
         kept = tf_binding.peak_biotype_filter(peak_hits, files.read_value_list(spark, biotypes, "biotype"))
-        sinks.write_tsv(genomic_sort(kept, "chr", "pos", "distance_to_peak"), out["peaks_filtered"], mode)
+        sinks.write_tsv(kept, out["peaks_filtered"], mode, ["chr", "pos", "distance_to_peak"])
 
     effects = tf_binding.motif_effects(files.read_motif_effects(spark, motif_effects), key_map, threshold)
-    sinks.write_tsv(genomic_sort(effects, "Chrom", "Pos"), out["effects"], mode)
+    sinks.write_tsv(effects, out["effects"], mode, ["Chrom", "Pos"])
     if motif_matrix:
         averaged = tf_binding.motif_matrix_effects(files.read_motif_matrix(spark, motif_matrix), key_map, threshold)
-        sinks.write_tsv(genomic_sort(averaged, "Chrom", "Pos"), out["matrix_effects"], mode)
+        sinks.write_tsv(averaged, out["matrix_effects"], mode, ["Chrom", "Pos"])
         effects = averaged if from_matrix else effects
     factors = tf_binding.double_evidence_tfs(peak_hits, effects)
-    sinks.write_tsv(genomic_sort(factors, "Chr", "Pos"), out["factors"], mode)
+    sinks.write_tsv(factors, out["factors"], mode, ["Chr", "Pos"])
     return out
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from locusweave import schemas
 from locusweave.functions.loci import chrom_number
+from locusweave.functions.traits import decode_traits
 from locusweave.operators.hits import OTHER_ALIAS
 
 
@@ -31,11 +32,6 @@ def chromosome_from_path(path: Column) -> Column:
     return F.regexp_extract(path, r"chr(\d+)\.", 1).try_cast("int")
 
 
-def gene_name(attributes: Column) -> Column:
-    """``gene_name`` of a GTF attribute column, found by key."""
-    return F.regexp_extract(attributes, 'gene_name "([^"]+)"', 1)
-
-
 def _csv(spark: SparkSession, schema: T.StructType, header: bool, sep: str = "\t", glob: str | None = None, **options):
     reader = spark.read.schema(schema).option("sep", sep).option("header", header).option("quote", "")
     if glob:
@@ -77,19 +73,41 @@ def read_variant_info(spark: SparkSession, path: str) -> DataFrame:
     return read_header_table(spark, path, schemas.VARIANT_INFO, what="variant info")
 
 
-def read_gwas_results(spark: SparkSession, directory: str) -> DataFrame:
-    """All headerless result files (plain or gzipped) of a directory, phenotype from the file name."""
-    rows = _csv(spark, schemas.GWAS_RESULT, False, " ", "*.res*").csv(directory)
+def read_gwas_results(spark: SparkSession, directory: str, strict: bool = True) -> DataFrame:
+    """All headerless result files (plain or gzipped) of a directory, phenotype from the file name.
+
+    A row without exactly an ID and two numbers fails the job. With ``strict``
+    off it gives nulls, and ``malformed_results`` counts such rows.
+    """
+    mode = "FAILFAST" if strict else "PERMISSIVE"
+    rows = _csv(spark, schemas.GWAS_RESULT, False, " ", "*.res*", mode=mode).csv(directory)
     return rows.select("*", phenotype_from_filename(_file_name()).alias("phenotype"))
 
 
+def malformed_results(spark: SparkSession, directory: str) -> DataFrame:
+    """Rows per phenotype that are not an ID and two numbers; phenotypes without any are left out."""
+    fields = F.split("value", " ")
+    good = (F.size(fields) == 3) & fields[1].try_cast("double").isNotNull() & fields[2].try_cast("double").isNotNull()
+    lines = spark.read.option("pathGlobFilter", "*.res*").text(directory).filter("value != ''")
+    counted = lines.groupBy(phenotype_from_filename(_file_name()).alias("phenotype")).agg(F.count_if(~good).alias("num_malformed"))
+    return counted.filter("num_malformed > 0")
+
+
+def result_phenotypes(spark: SparkSession, directory: str) -> list[str]:
+    """Phenotypes of a result directory in alphabetical order, from the names of its files alone."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.res*").load(directory).select(
+        phenotype_from_filename(F.url_decode(F.element_at(F.split("path", "/"), -1))).alias("phenotype"))
+    return [r.phenotype for r in listed.distinct().orderBy("phenotype").collect()]
+
+
 def read_sumstats(spark: SparkSession, directory: str) -> DataFrame:
     """All 12-column hit tables (``.txt``, ``.tsv``) of a directory; header-only files add no rows."""
     return _csv(spark, schemas.SUMSTATS, True, glob="*.{txt,tsv}").csv(directory)
 
 
 def read_regions(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, schemas.REGION, True).csv(path)
+    """Region table with its trait lists as arrays."""
+    return _csv(spark, schemas.REGION, True).csv(path).withColumn("phenotypes", decode_traits(F.col("phenotypes")))
 
 
 def read_alias_map(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from locusweave.functions.traits import encode_traits
+from locusweave.operators.ordering import genomic_sort
+from locusweave.session import settle
+
 # Characters removed from a name, and characters trimmed off its ends.
 UNSAFE_IN_NAMES = ' <>:"/\\|?*'
 TRIMMED_FROM_NAMES = " ."
@@ -20,8 +24,16 @@ def safe_name(name: Column) -> Column:
 TSV = {"sep": "\t", "header": "true", "quote": "\u0000", "comment": "\u0001", "nullValue": "", "emptyValue": ""}
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(**TSV).csv(path)
+def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", order: list[str] | None = None) -> None:
+    """Plain text table, with ``order`` in genomic order by these columns (chromosome, position, more).
+
+    Finding the ranges of an ordered output reads the rows once before they are
+    written, so they are settled first and computed once.
+    """
+    rows = df if order is None else settle(df)
+    (rows if order is None else genomic_sort(rows, *order)).write.mode(mode).options(**TSV).csv(path)
+    if order is not None:
+        rows.unpersist()
 
 
 def write_partitioned(
@@ -31,15 +43,18 @@ def write_partitioned(
 
     Rows are placed by range of value, order and then all other columns, so a small
     value lands in one file and a value or place with very many rows is written by
-    many tasks.
+    many tasks. Rows are settled before their ranges are looked for, so they are
+    computed once.
     """
     lead = [by, *order]
     keys = [F.col(f"`{c}`") for c in lead + [c for c in df.columns if c not in lead]]
-    rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    settled = settle(df)
+    rows = settled.repartitionByRange(*keys).sortWithinPartitions(*keys)
     writer = rows.write.mode(mode).partitionBy(by)
     if file_format == "csv":
         writer = writer.options(**TSV)
     writer.format(file_format).save(path)
+    settled.unpersist()
 
 
 def write_by_phenotype(df: DataFrame, path: str, file_format: str = "csv", mode: str = "errorifexists") -> None:
@@ -48,6 +63,12 @@ def write_by_phenotype(df: DataFrame, path: str, file_format: str = "csv", mode:
     write_partitioned(named, path, "phenotype_name", ["chromosome", "position", "ID"], file_format, mode)
 
 
+def write_regions(regions: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Region table in genomic order, its trait lists as text."""
+    coded = regions.withColumn("phenotypes", encode_traits(F.col("phenotypes")))
+    write_tsv(coded, path, mode, ["chrom", "chromStart"])
+
+
 def write_by_region(members: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Region members, one folder per region."""
     write_partitioned(members, path, "region", ["chromosome", "position", "phenotype"], "csv", mode)

@@ -23,11 +23,11 @@ def test_prefix_is_added_once(spark):
 
 
 def test_marker_parsing_maps_x_and_tolerates_junk(spark):
-    markers = ["chr3:1200", "chrX:77", "chr4-99", "chrQ:5", None]
+    markers = ["chr3:1200", "chrX:77", "chr4-99", "chrQ:5", None, "chrY:5", "chrM:7", "chrMT:3", "X:9", "26:4"]
     df = loci.parse_marker(spark.createDataFrame([(m,) for m in markers], "Marker string"))
     assert [tuple(r) for r in df.collect()] == [
         ("chr3:1200", 3, 1200), ("chr23:77", 23, 77), ("chr4-99", None, None), ("chrQ:5", None, 5),
-        (None, None, None)]
+        (None, None, None), ("chrY:5", 24, 5), ("chrM:7", 25, 7), ("chrMT:3", 25, 3), ("X:9", 23, 9), ("26:4", 26, 4)]
 
 
 def test_variant_keys_of_snvs_and_indels(spark):

@@ -29,7 +29,19 @@ def test_start_is_clamped_to_two(spark):
 def test_counts_are_of_rows_and_traits_are_distinct_and_sorted(spark):
     data = [_hit(1, 500, phenotype=p) for p in ("b", "a", "b")] + [_hit(1, 600, phenotype="c")]
     got = _regions(spark, data, window_buffer=100)
-    assert rows(got, "num_included_variants", "num_phenotypes", "phenotypes") == [(4, 3, "a,b,c")]
+    assert rows(got, "num_included_variants", "num_phenotypes", "phenotypes") == [(4, 3, ["a", "b", "c"])]
+
+
+def test_traits_with_commas_and_the_last_chromosomes_keep_their_hits(spark):
+    from locusweave.functions.traits import decode_traits, encode_traits
+
+    names = ["IL2, free", "50 %", "a%2Cb", "plain"]
+    data = [_hit(c, 500 + i, phenotype=p) for c in (1, 24, 25) for i, p in enumerate(names)]
+    hits = spark.createDataFrame(data, SUMSTATS)
+    table = regions.hit_regions(hits, window_buffer=100)
+    coded = table.withColumn("phenotypes", encode_traits("phenotypes")).withColumn("phenotypes", decode_traits("phenotypes"))
+    assert rows(coded, "phenotypes") == [(sorted(names),)] * 3
+    assert regions.region_hits(coded, hits).count() == len(data)
 
 
 def test_lead_is_smallest_p_then_largest_chi2_then_position(spark):

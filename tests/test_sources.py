@@ -136,7 +136,7 @@ def test_sumstats_directory_skips_header_only_files(spark, tmp_path):
 
 def test_regions_and_members_round_trip(spark, tmp_path):
     table = regions.hit_regions(_sumstats(spark), window_buffer=3)
-    sinks.write_tsv(table, str(tmp_path / "regions"))
+    sinks.write_regions(table, str(tmp_path / "regions"))
     back = files.read_regions(spark, str(tmp_path / "regions"))
     assert rows(back) == rows(table)
     sinks.write_by_region(regions.region_hits(back, _sumstats(spark)), str(tmp_path / "members"))

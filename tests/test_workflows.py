@@ -46,6 +46,43 @@ def test_gwas_post_processing(spark, tmp_path):
         ("region_1_chr1:700-1800", "1000", "1000", "p_one"), ("region_1_chr1:700-1800", "1000", "1000", "two"),
         ("region_1_chr1:700-1800", "1500", "1500", "p_one"), ("region_2_chr23:600-1200", "900", "900", "two")]
     assert _read(spark, out["points"]).filter("x IS NOT NULL").count() == 5
+    assert _read(spark, out["unparsed"]).count() == 0
+
+
+def test_malformed_rows_fail_or_are_reported(spark, tmp_path):
+    info = _write(tmp_path / "vi.txt", [
+        ("ID", "Marker", "OA", "EA", "EAF", "Info"), ("rs1", "chrY:1000", "A", "G", 0.1, 0.9), ("rs2", "chr1-7", "A", "G", 0.1, 0.9)])
+    for trait, text in {"IL2, free": "rs1 0.1 40\nrs3 bad\nrs4 0.1 50 9\n", "b": "rs2 0.1 60\n"}.items():
+        path = tmp_path / "res" / f"a_b_c_d_{trait}_x_y_z.res"
+        path.parent.mkdir(exist_ok=True)
+        path.write_text(text)
+    args = (spark, info, str(tmp_path / "res"))
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED|malformed"):
+        workflows.post_process_gwas(*args, str(tmp_path / "strict"), "run", 6, 300)
+    out = workflows.post_process_gwas(*args, str(tmp_path / "out"), "run", 6, 300, strict=False)
+    assert rows(_read(spark, out["malformed"])) == [("IL2, free", "2")]
+    assert rows(_read(spark, out["unparsed"])) == [("b", "1")]
+    assert rows(_read(spark, out["members"]), "chromosome", "phenotype") == [("24", "IL2, free")]
+
+
+def test_sinks_compute_their_rows_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from locusweave.sources import sinks
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(n):
+        seen.add(1)
+        return n
+
+    df = spark.range(0, 4000, 1, 4).select((F.col("id") % 3).cast("string").alias("phenotype"), (F.col("id") % 5).alias("chromosome"), counted("id").alias("position"))
+    sinks.write_partitioned(df, str(tmp_path / "a"), "phenotype", ["chromosome", "position"])
+    assert seen.value == 4000
+    sinks.write_tsv(df, str(tmp_path / "b"), order=["chromosome", "position"])
+    assert seen.value == 8000
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 4000
 
 
 def test_eqtl_lookup(spark, tmp_path):
