@@ -54,6 +54,12 @@ def with_hwe(counts: DataFrame, mid_p: bool = True) -> DataFrame:
     The possible heterozygote counts of a variant are exploded and summed under
     the same ``ID``, which needs no exchange as the counts are already
     partitioned by it. ``mid_p`` takes off half the observed probability.
+
+    Only heterozygote counts whose probability can be more than zero in a double are
+    exploded. The count is a function of the partners of the minor alleles, each of
+    which moves it by two at most, so by the inequality of Azuma and Hoeffding one at
+    a distance t from the mean has probability 2 exp(-t^2 / (8 minor)) or less, and
+    below exp(-746) a double is zero. The terms left out would add nothing.
     """
     keys = counts.columns
     ref, het, var = F.col("n_hom_ref"), F.col("n_het"), F.col("n_hom_var")
@@ -67,9 +73,15 @@ def with_hwe(counts: DataFrame, mid_p: bool = True) -> DataFrame:
     def log_total() -> Column:
         return ln_factorial(n) + ln_factorial(minor) + ln_factorial(2 * n - minor) - ln_factorial(2 * n)
 
+    mean = minor * (2 * n - minor) / F.greatest(2 * n - 1, F.lit(1))
+    reach = F.ceil(F.sqrt(8.0 * 747.0 * minor)) + 2
+    parity = minor % 2
+    lowest = F.greatest(F.lit(0).cast("bigint"), F.floor((mean - reach) / 2)) * 2 + parity
+    highest = F.least(minor, F.greatest(F.floor((mean + reach) / 2) * 2 + parity, parity))
+
     expanded = (
         counts.withColumn("_observed", log_weight(het)).withColumn("_scale", log_total())
-        .withColumn("_het", F.explode(F.sequence(minor % 2, minor, F.lit(2).cast("bigint"))))
+        .withColumn("_het", F.explode(F.sequence(lowest, highest, F.lit(2).cast("bigint"))))
         .withColumn("_weight", log_weight(F.col("_het")))
     )
     rarer = F.col("_weight") <= F.col("_observed") + 1e-8
@@ -347,7 +359,7 @@ def middle_pvalues(results: DataFrame) -> DataFrame:
     """
     pval, rows = F.col("pval"), F.count(F.lit(1)).alias("_rows")
     fine = F.when(pval > 0, F.floor(-F.ln(pval) * FINE_CELLS)).otherwise(F.lit(ZERO_CELL))
-    usable = results.filter(pval.isNotNull()).select("phenotype", "pval", fine.alias("_fine"))
+    usable = settle(results.filter(pval.isNotNull()).select("phenotype", "pval", fine.alias("_fine")))
     usable = usable.withColumn("_coarse", F.shiftright("_fine", COARSE_SHIFT))
 
     coarse = (

@@ -94,6 +94,28 @@ def test_blocks_and_shuffled_sample_side_give_the_same(study, monkeypatch):
     assert all(a[k] == pytest.approx(b[k], rel=1e-9) for k in a if a[k] is not None)
 
 
+def test_exact_test_at_biobank_size_sums_few_terms(spark):
+    from math import exp, lgamma, log
+
+    def brute(ref, het, var):
+        minor, n = min(2 * ref + het, 2 * var + het), ref + het + var
+
+        def lw(h):
+            rare = (minor - h) // 2
+            return h * log(2) - lgamma(rare + 1) - lgamma(h + 1) - lgamma(n - h - rare + 1)
+
+        scale = lgamma(n + 1) + lgamma(minor + 1) + lgamma(2 * n - minor + 1) - lgamma(2 * n + 1)
+        weights = [exp(lw(h) + scale) for h in range(minor % 2, minor + 1, 2)]
+        seen = exp(lw(het) + scale)
+        return min(1.0, sum(w for w in weights if w <= seen * (1 + 1e-8)) - seen / 2)
+
+    data = [("a", 100_000, 200_000, 100_500), ("b", 399_000, 1_000, 3), ("c", 5, 1, 0), ("d", 0, 0, 0), ("e", 200_000, 0, 200_000), ("f", 50_000, 99_000, 51_000)]
+    counts = spark.createDataFrame(data, "ID string, n_hom_ref bigint, n_het bigint, n_hom_var bigint")
+    got = {r.ID: r.p_hwe for r in association.with_hwe(association._with_frequency(counts)).select("ID", "p_hwe").collect()}
+    for name, *three in data:
+        assert got[name] == pytest.approx(brute(*three), rel=1e-6, abs=1e-12), name
+
+
 def test_names_with_dots_and_no_usable_sample(spark):
     geno = spark.createDataFrame([("v", s, s % 3) for s in range(9)], GENO)
     samples = spark.createDataFrame([(s,) for s in range(9)], "sample_id bigint")
