@@ -193,11 +193,16 @@ def _shared_buckets(members: DataFrame) -> DataFrame:
     """``bucket, unit, n, able, root, linked, size, open``: members of buckets in which texts of different classes still meet.
 
     Members of the class that most of a bucket belong to count as linked, and
-    ``open`` is the number of others.
+    ``open`` is the number of others. Of buckets with the same members, told by
+    two 64-bit sums of their hashes, one stays.
     """
-    classes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("rows"))
+    marks = [F.xxhash64("unit").alias("mark_a"), F.xxhash64("unit", F.lit(1)).alias("mark_b")]
+    classes = members.select("bucket", "root", *marks).groupBy("bucket", "root").agg(
+        F.count(F.lit(1)).alias("rows"), F.bit_xor("mark_a").alias("mark_a"), F.bit_xor("mark_b").alias("mark_b"))
     several = classes.groupBy("bucket").agg(
-        F.sum("rows").alias("size"), F.max(F.struct("rows", "root")).alias("top")).where(F.col("size") > F.col("top.rows"))
+        F.sum("rows").alias("size"), F.max(F.struct("rows", "root")).alias("top"),
+        F.bit_xor("mark_a").alias("mark_a"), F.bit_xor("mark_b").alias("mark_b")).where(F.col("size") > F.col("top.rows"))
+    several = several.groupBy("size", "mark_a", "mark_b").agg(F.min("bucket").alias("bucket"), F.max("top").alias("top")).drop("mark_a", "mark_b")
     return members.join(several, "bucket").select(
         "bucket", "unit", "n", "able", "root", (F.col("root") == F.col("top.root")).alias("linked"), "size", (F.col("size") - F.col("top.rows")).alias("open"))
 
@@ -254,6 +259,10 @@ def links_between(texts: DataFrame, members: DataFrame, least: float = SIMILARIT
         found.append(result.where("linked").select(F.col("leader").alias("a"), F.col("unit").alias("b")))
         roots = components(reduce(DataFrame.unionByName, found))
         left = routed.join(leaders.where(F.col("place") > 1).select("bucket", F.col("leader").alias("unit")), ["bucket", "unit"], "left_anti")
+        # Buckets that this round's links have made one class hold nothing more to tell apart.
+        left = left.join(roots, "unit", "left").withColumn("root", F.coalesce("root", "unit"))
+        mixed = left.groupBy("bucket").agg(F.min("root").alias("lowest"), F.max("root").alias("highest")).where(F.col("lowest") < F.col("highest"))
+        left = stored(left.drop("root").join(mixed.select("bucket"), "bucket"))
         bound = factor * (F.col("n") + F.greatest(F.col("n") * least, F.col("shortest")))
         inside = left.join(result.select("leader", "unit", "shared"), ["leader", "unit"]).where(F.col("shared") >= bound - 1e-6).select(
             F.xxhash64("bucket", "leader").alias("bucket"), "unit", "n", "able")
