@@ -73,7 +73,8 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, parts: int) -> D
                            for p, piece in enumerate(pieces)])
         probes = open_queries.repartition("query").select("query", F.inline(places)).repartition("query", "part")
         probes = _with_masks(probes, F.col("width"), flips).select("query", "part", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
-        met = probes.join(index, ["part", "value"])
+        # Spark takes the probes for as small as the queries they are made of, and would broadcast them.
+        met = probes.hint("merge").join(index, ["part", "value"])
         apart = F.array(*_distances(F.col("query"), F.col("code"), pieces))
         # A code is taken at the first part that comes closest, so once.
         met = met.withColumn("apart", apart).where((F.array_min("apart") == flips) & (F.array_position("apart", F.lit(flips)) == F.col("part") + 1))
