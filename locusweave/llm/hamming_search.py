@@ -9,7 +9,7 @@ lies within what the steps so far cover.
 from __future__ import annotations
 
 from functools import reduce
-from math import log2
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,7 +119,7 @@ def top_k(vectors: DataFrame, k: int = 10, query_step: int = QUERY_STEP) -> Data
     codes = members.groupBy("code").agg(F.count(F.lit(1)).alias("size"))
     n = codes.count()
     queries = rows.where(F.col("vec_id") % query_step == 0)
-    parts = max(1, round(BITS / max(1.0, log2(max(2, n)))))
+    parts = ceil(BITS / max(1.0, log2(max(2, n))))  # no part has more values than there are codes
     near = nearest_codes(codes, queries.select(F.col("code").alias("query")), k + 1, max(3, parts))
     pairs = queries.select(F.col("vec_id").alias("query_id"), F.col("code").alias("query")).join(near, "query").join(members, "code").where(
         F.col("vec_id") != F.col("query_id"))
