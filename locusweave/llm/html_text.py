@@ -23,13 +23,24 @@ from pyspark.sql import functions as F
 
 TRAINING_PAGES = 2_000  # pages whose markup labels them, those with the smallest hash of their id
 
-# Elements that do not break a block, elements without text, and elements without an end tag.
+# Elements that do not break a block, elements whose text is not markup, and elements without an end tag.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn del em font i ins kbd mark q s samp small span strike strong sub sup "
                    "time tt u var wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object".split())
+RAW = frozenset("script style textarea title iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-SCOPES = frozenset("ul ol dl table select body article section div main".split())
+SCOPES = frozenset("ul ol dl table select body article section div main object template foreignobject".split())
+P_SCOPES = frozenset("button table td th object template foreignobject".split())
+
+# Elements that stand inside a line but are nodes, the foreign ones among them (they and what is in them may be
+# self-closed), where HTML goes on inside those, the foreign elements that break a block, and the HTML elements that end foreign ones.
+EMBEDDED = frozenset("svg math object noscript template".split())
+FOREIGN = frozenset(("svg", "math"))
+HTML_AGAIN = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
+FOREIGN_BLOCKS = HTML_AGAIN | {"text", "annotation"}
+ENDS_FOREIGN = frozenset((
+    "article aside b big blockquote body br center code dd div dl dt em embed figure footer h1 h2 h3 h4 h5 h6 head header hr i img li main menu "
+    "meta nav ol p pre s section small span strong strike sub sup table tt u ul var").split())
 
 # What authors call parts of a page that are not, or are, its article.
 OUTSIDE_TAGS = frozenset("head nav header footer aside form menu button select label dialog fieldset".split())
@@ -81,8 +92,8 @@ def _names(attributes: str) -> frozenset[str]:
 def parse(source: str) -> Page:
     """Tree of a page and its text runs in page order; mends open and stray tags the way browsers do."""
     page = Page([Node(-1, "#root", frozenset())])
-    stack: list[tuple[str, int]] = [("#root", 0)]  # (tag, node that text belongs to)
-    links = 0
+    stack: list[tuple[str, int, bool]] = [("#root", 0, True)]  # (tag, node that text belongs to, whether it breaks a block)
+    links = embedded = 0
 
     def text(raw: str) -> None:
         if not raw:
@@ -96,10 +107,11 @@ def parse(source: str) -> Page:
         node.stops += plain.count(". ") + plain.rstrip().endswith((".", "!", "?"))
 
     def pop(depth: int) -> None:
-        nonlocal links
-        for tag, _ in stack[depth:]:
+        nonlocal links, embedded
+        for tag, _, block in stack[depth:]:
             links -= tag == "a"
-            if tag not in INLINE:
+            embedded -= tag in FOREIGN
+            if block:
                 page.runs.append((-1, ""))
         del stack[depth:]
 
@@ -111,6 +123,10 @@ def parse(source: str) -> Page:
                 return None
         return None
 
+    def foreign() -> int | None:
+        """Depth of the innermost svg or math element whose rules hold here."""
+        return nearest(FOREIGN, HTML_AGAIN) if embedded else None
+
     at, end = 0, len(source)
     while at < end:
         found = _TAG.search(source, at)
@@ -129,29 +145,44 @@ def parse(source: str) -> Page:
             elif tag == "p" or tag == "br":
                 page.runs.append((-1, ""))
             continue
+        root = foreign()
+        if root is not None and tag in ENDS_FOREIGN:
+            while root is not None:
+                pop(root)
+                root = foreign()
+        if (root is not None or tag in FOREIGN) and attributes.endswith("/"):
+            continue
         if tag in VOID:
             if tag not in INLINE and tag != "img" and tag != "input":
                 page.runs.append((-1, ""))
             continue
         if tag in RAW:
-            finish = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
-            at = finish.end() if finish else end
+            if root is None:
+                finish = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
+                at = finish.end() if finish else end
+            else:  # at most to the end of the graphic, or to the next tag if that is open
+                finish = re.compile(rf"(?=</{stack[root][0]}[\s/>])|</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
+                after = finish.end() if finish else source.find("<", at)
+                at = end if after < 0 else after
             continue
-        if tag not in INLINE:
-            if (depth := nearest(("p",), frozenset(("button", "table", "td", "th")))) is not None:
+        block = tag in FOREIGN_BLOCKS if root is not None else tag not in INLINE and tag not in EMBEDDED
+        if block and root is None:
+            if (depth := nearest(("p",), P_SCOPES)) is not None:
                 pop(depth)
             if tag in CLOSES and (depth := nearest(CLOSES[tag], SCOPES)) is not None:
                 pop(depth)
                 while tag == "tr" and (depth := nearest(CLOSES[tag], SCOPES)) is not None:
                     pop(depth)
+        if block:
             page.runs.append((-1, ""))
         names = _names(attributes) if attributes.strip(" /") else frozenset()
         if tag in INLINE and not names:
-            stack.append((tag, stack[-1][1]))
+            stack.append((tag, stack[-1][1], block))
         else:
             page.nodes.append(Node(stack[-1][1], tag, names))
-            stack.append((tag, len(page.nodes) - 1))
+            stack.append((tag, len(page.nodes) - 1, block))
         links += tag == "a"
+        embedded += tag in FOREIGN
     return page
 
 

@@ -31,6 +31,22 @@ def test_pages(model, source, want):
     assert model.extract(source) == want
 
 
+@pytest.mark.parametrize("before", ["<svg viewBox='0 0 1 1'/>", "<math/>", "<object data=x>", "<noscript><img src=x>", "<template>", "<svg><path d='M0'/><title>Icon</svg>",
+                                    "<svg><style>a{}</svg>", "<svg><path d='M0'>", "<svg><title/><script href=x /></svg>"])
+def test_embedded_elements_hide_no_text(model, before):
+    assert model.extract(f"<body>{before}<article><p>{PROSE}</p></article></body>") == PROSE.strip()
+    assert model.extract(f"<article><p>{PROSE}{before}</p><p>{PROSE}</p></article>") == f"{PROSE}{PROSE.strip()}"
+    assert model.extract(f"<article><p>{PROSE}</p>{before}<p>{PROSE}</p></article><p><svg></svg></p>") == f"{PROSE}{PROSE.strip()}"
+
+
+@pytest.mark.parametrize("inner, want", [
+    ("<math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math>", "x = 1 2"), ("<object data=x>Shown instead.</object>", "Shown instead."),
+    ("<noscript>Read this.</noscript>", "Read this."), ("<object><p>In it.</p></object>", "In it."), ("wo<svg><g><path d='M0'/></g></svg>rd", "word"),
+])
+def test_embedded_text_is_kept(model, inner, want):
+    assert model.extract(f"<article><p>{PROSE}{inner} Then more.</p></article>") == f"{PROSE}{want} Then more."
+
+
 def test_marginals_equal_enumeration(model):
     page = H.parse(f"<body><div class='menu'><p>Short</p></div><div><p>{PROSE}</p><ul><li>One</li></ul></div></body>")
     edges = [model.edge(node) for node in page.nodes]
