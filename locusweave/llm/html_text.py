@@ -52,8 +52,10 @@ OUTSIDE_NAMES = frozenset((
 INSIDE_TAGS = frozenset(("article", "main"))
 INSIDE_NAMES = frozenset("article articlebody main content maincontent post postbody entry entrycontent story storybody body text prose".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
-_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+# A quote opens a value directly after "=" only, and if it is closed; any other is an ordinary character.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|["'][^\s>]*+)"""
+_TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+{_VALUE})?+)*+(?=>)|[^>]*+)>|<[!?][^>]*>""", re.S)
+_ATTRIBUTE = re.compile(rf"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+({_VALUE}))?+""")
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 

@@ -47,6 +47,19 @@ def test_embedded_text_is_kept(model, inner, want):
     assert model.extract(f"<article><p>{PROSE}{inner} Then more.</p></article>") == f"{PROSE}{want} Then more."
 
 
+@pytest.mark.parametrize("source, want", [
+    ("<p class=it's>Hello it's fine.</p>", "Hello it's fine."), ('<p><a href="x"">two</a> "three".</p>', 'two "three".'), ("<p title='a>b' data-x=\"<p>\">One.</p>", "One."),
+    ('<p><a href=/q?a="b>One</a> and "two".</p>', 'One and "two".'), ('<p title="open>One.</p>', "One."), ("<p ' id = 'x>y' \">One's.</p>", "One's."), ('<p title="a>One "two.', 'One "two.'),
+])
+def test_stray_quotes_in_tags(source, want):
+    assert "".join(run for _, run in H.parse(source).runs) == want
+
+
+def test_names_of_odd_attributes():
+    assert H._names(""" class=side"bar id='main text' title="class=menu" hidden""") == {"side", "bar", "sidebar", "main", "text", "hidden"}
+    assert H._names(' href="x"" class = "nav"/') == {"nav"} == H._names(" class=nav/")
+
+
 def test_marginals_equal_enumeration(model):
     page = H.parse(f"<body><div class='menu'><p>Short</p></div><div><p>{PROSE}</p><ul><li>One</li></ul></div></body>")
     edges = [model.edge(node) for node in page.nodes]
