@@ -37,6 +37,20 @@ def test_neighbours_agree_with_brute_force(spark, spread):
     assert sorted(map(tuple, S.top_k(table(spark, rows), 10).collect())) == brute(rows, 10)
 
 
+def test_ids_with_several_near_vectors(spark):
+    draw = random.Random(5)
+    centre = [draw.gauss(0, 1) for _ in range(64)]
+    near = lambda flips: [-c if i in flips else c for i, c in enumerate(centre)]
+    rows = [(100, near({i})) for i in range(20)] + [(200, near({i, i + 1})) for i in range(6)] + [(300, centre), (300, centre)]
+    rows += [(i, near(set(draw.sample(range(64), 3 + i % 20)))) for i in range(401, 500)] + [(7, near({3})), (8, near({3})), (9, near({5})), (9, [2 * x for x in near({5})])]
+    rows += [(500, near({1, 2, 3})), (500, [2 * x for x in near({1, 2, 3})])]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    want = con.execute(f"SELECT query_id, neighbor_id, distance, rank FROM ({queries.SQL['op9_top_k_search']})").fetchall()
+    assert sorted(map(tuple, S.top_k(table(spark, rows), 10).collect())) == sorted(want)
+
+
 def test_few_rows(spark):
     assert S.top_k(table(spark, [])).count() == 0
     assert S.top_k(table(spark, [(100, [1.0])])).count() == 0
