@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import held_out, training_labels
+from locusweave.llm.common import held_out, stored, training_labels
 
 THRESHOLD = 0.7
 TRAINING_ROWS = 20_000  # labelled documents, those with the smallest hash of their id
@@ -112,13 +112,13 @@ class Lexicon:
         return 1 / (1 + np.exp(np.clip(-x @ np.array(self.curve), -500, 500)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; both classes must occur."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, weight: np.ndarray | float = 1.0) -> np.ndarray:
+    """Ridge logistic regression by Newton steps, each row counting ``weight`` times; both classes must occur."""
     beta = np.zeros(x.shape[1])
     penalty = ridge * np.eye(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ beta)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + penalty, x.T @ (weight * (y - p)) - penalty @ beta)
         beta = beta + step
         if np.abs(step).max() < 1e-8:
             break
@@ -150,19 +150,22 @@ def choose_entries(counts: dict[str, tuple[float, float]], toxic: float, clean:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, exceptions: Sequence[str] = EXCEPTIONS) -> Lexicon:
     """Learns weights and curve from at most ``rows`` labelled documents outside the held-out third.
 
+    Rows with equal id and text are read once and count as often as they occur;
+    rows of equal inputs reach the driver as one.
     Without documents of both classes the lexicon is empty, and every score is
     the share of toxic rows, a half for none.
     """
     known = F.broadcast(training_labels(labels, "toxic", rows))  # bounded by ``rows``
-    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id").select("text", "label")
+    sample = stored(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id").groupBy("doc_id", "text", "label").agg(
+        F.count(F.lit(1)).alias("copies")).select("text", "label", "copies"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
-            for text, label in zip(batch["text"], batch["label"]):
+            for text, label, copies in zip(batch["text"], batch["label"], batch["copies"].tolist()):
                 counter = held[int(label > 0)]
-                counter[""] += 1
-                counter.update({p for w in set(folded_words(text)) for p in beginnings(w)})
+                for entry in {"", *(p for w in set(folded_words(text)) for p in beginnings(w))}:
+                    counter[entry] += copies
                 if len(held[0]) + len(held[1]) > 200_000:
                     yield from flush(held)
         yield from flush(held)
@@ -188,10 +191,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, exception
     def inputs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = pd.DataFrame([lexicon.inputs(t) for t in batch["text"]], columns=list("abcd"))
-            yield x.assign(label=(batch["label"] > 0).astype("double").to_numpy())
+            yield x.assign(label=(batch["label"] > 0).astype("double").to_numpy(), copies=batch["copies"].astype("double").to_numpy())
 
-    x = sample.mapInPandas(inputs, "a double, b double, c double, d double, label double").toPandas().to_numpy()
-    lexicon.curve = tuple(float(v) for v in logistic(x[:, :4], x[:, 4]))
+    x = sample.mapInPandas(inputs, "a double, b double, c double, d double, label double, copies double").groupBy(*"abcd", "label").agg(
+        F.sum("copies").alias("copies")).toPandas().to_numpy()
+    lexicon.curve = tuple(float(v) for v in logistic(x[:, :4], x[:, 4], weight=x[:, 5]))
     return lexicon
 
 

@@ -72,6 +72,20 @@ def test_held_out_labels_are_never_seen(spark, docs, labels):
         assert a == b
 
 
+def test_copies_are_read_once_and_weigh(spark, docs, labels, monkeypatch):
+    free = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1][:60]
+    pairs = [(i, ("total rubbish moron " if k % 3 == 0 else "plain words here ") * (1 + k % 7) + f"w{k}") for k, i in enumerate(free)]
+    pairs += [(free[0], pairs[0][1])] * 500
+    seen = []
+    fitted = toxicity.logistic
+    monkeypatch.setattr(toxicity, "logistic", lambda x, y, **more: seen.append((len(x), more["weight"].sum() if "weight" in more else len(x))) or fitted(x, y, **more))
+    lexicon = toxicity.fit(docs(pairs), labels([(i, 0, int(k % 3 == 0)) for k, i in enumerate(free)]))
+    assert seen[0][0] <= 60 and seen[0][1] == 560 and lexicon.weights
+    x = np.array([lexicon.inputs(t) for _, t in pairs])
+    y = np.array([float(i in free[::3]) for i, _ in pairs])
+    assert np.allclose(lexicon.curve, fitted(x, y), rtol=1e-4)
+
+
 def accuracy(spark, query, column, wanted):
     truth = {r.doc_id: r[column] for r in spark.read.parquet(f"{LARGER}/labels.parquet").collect()}
     rows = [r for r in query(spark, LARGER).collect() if r.held_out and r.doc_id in truth]
