@@ -102,6 +102,21 @@ class Lexicon:
                 del hits[at]
         return sum(hits.values()), float(len(hits)), len(words)
 
+    def exposed_words(self, text: str) -> set[str]:
+        """The folded words that stand outside exception phrases at least once."""
+        words = folded_words(text)
+        if not words or not self.exceptions:
+            return set(words)
+        harmless = [(end - length + 1, end) for end, (length, weight) in self.automaton().iter(" " + " ".join(words) + " ") if weight is None]
+        if not harmless:
+            return set(words)
+        found, at = set(), 0
+        for word in words:
+            if not any(begin <= at < end for begin, end in harmless):
+                found.add(word)
+            at += len(word) + 1
+        return found
+
     def inputs(self, text: str) -> list[float]:
         """Evidence per word on a log scale, plain evidence, and length."""
         total, _, n = self.evidence(text)
@@ -125,6 +140,11 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, weight: np.ndarr
     return beta
 
 
+def entry_weight(a: float, b: float, toxic: float, clean: float) -> float:
+    """Log odds of an entry that ``a`` of the toxic and ``b`` of the clean documents hold."""
+    return float(np.log((a + 0.5) / (toxic + 1)) - np.log((b + 0.5) / (clean + 1)))
+
+
 def choose_entries(counts: dict[str, tuple[float, float]], toxic: float, clean: float) -> dict[str, float]:
     """Weights of the beginnings worth keeping, from the numbers of toxic and clean documents that hold them.
 
@@ -140,7 +160,7 @@ def choose_entries(counts: dict[str, tuple[float, float]], toxic: float, clean:
         a, b = counts[entry]
         if extended.get(entry) == a:
             continue
-        weight = float(np.log((a + 0.5) / (toxic + 1)) - np.log((b + 0.5) / (clean + 1)))
+        weight = entry_weight(a, b, toxic, clean)
         shorter = max((weights[p] for p in beginnings(entry) if p != entry and p in weights), default=0.0)
         if a >= LEAST_DOCS and weight >= LEAST_WEIGHT and weight > shorter + 0.3:
             weights[entry] = weight
@@ -159,12 +179,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, exception
     sample = stored(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id").groupBy("doc_id", "text", "label").agg(
         F.count(F.lit(1)).alias("copies")).select("text", "label", "copies"))
 
+    bare = Lexicon({}, exceptions)
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for text, label, copies in zip(batch["text"], batch["label"], batch["copies"].tolist()):
                 counter = held[int(label > 0)]
-                for entry in {"", *(p for w in set(folded_words(text)) for p in beginnings(w))}:
+                for entry in {p for w in bare.exposed_words(text) for p in beginnings(w)}:
                     counter[entry] += copies
                 if len(held[0]) + len(held[1]) > 200_000:
                     yield from flush(held)
@@ -177,16 +199,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, exception
                                     "clean": [n * (1 - label) for n in counter.values()]})
                 counter.clear()
 
-    summed = sample.mapInPandas(count, "entry string, toxic double, clean double").groupBy("entry").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    # The sample bounds what is collected: entries of several toxic documents that few clean ones hold.
-    found = summed.where((F.col("entry") == "") | ((F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") * 2 > F.col("clean")))).collect()
-    counts = {r.entry: (r.toxic, r.clean) for r in found}
-    toxic, clean = counts.pop("", (0.0, 0.0))
+    size = {r.toxic: float(r["n"]) for r in sample.groupBy((F.col("label") > 0).alias("toxic")).agg(F.sum("copies").alias("n")).collect()}
+    toxic, clean = size.get(True, 0.0), size.get(False, 0.0)
     if not toxic or not clean:
         share = toxic / (toxic + clean) if toxic + clean else 0.5
         return Lexicon({}, exceptions, (float(np.log((share + 1e-6) / (1 - share + 1e-6))), 0.0, 0.0, 0.0))
-    lexicon = Lexicon(choose_entries(counts, toxic, clean), exceptions)
+    summed = sample.mapInPandas(count, "entry string, toxic double, clean double").groupBy("entry").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    # The sample bounds what is collected: entries of several toxic documents that weigh enough. A longer entry that
+    # one gives way to has no more clean documents, so it is there too.
+    weight = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
+    found = summed.where((F.col("toxic") >= LEAST_DOCS) & (weight >= LEAST_WEIGHT - 1e-6)).collect()
+    lexicon = Lexicon(choose_entries({r.entry: (r.toxic, r.clean) for r in found}, toxic, clean), exceptions)
 
     def inputs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -86,6 +86,22 @@ def test_copies_are_read_once_and_weigh(spark, docs, labels, monkeypatch):
     assert np.allclose(lexicon.curve, fitted(x, y), rtol=1e-4)
 
 
+def fitted_on(docs, labels, texts):
+    """Lexicon of (text, toxic) pairs, none of them held out."""
+    free = [i for i in range(3 * len(texts)) if zlib.crc32(str(i).encode()) % 3 != 1][:len(texts)]
+    assert len(free) == len(texts)
+    return toxicity.fit(docs([(i, t) for i, (t, _) in zip(free, texts)]), labels([(i, 0, y) for i, (_, y) in zip(free, texts)]))
+
+
+def test_entries_of_rare_classes_and_exceptions_are_learned(docs, labels):
+    texts = [(f"sample number {k} {'dreck' if k % 3 == 0 else ''}", 1) for k in range(20)]
+    texts += [(f"sample number {k} {'dreck' if k % 100 == 0 else ''}", 0) for k in range(1980)]
+    assert set(fitted_on(docs, labels, texts).weights) == {"dreck"}
+    texts = [(f"sample number {k} {'clown' if k % 2 else ''}", 1) for k in range(40)] + [(f"sample number {k} clown fish", 0) for k in range(40)]
+    lexicon = fitted_on(docs, labels, texts)
+    assert set(lexicon.weights) == {"ciown"} and lexicon.evidence("clown fish")[1] == 0 and lexicon.evidence("clown")[1] == 1
+
+
 def accuracy(spark, query, column, wanted):
     truth = {r.doc_id: r[column] for r in spark.read.parquet(f"{LARGER}/labels.parquet").collect()}
     rows = [r for r in query(spark, LARGER).collect() if r.held_out and r.doc_id in truth]
