@@ -23,7 +23,7 @@ from locusweave.llm.common import held_out, stored, training_labels
 THRESHOLD = 0.7
 TRAINING_ROWS = 20_000  # labelled documents, those with the smallest hash of their id
 
-SHORTEST, LONGEST = 4, 14  # letters of a lexicon entry
+SHORTEST, LONGEST = 4, 14  # letters of a lexicon entry; a shorter one is a whole word and ends with a space
 LEAST_DOCS = 5  # toxic documents an entry must occur in
 LEAST_WEIGHT = 1.5
 
@@ -36,6 +36,7 @@ _LOOKALIKES = {
 }
 _FOLD = str.maketrans(_LOOKALIKES)
 _WORD = re.compile(r"[^\W_]+")
+_SYMBOLS = "!@$|"
 
 # Phrases (folded on use) in which the word they hold is harmless.
 EXCEPTIONS: tuple[str, ...] = ("clown fish", "clownfish", "trash can", "trash bin", "trash bag")
@@ -52,7 +53,22 @@ def folded_words(text: str) -> list[str]:
     return _WORD.findall(fold(text))
 
 
+def word_forms(text: str) -> list[list[str]]:
+    """The folded words, and if symbols stand around words, the same words without those; one without letters becomes empty."""
+    if not text.isascii():
+        text = unicodedata.normalize("NFKC", text)
+    text = text.lower()
+    folded = text.translate(_FOLD)
+    if not any(c in text for c in _SYMBOLS):
+        return [_WORD.findall(folded)]
+    spans = [m.span() for m in _WORD.finditer(folded)]
+    words = [folded[a:b] for a, b in spans]
+    return [words, [text[a:b].strip(_SYMBOLS).translate(_FOLD) for a, b in spans]]
+
+
 def beginnings(word: str) -> Iterator[str]:
+    if 0 < len(word) < SHORTEST:
+        yield word + " "
     for n in range(SHORTEST, min(len(word), LONGEST) + 1):
         yield word[:n]
 
@@ -81,41 +97,58 @@ class Lexicon:
     def __getstate__(self) -> dict:
         return {"weights": self.weights, "exceptions": self.exceptions, "curve": self.curve, "_automaton": None}
 
+    def _found(self, words: list[str]) -> tuple[dict[int, float], set[int]]:
+        """Heaviest entry by number of the word, and the words that exception phrases cover."""
+        hits: dict[int, float] = {}
+        harmless: set[int] = set()
+        if not words or not (self.weights or self.exceptions):
+            return hits, harmless
+        matches = list(self.automaton().iter(" " + " ".join(words) + " "))
+        if not matches:
+            return hits, harmless
+        starts = {}
+        at = 0
+        for number, word in enumerate(words):
+            if word:
+                starts[at] = number
+            at += len(word) + 1
+        for end, (length, weight) in matches:
+            number = starts[end - length + 1]
+            if weight is None:
+                at = end - length + 1
+                while at < end:
+                    harmless.add(number)
+                    at += len(words[number]) + 1
+                    number += 1
+            else:
+                hits[number] = max(weight, hits.get(number, weight))
+        return hits, harmless
+
     def evidence(self, text: str) -> tuple[float, float, int]:
         """Summed weight, number of hits, number of words.
 
-        Of the entries that fit one word the heaviest counts, and a word that
-        an exception phrase covers does not count.
+        Of the entries that fit one word, with or without the symbols around
+        it, the heaviest counts, and a word that an exception phrase covers
+        does not count.
         """
-        words = folded_words(text)
+        forms = word_forms(text)
         hits: dict[int, float] = {}
-        harmless: list[tuple[int, int]] = []
-        if words and (self.weights or self.exceptions):
-            for end, (length, weight) in self.automaton().iter(" " + " ".join(words) + " "):
-                begin = end - length + 1
-                if weight is None:
-                    harmless.append((begin, end))
-                else:
-                    hits[begin] = max(weight, hits.get(begin, weight))
-        for begin, end in harmless:
-            for at in [at for at in hits if begin <= at < end]:
-                del hits[at]
-        return sum(hits.values()), float(len(hits)), len(words)
+        harmless: set[int] = set()
+        for words in forms:
+            found, covered = self._found(words)
+            harmless |= covered
+            for number, weight in found.items():
+                hits[number] = max(weight, hits.get(number, weight))
+        counted = [weight for number, weight in sorted(hits.items()) if number not in harmless]
+        return sum(counted), float(len(counted)), len(forms[0])
 
     def exposed_words(self, text: str) -> set[str]:
-        """The folded words that stand outside exception phrases at least once."""
-        words = folded_words(text)
-        if not words or not self.exceptions:
-            return set(words)
-        harmless = [(end - length + 1, end) for end, (length, weight) in self.automaton().iter(" " + " ".join(words) + " ") if weight is None]
+        """The folded words that stand outside exception phrases at least once, with and without the symbols around them."""
+        forms = word_forms(text)
+        harmless = set().union(*(self._found(words)[1] for words in forms))
         if not harmless:
-            return set(words)
-        found, at = set(), 0
-        for word in words:
-            if not any(begin <= at < end for begin, end in harmless):
-                found.add(word)
-            at += len(word) + 1
-        return found
+            return set().union(*forms) - {""}
+        return {word for words in forms for number, word in enumerate(words) if word and number not in harmless}
 
     def inputs(self, text: str) -> list[float]:
         """Evidence per word on a log scale, plain evidence, and length."""

@@ -102,6 +102,17 @@ def test_entries_of_rare_classes_and_exceptions_are_learned(docs, labels):
     assert set(lexicon.weights) == {"ciown"} and lexicon.evidence("clown fish")[1] == 0 and lexicon.evidence("clown")[1] == 1
 
 
+def test_symbols_around_words_and_short_words(docs, labels):
+    found = lexicon()
+    for word in ("@idiot", "$idiot", "|idiot|", "!!idiot!!", "1d!ot", "!diot"):
+        assert found.evidence(f"You {word}") == (5.0, 1.0, 2), word
+    assert found.evidence("the clown fish! !! clown!") == (4.0, 1.0, 5)
+    assert toxicity.Lexicon({"git ": 3.0}).evidence("You git! gits git digit") == (6.0, 2.0, 5)
+    texts = [(f"sample number {k} {'you git!' if k % 2 else ''}", 1) for k in range(40)] + [(f"sample number {k} gits digit", 0) for k in range(40)]
+    learned = fitted_on(docs, labels, texts)
+    assert "git " in learned.weights and learned.evidence("git")[1] == 1 and learned.evidence("gits")[1] == 0
+
+
 def accuracy(spark, query, column, wanted):
     truth = {r.doc_id: r[column] for r in spark.read.parquet(f"{LARGER}/labels.parquet").collect()}
     rows = [r for r in query(spark, LARGER).collect() if r.held_out and r.doc_id in truth]
