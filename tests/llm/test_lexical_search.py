@@ -1,0 +1,103 @@
+import math
+import random
+import re
+
+import duckdb
+import pytest
+
+from locusweave.llm import lexical_search as S
+from locusweave.llm import queries
+
+from .conftest import DATA, needs_data
+
+
+def terms(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text)
+
+
+def brute(rows, items, k=10):
+    docs = [(i, terms(t)) for i, t in rows]
+    n_docs, n_terms = sum(bool(w) for _, w in docs), sum(len(w) for _, w in docs)
+    sets = [set(w) for _, w in docs]
+    out = []
+    for item_id, text in dict.fromkeys(items):
+        asked = set(terms(text))
+        weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1))) for t in asked if (df := sum(t in s for s in sets))}
+        scores = []
+        for doc_id, words in docs:
+            m = n_terms and 10 + 90 * len(words) * n_docs // n_terms
+            score = sum(w * (1_000_000_000 * tf // (1000 * tf + 8 * m)) for t, w in weight.items() if (tf := words.count(t)))
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id))
+        out += [(item_id, rank, d, -s) for rank, (s, _, d) in enumerate(sorted(scores, key=lambda x: (x[0], x[1], x[2] or 0))[:k], 1)]
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted(((r.item_id, r["rank"], r.doc_id, r.score) for r in df.collect()), key=str)
+
+
+def benchmark(spark, items):
+    return spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS item", "2 AS score", "'x' AS term", "0 AS block")
+
+
+def cases():
+    draw = random.Random(13)
+    vocabulary = ["the"] * 60 + ["of", "and"] * 15 + [f"w{int(draw.expovariate(0.02))}" for _ in range(300)] + ["É", "日本", "Straße"]
+    text = lambda n: " ".join(draw.choices(vocabulary, k=n))
+    items = [(i, text(draw.choice([1, 3, 20, 70]))) for i in range(20)] + [(20, "The"), (21, None), (22, ""), (23, "nowhere"), (None, text(5)), (3, text(8)), (3, text(8))]
+    items += [items[0], items[0], (24, "the " * 500)]
+    rows = [(i, text(draw.choice([0, 1, 15, 15, 400]))) for i in range(300)]
+    rows += [(1000 + i, items[i % 5][1]) for i in range(60)] + [(2000, items[2][1])] * 7  # copies and repeated rows
+    rows += [(None, items[1][1]), (None, None), (7, ""), (-5, text(30)), (5000, f"{text(9)} " * 3000)]
+    return rows, items
+
+
+@pytest.mark.parametrize("block", [5, 64, 4096])
+def test_ranking_agrees_with_brute_force(spark, docs, block):
+    rows, items = cases()
+    want = brute(rows, items)
+    assert found(S.search(docs(rows).repartition(5), benchmark(spark, items), block=block)) == want
+
+
+def test_several_bundles_and_few_results(spark, docs, monkeypatch):
+    rows, items = cases()
+    monkeypatch.setattr(S, "BUNDLE", 4)
+    assert found(S.search(docs(rows), benchmark(spark, items), k=2, block=32)) == brute(rows, items, 2)
+
+
+def test_shuffled_joins_give_the_same(spark, docs, monkeypatch):
+    rows, items = cases()
+    monkeypatch.setattr(S, "fits_broadcast", lambda *_: False)
+    assert found(S.search(docs(rows), benchmark(spark, items), block=64)) == brute(rows, items)
+
+
+def test_accumulators_shrink_without_loss(spark, docs):
+    """One rare term decides, so most documents that hold the common ones leave before the last owner."""
+    rows = [(i, "common words here") for i in range(2000)] + [(5000 + i, f"rare{i % 3} gem jewel common words") for i in range(30)]
+    items = [(1, "rare0 gem jewel common words"), (2, "rare1 common")]
+    assert found(S.search(docs(rows), benchmark(spark, items), block=256)) == brute(rows, items)
+
+
+def test_index_is_complete(spark, docs):
+    rows, _ = cases()
+    lists = S.build_index(docs(rows), block=50)
+    total = lists.where("term IS NOT NULL").selectExpr("sum(aggregate(counts, 0L, (a, c) -> a + c)) AS n").first().n
+    assert total == sum(len(terms(t)) for _, t in rows)
+    assert lists.where("term IS NULL").selectExpr("sum(size(docs)) AS n").first().n == len(rows)
+
+
+def test_empty_tables(spark, docs):
+    assert found(S.search(docs([]), benchmark(spark, [(1, "a")]))) == []
+    assert found(S.search(docs([(1, "a"), (2, None)]), benchmark(spark, []))) == []
+    assert found(S.search(docs([(1, None)]), benchmark(spark, [(1, "a")]))) == []
+
+
+@needs_data
+def test_query_matches_sql(spark):
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
+    want = con.execute(f"SELECT item_id, rank, doc_id, score FROM ({queries.SQL['op13_lexical_search']})").fetchall()
+    assert sorted(map(tuple, queries.op13_lexical_search(spark, DATA).collect())) == sorted(want)

@@ -1,0 +1,90 @@
+import random
+
+import duckdb
+import pytest
+
+from locusweave.llm import license_scan as L
+from locusweave.llm import queries
+
+from .conftest import DATA, needs_data
+from .test_decontamination import words
+
+BASE = [(text.split(), label) for label, text in L.PHRASES]
+
+
+def brute(text):
+    """Base places by comparing every position with every phrase."""
+    w = words(text)
+    places = [(i, label) for i in range(len(w)) for phrase, label in BASE if w[i:i + len(phrase)] == phrase]
+    starts = [i for i, _ in places]
+    return len(w), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({label for _, label in places}))
+
+
+def scanned(df):
+    return sorted((tuple(r) for r in L.scan_licenses(df).collect()), key=str)
+
+
+def notice(label):
+    return next(text for name, text in L.NOTICES if name == label)
+
+
+def test_base_places_agree_with_brute_force(spark, docs):
+    draw = random.Random(11)
+    vocabulary = ["mit", "MIT", "license", "License", "apache", "general", "public", "gnu", "the", "É", "licence"]
+    texts = [(i, draw.choice([" ", ", ", "\n"]).join(draw.choices(vocabulary, k=draw.choice([0, 1, 2, 3, 60])))) for i in range(60)]
+    texts += [(None, "MIT license"), (1, None), (1, ""), (2, "mit license " * 4000), (3, texts[5][1]), (3, texts[5][1]), (4, "mit-license"), (5, "mitlicense"),
+              (6, "general public license general public license"), (7, "Mit\0LICENSE")]
+    want = sorted(((i, *brute(t)) for i, t in texts), key=str)
+    assert [r[:6] for r in scanned(docs(texts))] == want
+
+
+@pytest.mark.parametrize("label", sorted({name for name, _ in L.NOTICES}))
+def test_whole_notices_are_labelled(docs, label):
+    row = scanned(docs([(1, f"some words before. {notice(label).upper()} and after")]))[0]
+    assert label in row[6].split(",") and row[7] == 1.0
+
+
+def test_edited_notices(spark, docs):
+    text = notice("bsd").split()
+    inserted = " ".join(text[:20] + ["oddly", "new"] + text[20:45] + text[47:])
+    replaced = " ".join("xyz" if i % 9 == 4 else w for i, w in enumerate(text))
+    torn = " ".join(text[:25] + ["filler"] * 40 + text[25:])
+    few = " ".join(text[:30])
+    shuffled = " ".join(random.Random(1).sample(text, len(text)))
+    found = {r[0]: r[6:] for r in scanned(docs(enumerate([inserted, replaced, torn, few, shuffled])))}
+    assert found[0][0] == "bsd" and 0.9 < found[0][1] < 1
+    assert found[1][0] == "bsd" and 0.75 <= found[1][1] < 0.9
+    assert [found[i] for i in (2, 3, 4)] == [("", 0.0)] * 3
+
+
+def test_spans_of_repeated_and_shifted_notices(spark, docs):
+    isc = " ".join(words(notice("isc")))
+    n = len(isc.split())
+    cut = " ".join(w for i, w in enumerate(isc.split()) if i != 12)
+    text = f"a b c {isc} d e {cut} " + "the above copyright notice " * 500
+    known = L.templates(spark)
+    spans = L.license_spans(docs([(1, text), (1, text)]), known).join(known.where("label = 'isc'"), "template")
+    assert sorted((r["first"], r["last"]) for r in spans.collect()) == [(3, n + 2), (n + 5, 2 * n + 3)]
+
+
+def test_empty_table(docs):
+    assert scanned(docs([])) == []
+
+
+def test_shuffled_results_are_the_same(docs, monkeypatch):
+    texts = [(i, f"released under the MIT License. {notice('gpl')}") for i in range(5)] + [(9, None)]
+    want = scanned(docs(texts))
+    monkeypatch.setattr(L, "fits_broadcast", lambda df: False)
+    assert scanned(docs(texts)) == want
+
+
+@needs_data
+def test_query_matches_sql(spark, docs, tmp_path):
+    con = duckdb.connect()
+    docs([(i, f"{notice(label)} {notice('isc')[:90 + 9 * i]}") for i, (label, _) in enumerate(L.NOTICES)]).select("doc_id", "text").write.parquet(str(tmp_path / "more"))
+    con.execute(f"CREATE VIEW documents AS SELECT doc_id, text FROM '{DATA}/documents.parquet' UNION ALL SELECT doc_id, text FROM '{tmp_path}/more/*.parquet'")
+    want = con.execute(f"SELECT doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score FROM ({queries.SQL['op11_license_scan']})").fetchall()
+    both = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").unionByName(spark.read.parquet(str(tmp_path / "more")))
+    assert sorted(want, key=str) == scanned(both)
+    columns = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    assert queries.op11_license_scan(spark, DATA).columns == columns

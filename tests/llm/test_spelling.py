@@ -1,0 +1,116 @@
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+
+from locusweave.llm import queries
+from locusweave.llm import spelling as S
+
+from .conftest import DATA, needs_data
+
+
+def counted(rows):
+    counts = Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            counts[run[:h % len(run)] + run[h % len(run) + 1:] if h % 199 == 0 else run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def brute(rows):
+    known = counted(rows)
+    near = defaultdict(list)
+    for a in known:
+        for b in known:
+            if a != b and one_edit(a, b):
+                near[a].append(b)
+    form = {}
+    for w, n in known.items():
+        best = min(near[w], key=lambda o: (-known[o], o), default=None)
+        form[w] = best if best is not None and known[best] >= 5 * n else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return sorted((w, form[w], root(w), n, len(near[w]), form[w] and known[form[w]]) for w, n in known.items())
+
+
+def forms(df, block=S.BLOCK):
+    return sorted((r.word, r.form, r.root, r.n, r.n_near, r.form_n) for r in S.spelling_forms(df, block).collect())
+
+
+def cases():
+    draw = random.Random(12)
+    stems = ["colour", "spelling", "aaaaaa", "ééééé÷", "separate", "abcdefghijkl"]
+    rows = []
+    for stem in stems:
+        for step in range(40):
+            word = list(stem)
+            for _ in range(draw.choice([0, 1, 1, 2])):
+                at, kind = draw.randrange(len(word)), draw.randrange(3)
+                word[at:at + 1] = [draw.choice("abcé")] if kind == 0 else [] if kind == 1 else [word[at], draw.choice("abcé")]
+            rows.append((draw.randrange(1000), " ".join(["".join(word)] * draw.choice([4, 5, 6, 30, 160]))))
+    rows += [(i, f"{stem} " * 900) for i, stem in enumerate(stems)]
+    return rows
+
+
+def test_forms_agree_with_brute_force(spark, docs):
+    rows = cases()
+    rows += [(None, "Colour, COLOUR; colours_colours1colours " * 3), (7, None), (7, ""), (8, rows[0][1]), (8, rows[0][1]), (9, "İstanbul STRAßE naïvely " * 5)]
+    want = brute(rows)
+    assert sum(r[1] is not None for r in want) > 20 and any(r[2] not in (r[0], r[1]) for r in want)
+    assert forms(docs(rows)) == want
+
+
+@pytest.mark.parametrize("block", [2, 7])
+def test_cells_of_many_tiles(spark, docs, block):
+    rows = cases()
+    assert forms(docs(rows), block) == brute(rows)
+
+
+def test_chains_lead_to_the_root(docs):
+    words = ["abcdefgh", "abcdefghi", "abcdefghij", "abcdefghijk"]
+    found = {r[0]: r[1:3] for r in forms(docs([(i, f"{w} " * 5 * 5 ** k) for k, w in enumerate(words) for i in [10_000 + k]]))}
+    assert found[words[0]] == (words[1], words[3]) and found[words[2]] == (words[3], words[3]) and found[words[3]] == (None, words[3])
+
+
+def test_very_long_words(docs):
+    long = "ab" * 20_000
+    rows = [(i, f"{long} {long}x {long[1:]} short") for i in range(6)]
+    found = {len(r[0]): r[4] for r in forms(docs(rows))}
+    assert found == {40_000: 2, 40_001: 1, 39_999: 1}
+
+
+def test_damage_is_the_contracts(docs):
+    rows = [(i, "international " * 2) for i in range(3000)]
+    damaged = [r for r in forms(docs(rows)) if r[0] != "international"]
+    assert sum(r[3] for r in damaged) == sum(n for w, n in counted(rows).items() if w != "international") > 0
+    assert all(r[1] == "international" for r in damaged)
+
+
+def test_few_words(docs):
+    assert forms(docs([])) == [] and forms(docs([(1, "single"), (2, None)])) == []
+    assert forms(docs([(1, "single " * 5)])) == [("single", None, "single", 5, 0, None)]
+
+
+@needs_data
+def test_query_matches_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    want = con.execute(f"SELECT word, form, root, n, n_near, form_n FROM ({queries.SQL['op12_spelling_variants']})").fetchall()
+    assert len(want) > 100 and sorted(map(tuple, queries.op12_spelling_variants(spark, DATA).collect())) == sorted(want)
