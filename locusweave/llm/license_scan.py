@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from locusweave.llm.common import stored
 from locusweave.llm.decontamination import doc_key, words_of
 from locusweave.session import fits_broadcast
 
@@ -20,6 +21,8 @@ SHORT_GRAM, LONG_GRAM = 2, 4  # words in a gram of a phrase and of a notice
 DRIFT = 8  # words that a merged diagonal may lie aside
 COVER = 0.75  # share of a notice's words that a span must cover
 
+BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # between words before they are lower-cased
+
 # Phrases and labels of the contract.
 PHRASES = (
     ("mit", "mit license"),
@@ -57,12 +60,9 @@ NOTICES = (
 )
 
 
-def _gram_hashes(words: Column) -> tuple[Column, Column]:
-    """Rolling hashes of the short and the long grams that start at each word; those that run past the end are of no use."""
-    one = F.transform(words, lambda w: F.xxhash64(w))
-    pair = lambda a, b: F.xxhash64(a, b)
-    two = F.zip_with(one, F.slice(one, 2, F.greatest(F.size(words), F.lit(1))), pair)
-    return two, F.zip_with(two, F.slice(two, 3, F.greatest(F.size(words), F.lit(1))), pair)
+def _gram_hash(words: Column, at: Column, gram: int) -> Column:
+    """Hash of the ``gram`` words from the 0-based place ``at`` on; of no use where they run past the end."""
+    return F.xxhash64(F.lit(gram), *[F.get(words, at + i) for i in range(gram)])
 
 
 def templates(spark: SparkSession, phrases: tuple = PHRASES, notices: tuple = NOTICES) -> DataFrame:
@@ -74,8 +74,9 @@ def templates(spark: SparkSession, phrases: tuple = PHRASES, notices: tuple = NO
 
 def _template_grams(known: DataFrame) -> DataFrame:
     """``hash, template, base, size, gram, place, said``: one row per gram of a template."""
-    short, long = _gram_hashes(F.col("words"))
-    placed = known.where(F.size("words") >= F.col("gram")).select("*", F.posexplode(F.when(F.col("base"), short).otherwise(long)).alias("place", "hash"))
+    place = F.col("place")
+    hashes = F.when(F.col("base"), _gram_hash(F.col("words"), place, SHORT_GRAM)).otherwise(_gram_hash(F.col("words"), place, LONG_GRAM))
+    placed = known.select("*", F.posexplode("words").alias("place", "word")).withColumn("hash", hashes)
     return placed.where(F.col("place") + F.col("gram") <= F.size("words")).select(
         "hash", "template", "base", F.size("words").alias("size"), "gram", "place", F.slice("words", F.col("place") + 1, F.col("gram")).alias("said"))
 
@@ -83,11 +84,11 @@ def _template_grams(known: DataFrame) -> DataFrame:
 def diagonal_votes(docs: DataFrame, known: DataFrame) -> DataFrame:
     """``key, template, base, size, gram, diagonal, places``: which places of a template each diagonal of a text has, equal in words."""
     texts = docs.select(doc_key().alias("key"), words_of(F.col("text")).alias("words"))
-    short, long = _gram_hashes(F.col("words"))
-    n = F.size("words")
-    rolling = texts.select("key", "words", F.posexplode(F.concat(short, long)).alias("at", "hash"))
+    at = F.col("position")
+    placed = texts.select("key", "words", F.posexplode("words").alias("position", "word"))
+    rolling = placed.select("key", "words", "position", F.explode(F.array(*[_gram_hash(F.col("words"), at, k) for k in (SHORT_GRAM, LONG_GRAM)])).alias("hash"))
     # The templates are fixed texts of a few hundred words.
-    met = rolling.join(F.broadcast(_template_grams(known)), "hash").withColumn("position", F.col("at") % n)
+    met = rolling.join(F.broadcast(_template_grams(known)), "hash")
     same = F.slice("words", F.col("position") + 1, F.col("gram")) == F.col("said")
     return met.where(same).groupBy("key", "template", "base", "size", "gram", (F.col("position") - F.col("place")).alias("diagonal")).agg(
         F.sort_array(F.collect_set("place")).alias("places"))
@@ -100,7 +101,7 @@ def license_spans(docs: DataFrame, known: DataFrame) -> DataFrame:
     diagonals at most ``DRIFT`` apart; spans whose diagonals are no farther
     apart than that are one span.
     """
-    votes = diagonal_votes(docs, known)
+    votes = stored(diagonal_votes(docs, known))
     phrases = votes.where(F.col("base") & (F.size("places") == F.col("size") - F.col("gram") + 1)).select(
         "key", "template", F.col("diagonal").alias("first"), (F.col("diagonal") + F.col("size") - 1).alias("last"), F.lit(1.0).alias("share"))
     along = Window.partitionBy("key", "template").orderBy("diagonal")
@@ -133,8 +134,10 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     found = spans.groupBy("key").agg(
         F.count(base_first).alias("n_base"), F.min(base_first).alias("first_word"), F.max(base_first).alias("last_word"),
         joined(F.collect_set(F.when(F.col("base"), F.col("label")))).alias("base_labels"), joined(F.collect_set("label")).alias("labels"), F.max("share").alias("score"))
+    found = stored(found)
     found = F.broadcast(found) if fits_broadcast(found) else found
-    rows = docs.select("doc_id", doc_key().alias("key"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    n_words = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), BREAKS), ""))
+    rows = docs.select("doc_id", doc_key().alias("key"), n_words.cast("long").alias("n_words"))
     return rows.join(found, "key", "left").select(
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0).cast("long")).alias("n_base"), "first_word", "last_word",
         F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"))
