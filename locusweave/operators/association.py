@@ -1,30 +1,38 @@
 """Variant quality control and per-variant regression over a long genotype table.
 
 Genotypes are ``ID, sample_id, n_alt`` rows (0, 1, 2, null when missing; an
-absent row counts as missing too). They are scanned once per block of
-phenotypes, joined to a broadcast sample table and reduced to sums in the map
-tasks, so the only data shuffled is one row of sums per variant and task.
+absent row counts as missing too). The regression reads them once, whatever the
+number of phenotypes, and packs them into one byte per call: samples are dealt
+into stripes, and a packed row holds a variant's calls of a stripe. Phenotypes come as
+blocks of columns per stripe, and the sums that the fits need are products of
+both, added over the stripes.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from locusweave.functions.stats import chi2_isf, chi2_isf_column, ln_factorial, student_t_p
-from locusweave.session import BROADCAST_BYTES, measured, settle
+from locusweave.session import fits_broadcast, measured, settle
 
 MIN_ALLELE_FREQUENCY = 0.05
 MIN_HWE_P = 1e-6
 
-# Whole-stage code generation stops at 100 columns, so a block of phenotypes is
-# sized to stay below.
-BLOCK_COLUMNS = 80
+# A task multiplies a group of variants with a block of phenotypes, both over one stripe of samples.
+STRIPE_SAMPLES = 4096
+GROUP_VARIANTS = 1024
+BLOCK_PHENOTYPES = 32
+BLOCK_COLUMNS = 512
+CHUNK_VARIANTS = 128  # rows of a group that are numbers instead of bytes at a time
+MISSING = 255
 
 # -ln p of a positive double is below 746, so there are at most 746 * 2**9 coarse
 # cells, each of 2**16 fine ones; p = 0 has a cell of its own beyond them.
@@ -111,7 +119,10 @@ def variant_qc_filter(
 
 @dataclass(frozen=True)
 class _Design:
-    """What one phenotype's regression needs besides the genotypes; a few scalars each."""
+    """What one phenotype's regression needs besides the genotypes; a few scalars each.
+
+    Phenotypes with equal ``pattern`` are known for the same samples.
+    """
 
     phenotype: str
     n: int
@@ -120,18 +131,19 @@ class _Design:
     centres: np.ndarray
     slopes: np.ndarray
     basis: np.ndarray
-    complete: bool
+    pattern: tuple[int, int, int]
 
     @property
     def dof(self) -> int:
         return self.n - 2 - self.basis.shape[1]
 
 
-def _designs(samples: DataFrame, size: int, phenotypes: list[str], covariates: list[str]) -> list[_Design]:
+def _designs(samples: DataFrame, phenotypes: list[str], covariates: list[str]) -> list[_Design]:
     """Per phenotype: sample count, centring, and an orthonormal basis of the covariates.
 
     One aggregation over the sample table brings ``k * k`` covariances per
     phenotype column to the driver; nothing there grows with samples or variants.
+    Phenotypes with equal gaps come next to each other.
     """
     complete = reduce(lambda a, c: a & F.col(c).isNotNull(), covariates, F.col("y").isNotNull())
     pairs = [(a, b) for i, a in enumerate(covariates) for b in covariates[i:]]
@@ -141,6 +153,7 @@ def _designs(samples: DataFrame, size: int, phenotypes: list[str], covariates: l
         .groupBy("phenotype")
         .agg(
             F.count(F.lit(1)).alias("n"), F.avg("y").alias("mean"), F.var_pop("y").alias("var"),
+            F.bit_xor(F.xxhash64("sample_id")).alias("who"), F.bit_xor(F.xxhash64("sample_id", F.lit(1))).alias("who_again"),
             F.array(*[F.avg(c) for c in covariates]).cast("array<double>").alias("centres"),
             F.array(*[F.covar_pop(c, "y") for c in covariates]).cast("array<double>").alias("with_y"),
             F.array(*[F.covar_pop(a, b) for a, b in pairs]).cast("array<double>").alias("gram"),
@@ -165,90 +178,191 @@ def _designs(samples: DataFrame, size: int, phenotypes: list[str], covariates: l
         shared = basis.T @ with_y
         designs.append(_Design(
             row["phenotype"], n, row["mean"], n * row["var"] - float(shared @ shared),
-            np.array(row["centres"], dtype=float), basis @ shared, basis, n == size))
-    return sorted(designs, key=lambda d: phenotypes.index(d.phenotype))
-
+            np.array(row["centres"], dtype=float), basis @ shared, basis, (n, row["who"], row["who_again"])))
+    return sorted(designs, key=lambda d: (d.pattern, phenotypes.index(d.phenotype)))
 
-def _weighted(covariates: list[str], centres: np.ndarray, weights: np.ndarray) -> Column:
-    terms = [(F.col(c) - float(m)) * float(w) for c, m, w in zip(covariates, centres, weights)]
-    return reduce(lambda a, b: a + b, terms, F.lit(0.0))
 
+@dataclass
+class _Block:
+    """Columns of a block of phenotypes: per pattern of gaps the mean and the covariate directions, then the phenotypes."""
 
-@dataclass(frozen=True)
-class _Term:
-    """A phenotype within a block. Phenotypes known for every sample share the sums that depend on samples only."""
-
-    design: _Design
-    index: int
-    group: str
-
-    def known(self, covariates: list[str]) -> Column:
-        given = F.col(f"`{self.design.phenotype}`").isNotNull()
-        return reduce(lambda a, c: a & F.col(c).isNotNull(), covariates, given)
-
-    def residual(self, covariates: list[str]) -> Column:
-        d = self.design
-        value = F.col(f"`{d.phenotype}`") - d.mean - _weighted(covariates, d.centres, d.slopes)
-        return F.when(self.known(covariates), value).alias(f"_y{self.index}")
-
-    def directions(self, covariates: list[str]) -> list[Column]:
-        """Covariate basis of the group, null for samples the phenotype leaves out; the first stands for the mean."""
-        d = self.design
-        bases = [F.lit(1.0)] + [_weighted(covariates, d.centres, d.basis[:, j]) for j in range(d.basis.shape[1])]
-        return [F.when(self.known(covariates), q).alias(f"_q{self.group}_{j}") for j, q in enumerate(bases)]
-
-    def own_sums(self) -> list[Column]:
-        x, y = F.col("n_alt").cast("double"), F.col(f"_y{self.index}")
-        return [F.sum(x * y).alias(f"_xy{self.index}"), F.sum(F.when(x.isNotNull(), y)).alias(f"_sy{self.index}")]
-
-    def group_sums(self) -> list[Column]:
-        x = F.col("n_alt").cast("double")
-        sums = [F.sum(x * x * F.col(f"_q{self.group}_0")).alias(f"_xx{self.group}")]
-        for j in range(self.design.basis.shape[1] + 1):
-            q = F.col(f"_q{self.group}_{j}")
-            sums += [F.sum(x * q).alias(f"_xq{self.group}_{j}"), F.sum(F.when(x.isNotNull(), q)).alias(f"_sq{self.group}_{j}")]
-        return sums
-
-    def fit(self) -> Column:
-        """Corrected sums of one phenotype; missing genotypes stand at the variant's mean.
-
-        A genotype at the mean adds nothing to the centred sums, so only called
-        genotypes enter, while ``n`` counts every sample of the phenotype.
-        """
-        g, d = self.group, self.design
-        called, total, squares = F.col(f"_sq{g}_0"), F.col(f"_xq{g}_0"), F.col(f"_xx{g}")
-        mean = F.when(called > 0, total / called)
-        sxx = squares - total * mean
-        for j in range(1, d.basis.shape[1] + 1):
-            along = F.col(f"_xq{g}_{j}") - mean * F.col(f"_sq{g}_{j}")
-            sxx = sxx - along * along
-        sxy = F.col(f"_xy{self.index}") - mean * F.col(f"_sy{self.index}")
-        usable = sxx > 1e-9 * F.greatest(F.lit(1.0), squares)
-        return F.struct(
-            F.lit(d.phenotype).alias("phenotype"), F.lit(d.n).cast("bigint").alias("n"), F.lit(d.dof).alias("dof"),
-            F.lit(float(d.residual_ss)).alias("syy"), F.when(usable, sxx).alias("sxx"), F.when(usable, sxy).alias("sxy"),
-        )
+    designs: list[_Design]
+    leads: list[_Design] = field(init=False)
+    group: np.ndarray = field(init=False)
+    first: np.ndarray = field(init=False)
 
+    def __post_init__(self) -> None:
+        patterns = list(dict.fromkeys(d.pattern for d in self.designs))
+        self.leads = [next(d for d in self.designs if d.pattern == p) for p in patterns]
+        self.group = np.array([patterns.index(d.pattern) for d in self.designs])
+        self.first = np.cumsum([0] + [1 + d.basis.shape[1] for d in self.leads])
 
-def _blocks(designs: list[_Design], covariates: int, rows: int, max_bytes: int) -> list[list[_Term]]:
-    """Phenotypes in blocks whose sums stay inside generated code and whose sample table fits ``max_bytes``.
+    @property
+    def columns(self) -> int:
+        return int(self.first[-1]) + len(self.designs)
 
-    Complete phenotypes come first and lie together, so that they share.
+    @property
+    def sums(self) -> int:
+        return 2 * self.columns + len(self.leads)
+
+    def matrix(self, values: np.ndarray, covariates: np.ndarray) -> np.ndarray:
+        """Samples x columns; zero where a phenotype does not count the sample. Missing numbers are NaN."""
+        known = ~np.isnan(values) & ~np.isnan(covariates).any(axis=1)[:, None]
+        values, covariates = np.nan_to_num(values), np.nan_to_num(covariates)
+        out = np.zeros((len(values), self.columns))
+        for g, lead in enumerate(self.leads):
+            at = known[:, int(np.argmax(self.group == g))]
+            out[at, self.first[g]] = 1.0
+            out[at, self.first[g] + 1:self.first[g + 1]] = (covariates[at] - lead.centres) @ lead.basis
+        for i, d in enumerate(self.designs):
+            at = known[:, i]
+            out[at, self.first[-1] + i] = values[at, i] - d.mean - (covariates[at] - d.centres) @ d.slopes
+        return out
+
+    def fits(self, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Corrected sums ``sxx, sxy`` of variants x phenotypes, NaN where a variant does not vary.
+
+        Missing genotypes stand at the variant's mean, so only called ones add to the
+        centred sums, while ``n`` counts every sample of the phenotype.
+        """
+        with_x, called, squares = np.split(sums, [self.columns, 2 * self.columns], axis=1)
+        sxx, means = np.empty(squares.shape), np.empty(squares.shape)
+        for g in range(len(self.leads)):
+            first, upto = self.first[g], self.first[g + 1]
+            count, total = called[:, first], with_x[:, first]
+            mean = np.divide(total, count, out=np.full(len(sums), np.nan), where=count > 0)
+            along = with_x[:, first + 1:upto] - mean[:, None] * called[:, first + 1:upto]
+            means[:, g], sxx[:, g] = mean, squares[:, g] - total * mean - (along * along).sum(axis=1)
+        usable = sxx > 1e-9 * np.maximum(1.0, squares)
+        sxx = np.where(usable, sxx, np.nan)[:, self.group]
+        own = slice(int(self.first[-1]), None)
+        sxy = with_x[:, own] - means[:, self.group] * called[:, own]
+        return sxx, np.where(np.isnan(sxx), np.nan, sxy)
+
+
+def _blocks(designs: list[_Design], covariates: int) -> list[_Block]:
+    """Phenotypes in blocks of one size, so that a block is a slice of the sorted phenotypes."""
+    size = max(1, min(BLOCK_PHENOTYPES, BLOCK_COLUMNS // (covariates + 2)))
+    return [_Block(designs[i:i + size]) for i in range(0, len(designs), size)]
+
+
+def pack_genotypes(genotypes: DataFrame, slots: DataFrame) -> DataFrame:
+    """``ID, stripe, n_hom_ref, n_het, n_hom_var, calls``: one byte per call, in the samples' ``slots``.
+
+    ``slots`` has ``sample_id, stripe, slot``; calls of samples that are not in it
+    are only counted, under stripe -1. Missing calls are ``MISSING``; of several calls
+    of a sample the largest counts.
     """
-    per_group, blocks, sums, columns = 3 + 2 * covariates, [], 0, 0
-    for design in sorted(designs, key=lambda d: not d.complete):
-        shares = bool(blocks) and design.complete and blocks[-1][-1].design.complete
-        more_sums = 2 + (0 if shares else per_group)
-        more_columns = 1 + (0 if shares else 1 + covariates)
-        full = sums + more_sums > BLOCK_COLUMNS or rows * (32 + 16 * (columns + more_columns)) > max_bytes
-        if not blocks or full:
-            blocks.append([])
-            sums, columns = 2 + per_group, 2 + covariates
-        else:
-            sums, columns = sums + more_sums, columns + more_columns
-        index = len(blocks[-1])
-        blocks[-1].append(_Term(design, index, "c" if design.complete else str(index)))
-    return blocks
+    side = F.broadcast(slots) if fits_broadcast(slots) else slots
+    stripe = F.coalesce("stripe", F.lit(-1))
+    code = F.when(F.col("n_alt").between(0, MISSING - 1), F.col("slot") * 256 + F.col("n_alt").cast("int"))
+    grouped = genotypes.select("ID", "sample_id", "n_alt").join(side, "sample_id", "left").groupBy("ID", stripe.alias("stripe")).agg(
+        *_qc_counts(), F.collect_list(code).alias("codes"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets, codes = batch["codes"].offsets.to_numpy(), batch["codes"].values.to_numpy()
+            packed = []
+            for i in range(batch.num_rows):
+                own = np.sort(codes[offsets[i]:offsets[i + 1]])
+                calls = np.full(int(own[-1] >> 8) + 1 if len(own) else 0, MISSING, dtype=np.uint8)
+                calls[own >> 8] = own & 255
+                packed.append(calls.tobytes())
+            kept = batch.drop_columns(["codes"])
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(packed, pa.binary())], [*kept.schema.names, "calls"])
+
+    kind = genotypes.schema["ID"].dataType.simpleString()
+    return grouped.mapInArrow(pack, f"ID {kind}, stripe int, n_hom_ref bigint, n_het bigint, n_hom_var bigint, calls binary")
+
+
+def _slots(table: DataFrame, size: int) -> DataFrame:
+    """The sample table with ``stripe`` and the ``slot`` in it; stripes have about ``STRIPE_SAMPLES`` samples."""
+    stripes = max(1, -(-size // STRIPE_SAMPLES))
+    order = Window.partitionBy("stripe").orderBy("sample_id")
+    dealt = table.withColumn("stripe", F.pmod(F.xxhash64("sample_id"), F.lit(stripes)).cast("int"))
+    return dealt.withColumn("slot", F.row_number().over(order) - 1)
+
+
+def _phenotype_blocks(dealt: DataFrame, designs: list[_Design], covariates: list[str], blocks: list[_Block]) -> DataFrame:
+    """``stripe, block, samples, matrix``: the columns of every block over every stripe, row by row."""
+    number = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit(float("nan")))
+    values = F.array(*[number(d.phenotype) for d in designs])
+    size = len(blocks[0].designs)
+    known = dealt.sparkSession.sparkContext.broadcast(blocks)
+    rows = dealt.select(
+        "stripe", "slot", values.alias("values"), F.array(*[number(c) for c in covariates]).cast("array<double>").alias("covariates"),
+        F.explode(F.sequence(F.lit(0), F.lit(len(blocks) - 1))).alias("block"),
+    ).withColumn("values", F.slice("values", F.col("block") * size + 1, size))
+
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        stripe, block = key[0].as_py(), key[1].as_py()
+        rows = rows.combine_chunks().sort_by("slot")
+        n = rows.num_rows
+        values, given = (rows[c].combine_chunks().flatten().to_numpy().reshape(n, -1) for c in ("values", "covariates"))
+        matrix = known.value[block].matrix(values, given)
+        return pa.table({"stripe": pa.array([stripe], pa.int32()), "block": pa.array([block], pa.int32()), "samples": pa.array([n], pa.int32()),
+                         "matrix": pa.array([matrix.tobytes()], pa.binary())})
+
+    return rows.groupBy("stripe", "block").applyInArrow(build, "stripe int, block int, samples int, matrix binary")
+
+
+def _products(blocks: list[_Block]) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
+    """Sums of a group of variants with a block of phenotypes over one stripe; zeros for calls outside the sample table."""
+
+    def multiply(key: tuple, calls: pa.Table, matrices: pa.Table) -> pa.Table:
+        block = blocks[key[0].as_py()]
+        sums = np.zeros((calls.num_rows, block.sums))
+        if matrices.num_rows:
+            n = matrices["samples"][0].as_py()
+            y = np.frombuffer(matrices["matrix"][0].as_py()).reshape(n, block.columns)
+            ones = y[:, block.first[:-1]]
+            for start in range(0, calls.num_rows, CHUNK_VARIANTS):
+                raw = b"".join(c.ljust(n, bytes([MISSING])) for c in calls["calls"].slice(start, CHUNK_VARIANTS).to_pylist())
+                x = np.frombuffer(raw, dtype=np.uint8).reshape(-1, n)
+                called = (x != MISSING).astype(float)
+                x = np.where(x == MISSING, 0, x).astype(float)
+                sums[start:start + CHUNK_VARIANTS] = np.hstack([x @ y, called @ y, (x * x) @ ones])
+        return pa.table({"ID": calls["ID"], "af": calls["af"], "block": pa.array([key[0].as_py()] * calls.num_rows, pa.int32()),
+                         "sums": pa.array([row.tobytes() for row in sums], pa.binary())})
+
+    return multiply
+
+
+def _fitted(blocks: list[_Block]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds the sums of a variant's stripes, which come in a row, and gives a row per phenotype; the last variant of a batch waits for the next."""
+
+    def add(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        of = rows["block"].to_numpy()
+        for number in np.unique(of):
+            block, own = blocks[number], rows.filter(pa.array(of == number)).combine_chunks()
+            ids = own["ID"].to_pylist()
+            starts = [i for i, value in enumerate(ids) if not i or value != ids[i - 1]]
+            sums = np.frombuffer(b"".join(own["sums"].to_pylist())).reshape(len(ids), block.sums)
+            sxx, sxy = block.fits(np.add.reduceat(sums, starts, axis=0))
+            firsts = own.select(["ID", "af"]).take(pa.array(np.repeat(starts, len(block.designs))))
+            per_trait = lambda values, kind: pa.array(np.tile(np.array(values), len(starts)), kind)
+            yield from pa.table({
+                "ID": firsts["ID"], "af": firsts["af"], "phenotype": pa.array([d.phenotype for d in block.designs] * len(starts), pa.string()),
+                "n": per_trait([d.n for d in block.designs], pa.int64()), "dof": per_trait([d.dof for d in block.designs], pa.int32()),
+                "syy": per_trait([float(d.residual_ss) for d in block.designs], pa.float64()),
+                "sxx": pa.array(sxx.ravel(), from_pandas=True), "sxy": pa.array(sxy.ravel(), from_pandas=True)}).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch] if waiting is None else [*waiting.to_batches(), batch])
+            if not rows.num_rows:
+                continue
+            last, whole = (rows["block"][-1], rows["ID"][-1]), rows.num_rows - 1
+            while whole and (rows["block"][whole - 1], rows["ID"][whole - 1]) == last:
+                whole -= 1
+            waiting = rows.slice(whole)
+            if whole:
+                yield from add(rows.slice(0, whole))
+        if waiting is not None:
+            yield from add(waiting)
+
+    return run
 
 
 def association(
@@ -260,7 +374,6 @@ def association(
     min_p_hwe: float | None = None,
     mid_p: bool = True,
     pvalues: bool = True,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Linear regression of every phenotype on every variant, with quality control in the same scan.
 
@@ -273,49 +386,48 @@ def association(
     the genotype through its sums with an orthonormal basis, which gives the
     coefficients of the full model without solving anything per variant.
 
-    Each block of phenotypes is one scan. Its sample table is broadcast when, by
-    its counted rows, it fits the limit; only where even a single phenotype is too
-    large for that does the join shuffle.
+    Genotypes are read once and packed; the packed rows are settled, as quality
+    control and regression both read them. Phenotypes known for the same samples
+    share the sums of genotypes and covariates. Blocks of phenotypes and packed rows meet
+    by stripe and group of variants, so a task holds one block of phenotypes, one stripe
+    of samples and one group of variants at a time, and nothing is broadcast but
+    the designs, a few numbers per phenotype.
     """
     names = [c for c in phenotypes.columns if c != "sample_id"]
+    number = lambda c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None))
     table = samples.select("sample_id").distinct().join(
-        phenotypes.select("sample_id", *[F.col(f"`{c}`").cast("double").alias(c) for c in names]), "sample_id")
+        phenotypes.select("sample_id", *[number(c).alias(c) for c in names]), "sample_id")
     extra = []
     if covariates is not None:
         given = [c for c in covariates.columns if c != "sample_id"]
         extra = [f"_covariate{i}" for i in range(len(given))]
-        table = table.join(covariates.select(
-            "sample_id", *[F.col(f"`{c}`").cast("double").alias(e) for c, e in zip(given, extra)]), "sample_id")
-    size = table.count()
-    designs = _designs(table, size, names, extra)
+        table = table.join(covariates.select("sample_id", *[number(c).alias(e) for c, e in zip(given, extra)]), "sample_id")
+    table = settle(table)
+    designs = _designs(table, names, extra)
     if not designs:
         raise ValueError("no genotyped sample has a phenotype value together with all covariates")
-
-    def common(counts: DataFrame) -> DataFrame:
-        return counts if min_af is None else counts.filter(F.col("af") > min_af)
-
-    blocks, passing = [], None
-    for block in _blocks(designs, len(extra), size, broadcast_bytes):
-        groups = list({term.group: term for term in block}.values())
-        directions = [c for term in groups for c in term.directions(extra)]
-        side = table.select("sample_id", *[term.residual(extra) for term in block], *directions)
-        fits_limit = size * (16 + 16 * len(side.columns)) <= broadcast_bytes
-        sums = (
-            genotypes.join(F.broadcast(side) if fits_limit else side, "sample_id", "left")
-            .groupBy("ID")
-            .agg(*_qc_counts(), *[c for t in block for c in t.own_sums()], *[c for t in groups for c in t.group_sums()])
-        )
-        if min_p_hwe is not None and passing is None:
-            # The exact test makes many rows of each variant's counts, so it runs beside the wide
-            # sums and not through them; settling keeps that from scanning the genotypes again.
-            sums = settle(sums)
-            counts = common(_with_frequency(sums.select("ID", "n_hom_ref", "n_het", "n_hom_var")))
-            passing = with_hwe(counts, mid_p).filter(F.col("p_hwe") > min_p_hwe).select("ID")
-        kept = common(_with_frequency(sums))
-        if passing is not None:
-            kept = kept.join(passing, "ID", "left_semi")
-        blocks.append(kept.select("ID", "af", F.inline(F.array(*[term.fit() for term in block]))))
-    fits = reduce(DataFrame.unionByName, blocks)
+    blocks = _blocks(designs, len(extra))
+
+    dealt = settle(_slots(table, table.count()))
+    packed = settle(pack_genotypes(genotypes, dealt.select("sample_id", "stripe", "slot")))
+    counts = _with_frequency(packed.groupBy("ID").agg(*[F.sum(c).alias(c) for c in ("n_hom_ref", "n_het", "n_hom_var")]))
+    if min_af is not None:
+        counts = counts.filter(F.col("af") > min_af)
+    if min_p_hwe is not None:
+        counts = with_hwe(counts, mid_p).filter(F.col("p_hwe") > min_p_hwe)
+    kept = settle(counts.select("ID", "af"))
+    groups = max(1, -(-kept.count() // GROUP_VARIANTS))
+
+    calls = packed.join(kept, "ID").select(
+        "ID", "af", "stripe", "calls", F.pmod(F.xxhash64("ID"), F.lit(groups)).cast("int").alias("group"),
+        F.explode(F.sequence(F.lit(0), F.lit(len(blocks) - 1))).alias("block"))
+    matrices = _phenotype_blocks(dealt, designs, extra, blocks).withColumn(
+        "group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    keys, kind = ["block", "group", "stripe"], genotypes.schema["ID"].dataType.simpleString()
+    sums = calls.groupBy(*keys).cogroup(matrices.groupBy(*keys)).applyInArrow(
+        _products(blocks), f"ID {kind}, af double, block int, sums binary")
+    fits = sums.repartition("block", "ID").sortWithinPartitions("block", "ID").mapInArrow(
+        _fitted(blocks), f"ID {kind}, af double, phenotype string, n bigint, dof int, syy double, sxx double, sxy double")
 
     beta = F.col("sxy") / F.col("sxx")
     fitted = fits.withColumn("beta", beta)

@@ -83,15 +83,20 @@ def test_collinear_covariate_costs_no_degree_of_freedom(study):
     _check(study, got, [study["sex"], study["age"]])
 
 
-def test_blocks_and_shuffled_sample_side_give_the_same(study, monkeypatch):
+def test_small_blocks_stripes_and_groups_give_the_same(study, monkeypatch):
     columns = ["ID", "phenotype", "n"]
-    one = association.association(study["geno"], study["samples"], study["pheno"], pvalues=False)
-    monkeypatch.setattr(association, "BLOCK_COLUMNS", 10)
-    many = association.association(study["geno"], study["samples"], study["pheno"], pvalues=False, broadcast_bytes=1)
+    cov = study["cov"].drop("twice_age")
+    one = association.association(study["geno"], study["samples"], study["pheno"], cov, pvalues=False)
+    monkeypatch.setattr(association, "BLOCK_PHENOTYPES", 2)
+    monkeypatch.setattr(association, "STRIPE_SAMPLES", 9)
+    monkeypatch.setattr(association, "GROUP_VARIANTS", 5)
+    monkeypatch.setattr(association, "fits_broadcast", lambda df: False)
+    many = association.association(study["geno"], study["samples"], study["pheno"], cov, pvalues=False)
     assert rows(one, *columns) == rows(many, *columns)
     a = {(r.ID, r.phenotype): r.beta for r in one.collect()}
     b = {(r.ID, r.phenotype): r.beta for r in many.collect()}
     assert all(a[k] == pytest.approx(b[k], rel=1e-9) for k in a if a[k] is not None)
+    _check(study, association.association(study["geno"], study["samples"], study["pheno"], cov), [study["sex"], study["age"]])
 
 
 def test_exact_test_at_biobank_size_sums_few_terms(spark):
@@ -126,30 +131,73 @@ def test_names_with_dots_and_no_usable_sample(spark):
         association.association(geno, samples, pheno.filter("sample_id < 0"))
 
 
-def test_genotypes_are_scanned_once_with_quality_control(study, tmp_path):
-    path = str(tmp_path / "geno")
-    study["geno"].write.parquet(path)
-    geno = study["geno"].sparkSession.read.parquet(path)
-    fits = association.association(geno, study["samples"], study["pheno"], min_af=0.05, min_p_hwe=1e-6)
-    plan = fits._jdf.queryExecution().executedPlan().toString()
-    assert path not in plan and "FileScan parquet" not in plan, "the sums were settled in the only scan"
-    plain = association.association(geno, study["samples"], study["pheno"], min_af=0.05)
-    plan = plain._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") == 1 and f"[file:{path}]" in plan
+def _counted(spark, df):
+    """The rows of ``df`` with a counter of how many were read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), seen
+
+
+def test_genotypes_are_scanned_once_for_many_traits_with_gaps(spark):
+    """200 phenotypes, each missing for other samples, 11 covariates and quality control."""
+    rng = np.random.default_rng(3)
+    n, variants, traits = 300, 40, 200
+    calls = rng.binomial(2, 0.3, (variants, n))
+    cov = rng.normal(0, 1, (n, 11))
+    y = rng.normal(0, 1, (n, traits)) + cov[:, :1] + 0.3 * calls[np.arange(traits) % variants].T
+    y[rng.random((n, traits)) < 0.1] = np.nan
+    geno = spark.createDataFrame([(f"v{i}", s, int(calls[i, s])) for i in range(variants) for s in range(n)], GENO)
+    counted, seen = _counted(spark, geno)
+    samples = spark.createDataFrame([(s,) for s in range(n)], "sample_id bigint")
+    pheno = spark.createDataFrame([(s, *map(float, y[s])) for s in range(n)], "sample_id bigint, " + ", ".join(f"y{k} double" for k in range(traits)))
+    axes = spark.createDataFrame([(s, *map(float, cov[s])) for s in range(n)], "sample_id bigint, " + ", ".join(f"pc{k} double" for k in range(11)))
+    fits = association.association(counted, samples, pheno, axes, min_af=0.05, min_p_hwe=1e-6, pvalues=False)
+    got = {(r.ID, r.phenotype): r for r in fits.collect()}
+    assert seen.value == n * variants, "one scan"
+    assert len(got) == variants * traits
+    for i, k in [(0, 0), (7, 7), (39, 199), (5, 120)]:
+        keep = ~np.isnan(y[:, k])
+        beta, t, count, _ = _ols(y[keep, k], calls[i][keep].astype(float), [c[keep] for c in cov.T])
+        r = got[f"v{i}", f"y{k}"]
+        assert (r.beta, r.tstat, r.n) == (pytest.approx(beta, rel=1e-8), pytest.approx(t, rel=1e-8), count)
+
+
+def test_quality_control_keeps_the_same_variants_and_reads_once(spark, study):
+    counted, seen = _counted(spark, study["geno"])
+    fits = association.association(counted, study["samples"], study["pheno"], min_af=0.05, min_p_hwe=1e-6)
     kept = {r.ID for r in fits.select("ID").distinct().collect()}
-    qc = association.variant_qc(geno)
+    assert seen.value == study["geno"].count()
+    qc = association.variant_qc(study["geno"])
     assert kept == {r.ID for r in association.variant_qc_filter(qc).collect()}
 
 
-def test_complete_phenotypes_share_sums_and_incomplete_ones_do_not(study):
+def test_phenotypes_with_equal_gaps_share_sums(study):
     table = study["pheno"].join(study["cov"].drop("twice_age"), "sample_id")
-    names = list(study["y"])
-    designs = association._designs(table, table.count(), names, ["sex", "age"])
-    assert [d.phenotype for d in designs if not d.complete] == ["trait 1"]
-    [block] = association._blocks(designs, 2, 80, 10**9)
-    assert [t.group for t in block] == ["c"] * 4 + ["4"]
-    alone = association._blocks(designs, 2, 80, 1)
-    assert [len(b) for b in alone] == [1] * 5
+    designs = association._designs(table, list(study["y"]), ["sex", "age"])
+    [block] = association._blocks(designs, 2)
+    names = [d.phenotype for d in block.designs]
+    assert len(block.leads) == 2 and block.columns == 2 * 3 + 5
+    gapped = names.index("trait 1")
+    assert {block.group[i] for i in range(5) if i != gapped} == {1 - block.group[gapped]}
+
+
+def test_calls_outside_the_sample_table_are_counted_only(spark, study):
+    geno = study["geno"].union(spark.createDataFrame([("elsewhere", 5000 + s, s % 3) for s in range(6)], GENO))
+    got = association.association(geno, study["samples"], study["pheno"])
+    r = got.filter("ID = 'elsewhere'").collect()
+    assert len(r) == 5 and all(x.beta is None and x.af == 0.5 for x in r)
+
+
+def test_packed_calls(spark):
+    geno = spark.createDataFrame([("a", 1, 2), ("a", 3, 0), ("a", 3, 1), ("a", 2, None), ("a", 9, 1), ("b", 7, 2)], GENO)
+    slots = spark.createDataFrame([(1, 0, 0), (2, 0, 1), (3, 0, 2), (9, 1, 0)], "sample_id bigint, stripe int, slot int")
+    got = {(r.ID, r.stripe): (bytes(r.calls), r.n_hom_ref, r.n_het, r.n_hom_var) for r in association.pack_genotypes(geno, slots).collect()}
+    assert got == {("a", 0): (b"\x02\xff\x01", 1, 1, 1), ("a", 1): (b"\x01", 0, 1, 0), ("b", -1): (b"", 0, 0, 1)}
 
 
 def test_quality_counts_and_one_sided_frequency(spark):
