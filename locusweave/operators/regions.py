@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from locusweave.functions.loci import chrom_number, gene_name
 from locusweave.operators.intervals import merge_intervals, nearest_start, overlap_join
 from locusweave.operators.ordering import number_rows
 from locusweave.schemas import REGION_COLUMNS
+from locusweave.session import fits_broadcast, settle
 
 NO_GENE = "NA"
 GENE_WINDOW = 1_000_000
@@ -44,37 +46,49 @@ def nearest_gene(loci: DataFrame, genes: DataFrame, window: int = GENE_WINDOW) -
     )
 
 
+def number_traits(hits: DataFrame) -> DataFrame:
+    """``phenotype, trait``: the traits of a hit table, numbered by name. A row per trait is all that is ordered."""
+    distinct = hits.filter(F.col("phenotype").isNotNull()).select("phenotype").distinct()
+    return distinct.withColumn("trait", F.row_number().over(Window.orderBy("phenotype")))
+
+
 def hit_regions(
-    hits: DataFrame, genes: DataFrame | None = None, window_buffer: int = 1_000_000, gene_window: int = GENE_WINDOW
+    hits: DataFrame, genes: DataFrame | None = None, window_buffer: int = 1_000_000, gene_window: int = GENE_WINDOW,
+    traits: DataFrame | None = None,
 ) -> DataFrame:
     """Regions of hits whose windows of ``window_buffer`` up and down overlap or touch.
 
-    Hits of one locus and trait are combined before the shuffle, so a hot locus
-    brings at most one row per trait into its bin. Everything a region reports is
-    carried through both merging steps; hits are read once and never joined back.
-    ``phenotypes`` is an array; text tables hold it by ``functions.traits``.
+    Hits are combined before the shuffle to one row per locus, whose traits are a set of
+    numbers, so however many traits meet at a locus, runs are found along distinct
+    positions. Everything a region reports is carried through both merging
+    steps; hits are never joined back. ``traits`` numbers the traits
+    (``number_traits``); without it the located hits are settled, as finding the
+    traits reads them once more. ``phenotypes`` is an array; text tables hold it by ``functions.traits``.
     """
-    located = hits.filter(F.col("chromosome").isNotNull() & F.col("position").isNotNull())
-    per_locus = located.groupBy("chromosome", "position", "phenotype").agg(
+    located = hits.filter(F.col("chromosome").isNotNull() & F.col("position").isNotNull()).select(
+        "chromosome", "position", "phenotype", "pval", "chi2")
+    if traits is None:
+        located = settle(located)
+        traits = number_traits(located)
+    traits = settle(traits)
+    traits = F.broadcast(traits) if fits_broadcast(traits) else traits
+    per_locus = located.join(traits, "phenotype", "left").groupBy("chromosome", "position").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min(F.struct(
-            F.col("pval"), (-F.col("chi2")).alias("order"), F.col("position"), F.col("phenotype"),
-        )).alias("lead"),
+        F.min(F.struct("pval", (-F.col("chi2")).alias("order"))).alias("best"), F.collect_set("trait").alias("traits"),
     )
     spans = per_locus.select(
         F.col("chromosome").alias("chrom"),
         F.greatest(F.lit(FIRST_BASE).cast("bigint"), F.col("position") - window_buffer).alias("chromStart"),
         (F.col("position") + window_buffer).alias("chromEnd"),
-        "phenotype", "n", "lead",
+        "n", F.struct("best.pval", "best.order", "position").alias("lead"), "traits",
     )
     once = F.coalesce(F.col("_item_no"), F.lit(0)) == 0
+    n = F.sum(F.when(once, F.col("n")))
     merged = merge_intervals(
         spans, "chrom", "chromStart", "chromEnd",
-        first={"n": F.sum("n"), "lead": F.min("lead"), "traits": F.collect_set("phenotype")},
-        again={
-            "n": F.sum(F.when(once, F.col("n"))), "lead": F.min("lead"), "traits": F.array_sort(F.collect_set("_item")),
-        },
-        longest=2 * window_buffer, spread="traits",
+        first={"n": n, "lead": F.min("lead"), "traits": F.collect_set("_item")},
+        again={"n": n, "lead": F.min("lead"), "traits": F.array_sort(F.collect_set("_name"))},
+        longest=2 * window_buffer, spread="traits", names=traits.withColumnsRenamed({"trait": "_item", "phenotype": "_name"}),
     )
     regions = merged.select(
         "chrom", "chromStart", "chromEnd",

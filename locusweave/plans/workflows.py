@@ -78,7 +78,7 @@ def post_process_gwas(
     sinks.write_tsv(hits.manhattan_points(spark.read.parquet(out["combined"])), out["points"], mode)
 
     genes = regions.gene_table(files.read_annotation(spark, annotation)) if annotation else None
-    table = regions.hit_regions(found, genes, window_buffer)
+    table = regions.hit_regions(found, genes, window_buffer, traits=regions.number_traits(found))
     sinks.write_regions(table, out["regions"], mode)
     sinks.write_by_region(regions.region_hits(files.read_regions(spark, out["regions"]), found, bed), out["members"], mode)
     return out

@@ -71,10 +71,19 @@ def test_hits_are_read_once_for_the_gene_search(spark, tmp_path):
     path = str(tmp_path / "hits")
     spark.createDataFrame([_hit(1, p) for p in range(1000, 90_000, 700)], SUMSTATS).write.parquet(path)
     genes = spark.createDataFrame([("g", 1, 100, 5_000)], GENES)
-    df = regions.hit_regions(spark.read.parquet(path), genes, 100)
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("FileScan parquet") == 1
+    found = spark.read.parquet(path)
+    for traits, scans in ((regions.number_traits(found), 1), (None, 0)):  # settled when the traits had to be looked for
+        df = regions.hit_regions(found, genes, 100, traits=traits)
+        assert df.count() > 0
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert final.count("FileScan parquet") == scans
+
+
+def test_hits_without_a_trait_count_but_are_not_listed(spark):
+    data = [_hit(1, 500), _hit(1, 500, phenotype=None), _hit(2, 10, phenotype=None)]
+    got = _regions(spark, data, window_buffer=100)
+    assert rows(got, "chrom", "num_included_variants", "num_phenotypes", "phenotypes") == [(1, 2, 1, ["a"]), (2, 1, 0, [])]
 
 
 def test_region_numbers_names_and_members(spark):

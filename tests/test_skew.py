@@ -48,6 +48,34 @@ def test_hot_locus_is_combined_before_the_region_shuffle(spark):
     assert "partial_count" in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_runs_are_found_along_positions_however_many_traits_meet_there(spark, conf):
+    """Few positions, 4,000 traits at each: the windows see one row per position."""
+    conf(spark__sql__adaptive__enabled="false")
+    n = F.col("id")
+    found = spark.range(0, 3 * 4_000 * 5, 1, 8).select(
+        F.lit(30.0).alias("chi2"), F.lit(1e-8).alias("pval"), F.lit(1).alias("chromosome"),
+        F.element_at(F.array(*map(F.lit, (1_000, 1_150, 900_000))), (n % 3 + 1).cast("int")).cast("bigint").alias("position"),
+        F.concat(F.lit("trait, no. "), F.floor(n / 3) % 4_000).alias("phenotype"))
+    got = regions.hit_regions(found, None, 100)
+    assert rows(got, "chromStart", "num_included_variants", "num_phenotypes") == [(900, 40_000, 4_000), (899_900, 20_000, 4_000)]
+    plan = got._jdf.queryExecution().executedPlan()
+    windows = []
+
+    def walk(node):
+        if node.nodeName().startswith("Window"):
+            child = node.child()
+            while not child.metrics().contains("numOutputRows") and not child.metrics().contains("shuffleRecordsWritten"):
+                child = child.child()
+            name = "numOutputRows" if child.metrics().contains("numOutputRows") else "shuffleRecordsWritten"
+            windows.append(child.metrics().apply(name).value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    got.collect()
+    walk(plan)
+    assert max(windows) == 3
+
+
 def test_stacked_peaks_are_split_by_bin(spark, conf, monkeypatch):
     conf(**SMALL_SKEW)
     monkeypatch.setattr(tf_binding, "fits_broadcast", lambda *a, **k: False)
