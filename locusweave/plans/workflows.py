@@ -15,7 +15,7 @@ from locusweave.functions.loci import chrom_name, chrom_number
 from locusweave.operators import association, eqtl, hits, quality, regions, tf_binding
 from locusweave.operators.ordering import genomic_sort
 from locusweave.session import tune
-from locusweave.sources import files, sinks
+from locusweave.sources import files, interval_store, sinks
 
 # Column names of the two eQTL collections and their names here.
 COLLECTION_A = {
@@ -28,6 +28,26 @@ COLLECTION_B = {
 GENOMIC_COLUMNS = ["OA", "EA", "EAF", "beta", "pval", "Marker", "phenotype"]
 
 
+def land_references(
+    spark: SparkSession, output: str, peaks: str | None = None, annotation: str | None = None, mode: str = "errorifexists"
+) -> dict[str, str]:
+    """Peaks and genes as interval stores, to be given to the analyses with ``landed_peaks`` and ``landed_genes``.
+
+    Written once per release of the references; an analysis then reads the parts near its variants.
+    """
+    tune(spark)
+    out = {}
+    if peaks:
+        out["peaks"] = f"{output}/peaks"
+        interval_store.land_intervals(
+            tf_binding.peak_table(files.read_peaks(spark, peaks)), out["peaks"], "chromosome", "peak_start", "peak_end", mode)
+    if annotation:
+        out["genes"] = f"{output}/genes"
+        interval_store.land_intervals(
+            regions.gene_table(files.read_annotation(spark, annotation)), out["genes"], "chromosome", "gene_start", "gene_end", mode)
+    return out
+
+
 def post_process_gwas(
     spark: SparkSession,
     variant_info: str,
@@ -42,6 +62,7 @@ def post_process_gwas(
     template_trait: str | None = None,
     bed: bool = True,
     strict: bool = True,
+    landed_genes: bool = False,
     mode: str = "errorifexists",
 ) -> dict[str, str]:
     """Hits per phenotype, combined hit table, Manhattan points, regions and region members.
@@ -50,7 +71,8 @@ def post_process_gwas(
     table, the alphabetically first one by default. The text results are landed as
     Parquet first and read as text only then; malformed rows fail that step, or
     are counted in a report with ``strict`` off. Hits with unknown IDs and with
-    markers that do not parse are reported as well.
+    markers that do not parse are reported as well. With ``landed_genes``,
+    ``annotation`` is a gene store of ``land_references``, read near the hits only.
     """
     tune(spark)
     names = ("landed", "hits", "hit_tables", "combined", "points", "regions", "members", "unmatched", "unparsed", "malformed")
@@ -77,7 +99,11 @@ def post_process_gwas(
     combined.write.mode(mode).parquet(out["combined"])
     sinks.write_tsv(hits.manhattan_points(spark.read.parquet(out["combined"])), out["points"], mode)
 
-    genes = regions.gene_table(files.read_annotation(spark, annotation)) if annotation else None
+    genes = None
+    if annotation and landed_genes:
+        genes = interval_store.read_near(spark, annotation, found, "chromosome", "position", regions.GENE_WINDOW)
+    elif annotation:
+        genes = regions.gene_table(files.read_annotation(spark, annotation))
     table = regions.hit_regions(found, genes, window_buffer, traits=regions.number_traits(found))
     sinks.write_regions(table, out["regions"], mode)
     sinks.write_by_region(regions.region_hits(files.read_regions(spark, out["regions"]), found, bed), out["members"], mode)
@@ -137,19 +163,26 @@ def prepare_motif_input(
 
 def find_bound_factors(
     spark: SparkSession, variants: str, peaks: str, motif_effects: str, output: str, motif_matrix: str | None = None,
-    biotypes: str | None = None, threshold: float = 0.2, from_matrix: bool = False, mode: str = "errorifexists",
+    biotypes: str | None = None, threshold: float = 0.2, from_matrix: bool = False, landed_peaks: bool = False,
+    mode: str = "errorifexists",
 ) -> dict[str, str]:
     """Peaks over the variants, motif changes, and the factors that have both.
 
     The factors come from all peaks and from the per-model motif table, or from
-    the averaged matrix with ``from_matrix``.
+    the averaged matrix with ``from_matrix``. With ``landed_peaks``, ``peaks`` is a
+    store of ``land_references``, read near the variants only.
     """
     tune(spark)
     out = {name: f"{output}/{name}" for name in ("peaks", "peaks_filtered", "effects", "matrix_effects", "factors")}
     table = files.read_variant_list(spark, variants)
     key_map = tf_binding.variant_key_map(table)
 
-    over = tf_binding.peak_overlap(tf_binding.variant_positions(table), tf_binding.peak_table(files.read_peaks(spark, peaks)))
+    loci = tf_binding.variant_positions(table)
+    if landed_peaks:
+        known = interval_store.read_near(spark, peaks, loci, "chromosome", "position")
+    else:
+        known = tf_binding.peak_table(files.read_peaks(spark, peaks))
+    over = tf_binding.peak_overlap(loci, known)
     sinks.write_tsv(over, out["peaks"], mode, ["chr", "pos", "distance_to_peak"])
     peak_hits = spark.read.schema(over.schema).option("sep", "\t").option("header", True).csv(out["peaks"])
     if biotypes:

@@ -85,11 +85,6 @@ def land_results(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     write_partitioned(df, path, "phenotype", ["chi2", "ID"], "parquet", mode)
 
 
-def land_intervals(df: DataFrame, path: str, chrom: str, start: str, mode: str = "errorifexists") -> None:
-    """One-time landing of annotation or peaks as Parquet by chromosome, sorted so that range filters skip row groups."""
-    write_partitioned(df, path, chrom, [start], "parquet", mode)
-
-
 def land_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "errorifexists") -> None:
     """One-time landing as a table bucketed and sorted by a join key.
 

@@ -1,0 +1,115 @@
+"""Landed intervals: lookups give what a full scan gives, from few files."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from locusweave.operators import regions, tf_binding
+from locusweave.sources import interval_store
+
+SCHEMA = "chromosome int, peak_start bigint, peak_end bigint, name string, thick_start bigint, thick_end bigint"
+
+
+def _peaks(spark, n=4000, seed=1):
+    rng = random.Random(seed)
+    data = []
+    for i in range(n):
+        start = rng.randrange(0, 240_000_000)
+        end = start + rng.choice([0, 200, 2_000, 2_000, 900_000, 3_000_000, 90_000_000])
+        data.append((rng.choice([1, 1, 1, 2, 23, 25]), start, end, f"S{i}.TF{i % 7}.b", start, end))
+    data += [(1, (1 << 20) * 5 - 1, (1 << 20) * 5, "edge.T.b", 0, 0), (1, 7, 5, "reversed.T.b", 0, 0), (None, 5, 9, "none.T.b", 0, 0), (2, 3, 1 << 40, "endless.T.b", 0, 0)]
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def files_read(df):
+    """Rows of ``df``, and the number of files its Parquet scan opened."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    found = []
+
+    def walk(node):
+        if node.nodeName().startswith("Scan parquet"):
+            found.append(node.metrics().apply("numFiles").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan)
+    return sum(found)
+
+
+@pytest.fixture(scope="module")
+def store(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("store") / "peaks")
+    peaks = _peaks(spark)
+    interval_store.land_intervals(peaks, path, "chromosome", "peak_start", "peak_end")
+    return peaks, path
+
+
+def test_every_valid_interval_is_stored_once(spark, store):
+    peaks, path = store
+    valid = peaks.filter("peak_start <= peak_end AND chromosome IS NOT NULL")
+    assert rows(spark.read.parquet(path).drop("cell"), *peaks.columns) == rows(valid, *peaks.columns)
+
+
+@pytest.mark.parametrize("reach", [0, 1_000_000])
+def test_lookup_finds_what_a_full_scan_finds(spark, store, reach):
+    peaks, path = store
+    rng = random.Random(5)
+    data = [(rng.choice([1, 2, 23, 24]), rng.randrange(1, 250_000_000)) for _ in range(60)]
+    data += [(1, (1 << 20) * 5), (1, None), (None, 7), (2, 1 << 39), (1, 0), (1, -3)]
+    loci = spark.createDataFrame(data, "chromosome int, position bigint")
+    near = interval_store.read_near(spark, path, loci, "chromosome", "position", reach)
+    if reach:
+        def overlaps(table):
+            return table.join(loci.filter("position >= 0"), "chromosome").filter(
+                (F.col("peak_start") <= F.col("position") + reach) & (F.col("peak_end") >= F.col("position") - reach))
+    else:
+        def overlaps(table):
+            return tf_binding.peak_overlap(loci, table)
+    assert rows(overlaps(near)) == rows(overlaps(peaks.filter("peak_start <= peak_end"))) != []
+
+
+def test_few_variants_read_few_files(spark, store, conf):
+    _, path = store
+    conf(spark__sql__adaptive__enabled="false")
+    loci = spark.createDataFrame([(1, 50_000_000), (1, 50_000_400), (23, 9_000_000)], "chromosome int, position bigint")
+    whole = files_read(spark.read.parquet(path))
+    near = interval_store.read_near(spark, path, loci, "chromosome", "position")
+    opened = files_read(near)
+    assert whole > 400 and 0 < opened <= 16, (opened, whole)  # at most two cells per level and locus
+    assert "dynamicpruning" in near._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pruning_also_holds_with_adaptive_execution(spark, store, conf):
+    _, path = store
+    conf(spark__sql__adaptive__enabled="true")
+    loci = spark.createDataFrame([(1, 50_000_000)], "chromosome int, position bigint")
+    over = tf_binding.peak_overlap(loci, interval_store.read_near(spark, path, loci, "chromosome", "position"))
+    over.collect()
+    assert "dynamicpruning" in over._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nearest_gene_from_the_store(spark, tmp_path):
+    rng = random.Random(2)
+    genes = spark.createDataFrame([(f"g{i}", rng.choice([1, 2]), s, s + rng.choice([900, 2_000_000])) for i in range(300) for s in [rng.randrange(1, 200_000_000)]],
+                                  "gene_name string, chromosome int, gene_start bigint, gene_end bigint")
+    interval_store.land_intervals(genes, str(tmp_path / "genes"), "chromosome", "gene_start", "gene_end")
+    loci = spark.createDataFrame([(rng.choice([1, 2]), rng.randrange(1, 200_000_000)) for _ in range(80)], "chromosome int, position bigint")
+    near = interval_store.read_near(spark, str(tmp_path / "genes"), loci, "chromosome", "position", regions.GENE_WINDOW)
+    assert near.columns == genes.columns or set(near.columns) == set(genes.columns)
+    assert rows(regions.nearest_gene(loci, near)) == rows(regions.nearest_gene(loci, genes))
+
+
+def test_interval_longer_than_every_level_is_found_far_from_its_start(spark, store):
+    peaks, path = store
+    loci = spark.createDataFrame([(2, 1 << 39)], "chromosome int, position bigint")
+    near = interval_store.read_near(spark, path, loci, "chromosome", "position")
+    assert rows(tf_binding.peak_overlap(loci, near), "study_accession") == [("endless",)]
+
+
+def test_empty_positions_read_nothing(spark, store):
+    _, path = store
+    loci = spark.createDataFrame([], "chromosome int, position bigint")
+    assert interval_store.read_near(spark, path, loci, "chromosome", "position").count() == 0

@@ -45,6 +45,10 @@ def test_gwas_post_processing(spark, tmp_path):
     assert rows(_read(spark, out["members"]), "region", "position", "position2", "phenotype") == [
         ("region_1_chr1:700-1800", "1000", "1000", "p_one"), ("region_1_chr1:700-1800", "1000", "1000", "two"),
         ("region_1_chr1:700-1800", "1500", "1500", "p_one"), ("region_2_chr23:600-1200", "900", "900", "two")]
+    store = workflows.land_references(spark, str(tmp_path / "store"), annotation=gtf)["genes"]
+    pruned = workflows.post_process_gwas(
+        spark, info, str(tmp_path / "res"), str(tmp_path / "out2"), "run", 6, 300, aliases=str(alias), annotation=store, landed_genes=True)
+    assert rows(_read(spark, pruned["regions"])) == rows(_read(spark, out["regions"]))
     assert _read(spark, out["points"]).filter("x IS NOT NULL").count() == 5
     assert _read(spark, out["unparsed"]).count() == 0
 
@@ -124,6 +128,10 @@ def test_bound_factors(spark, tmp_path):
     assert rows(_read(spark, out["peaks"]), "transcription_factor", "distance_to_peak") == [("TFA", "5"), ("TFB", "100")]
     assert rows(_read(spark, out["peaks_filtered"]), "transcription_factor") == [("TFB",)]
     assert rows(_read(spark, out["factors"])) == [("v1", "1", "500", "G", "T", "TFA", "0.4", "gain")]
+    store = workflows.land_references(spark, str(tmp_path / "store"), peaks=peaks)["peaks"]
+    pruned = workflows.find_bound_factors(spark, variants, store, effects, str(tmp_path / "out3"), landed_peaks=True)
+    for name in ("peaks", "factors"):
+        assert rows(_read(spark, pruned[name])) == rows(_read(spark, out[name]))
     averaged = workflows.find_bound_factors(
         spark, variants, peaks, effects, str(tmp_path / "out2"), matrix, from_matrix=True)
     assert rows(_read(spark, averaged["factors"]), "transcription_factor", "effect") == [("TFB", "loss")]
