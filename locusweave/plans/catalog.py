@@ -13,12 +13,13 @@ from locusweave.functions.traits import encode_traits
 from locusweave.operators import association, eqtl, hits, quality, regions, tf_binding
 from locusweave.plans.fixtures import Tables
 from locusweave.session import settle, tune
-from locusweave.sources.files import cell_type_from_filename, phenotype_from_filename
+from locusweave.sources.files import cell_type_from_filename, motif_matrix_cells, phenotype_from_filename
 
 TEMPLATE_TRAIT = "trait_0"
 WINDOW_BUFFER = 20_000
 VCF_CHUNK = 300
 SAFE_BIOTYPES = ["1-URGENT", "5-LOW"]
+FACTORS = 50
 
 
 def nine_digits(value: Column) -> Column:
@@ -54,6 +55,21 @@ def _motif_effects(t: Tables) -> DataFrame:
     return tf_binding.motif_effects(t.effects, tf_binding.variant_key_map(t.vlist))
 
 
+def _matrix_cells(t: Tables) -> DataFrame:
+    """The motif matrix of all variants written as text, a line per factor, and read back as cells."""
+    factors = F.array(*[F.lit(f"TF{i}") for i in range(FACTORS)])
+    variants = t.matrix_cells.select("variant").distinct()
+    every = variants.select("variant", F.explode(factors).alias("TF")).join(t.matrix_cells, ["TF", "variant"], "left")
+    line = F.array_sort(F.collect_list(F.struct("variant", F.coalesce("score", F.lit("")).alias("score"))))["score"]
+    lines = every.groupBy("TF").agg(line.alias("scores")).select(F.concat_ws("\t", "TF", "scores").alias("value"))
+    header = variants.agg(F.array_sort(F.collect_list("variant")).alias("names")).select(F.concat_ws("\t", F.lit(""), "names").alias("value"))
+    return motif_matrix_cells(settle(header), lines)
+
+
+def _matrix_effects(t: Tables) -> DataFrame:
+    return tf_binding.motif_matrix_effects(_matrix_cells(t), tf_binding.variant_key_map(t.vlist))
+
+
 def scan_variant_info(t: Tables) -> DataFrame:
     return t.vi
 
@@ -240,6 +256,14 @@ def motif_matrix_unpivot(t: Tables) -> DataFrame:
     return tf_binding.motif_matrix_long(t.motif_matrix)
 
 
+def motif_matrix_filter(t: Tables) -> DataFrame:
+    return _matrix_effects(t)
+
+
+def double_evidence_from_matrix(t: Tables) -> DataFrame:
+    return tf_binding.double_evidence_tfs(_peak_hits(t), _matrix_effects(t))
+
+
 def double_evidence_tfs(t: Tables) -> DataFrame:
     return tf_binding.double_evidence_tfs(_peak_hits(t), _motif_effects(t))
 
@@ -318,7 +342,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         hit_regions_no_genes, region_hits, region_hits_named_traits, nearest_gene,
         gtf_gene_name, manhattan_points, manhattan_thinned, eqtl_lookup, to_genomic_table, variant_allele_join,
         causal_gene_candidates, causal_gene_union, causal_gene_collapsed, causal_gene_rank, variant_key_map, variant_loci, vcf_projection,
-        peak_overlap, peak_biotype_filter, peak_empty_biotypes, motif_effect_filter, motif_matrix_unpivot, double_evidence_tfs,
+        peak_overlap, peak_biotype_filter, peak_empty_biotypes, motif_effect_filter, motif_matrix_unpivot, motif_matrix_filter,
+        double_evidence_tfs, double_evidence_from_matrix,
         sample_overlap, shared_samples, variant_qc, variant_qc_filter, variant_qc_plain_p, variant_qc_two_sided, gwas_linear_regression,
         gwas_covariate_regression, gwas_with_quality_control, genomic_inflation, locus_quality, unmatched_hits, unparsed_markers,
     )

@@ -73,6 +73,8 @@ SELECT tf AS TF,
        max(CASE WHEN model_id = 'M5' THEN score END) AS M5, max(CASE WHEN model_id = 'M6' THEN score END) AS M6,
        max(CASE WHEN model_id = 'M7' THEN score END) AS M7
 FROM effects GROUP BY tf""",
+    "matrix_cells": """
+SELECT tf AS TF, variant, min(score) AS score FROM effects GROUP BY tf, variant""",
     "eqtl_a": """
 SELECT v.ID AS rsid, v.chromosome, v.position, v.OA, v.EA, 'GA' || CAST(l_suppkey % 5 AS STRING) AS gene,
        l_returnflag AS cell_type, min(l_extendedprice) / 1e7 AS pval, max(l_discount) AS slope

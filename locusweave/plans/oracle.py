@@ -119,6 +119,14 @@ def _motif(threshold: float) -> str:
   WHERE abs(CAST(replace(e.score, '*', '') AS DOUBLE)) >= {threshold}e0)"""
 
 
+MATRIX_MOTIF = f"""matrix_motif AS (
+  SELECT v.ID, {CHROM_NUMBER.format(c='v.Chrom')} AS Chrom, v.Pos, v.OA, v.EA,
+         v.Chrom || ':' || CAST(v.Pos AS VARCHAR) || v.OA || '>' || v.EA AS "Chrom:PosOA>EA", c.TF,
+         CAST(replace(c.score, '*', '') AS DOUBLE) AS score
+  FROM matrix_cells c JOIN vlist v
+    ON split_part(c.variant, '.', 1) = v.Chrom || ':' || CAST(v.Pos AS VARCHAR) || v.OA || '>' || v.EA
+  WHERE abs(CAST(replace(c.score, '*', '') AS DOUBLE)) >= 0.2e0)"""
+
 VARIANTS = "variants AS (SELECT ID, chromosome, position, OA, EA, EAF, beta, phenotype FROM hits)"
 MATCHED = """matched AS (
   SELECT v.*, a.gene AS gene_a, a.pval AS pval_a, a.cell_type AS celltype_a
@@ -324,6 +332,11 @@ SELECT c AS "#CHROM", Pos AS "POS", ID, OA AS "REF", EA AS "ALT", 100 AS "QUAL",
         "motif_effect_filter": _query(("effects", "vlist"), (_motif(0.3),), "SELECT * FROM motif"),
         "motif_matrix_unpivot": _query(("motif_matrix",), (), "\nUNION ALL ".join(
             f"SELECT 'M{i}' AS variant, TF, M{i} AS score FROM motif_matrix" for i in range(1, 8))),
+        "motif_matrix_filter": _query(("matrix_cells", "vlist"), (MATRIX_MOTIF,), "SELECT * FROM matrix_motif"),
+        "double_evidence_from_matrix": _query(("matrix_cells", "vlist", "loci", "peaks"), (PEAK_HITS, MATRIX_MOTIF), """
+SELECT DISTINCT m.ID, m.Chrom AS Chr, m.Pos, m.OA, m.EA, m.TF AS transcription_factor, m.score,
+       CASE WHEN m.score > 0 THEN 'gain' ELSE 'loss' END AS effect
+FROM matrix_motif m JOIN peak_hits p ON p.chr = m.Chrom AND p.pos = m.Pos AND p.transcription_factor = m.TF"""),
         "double_evidence_tfs": _query(("effects", "vlist", "loci", "peaks"), (PEAK_HITS, _motif(0.2)), """
 SELECT ID, Chr, Pos, OA, EA, transcription_factor, score, CASE WHEN score > 0 THEN 'gain' ELSE 'loss' END AS effect
 FROM (SELECT DISTINCT m.ID, m.Chrom AS Chr, m.Pos, m.OA, m.EA, m.TF AS transcription_factor, m.prediction, m.score

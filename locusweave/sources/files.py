@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +13,7 @@ from locusweave import schemas
 from locusweave.functions.loci import chrom_number
 from locusweave.functions.traits import decode_traits
 from locusweave.operators.hits import OTHER_ALIAS
+from locusweave.session import fits_broadcast
 
 
 def _name_parts(file_name: Column, skip: int, drop: int) -> Column:
@@ -100,9 +104,33 @@ def result_phenotypes(spark: SparkSession, directory: str) -> list[str]:
     return [r.phenotype for r in listed.distinct().orderBy("phenotype").collect()]
 
 
+def _tables_by_header(spark: SparkSession, directory: str, glob: str, what: str, wanted: list[str]) -> DataFrame:
+    """Text columns ``wanted`` and ``_metadata`` of all tables of a directory, whatever the order of their columns.
+
+    Only the first line of each file is looked at here. Files with the same header
+    are one read, so the plan has a branch per distinct header.
+    """
+    files = [unquote(f) for f in spark.read.option("pathGlobFilter", glob).text(directory).inputFiles()]
+    if not files:
+        raise ValueError(f"{directory} holds no {what}")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(files):
+        names = tuple(header_columns(spark, file))
+        absent = [c for c in wanted if c not in names]
+        if absent:
+            raise ValueError(f"{what} {file} lacks column(s) {', '.join(absent)}")
+        by_header.setdefault(names, []).append(file)
+    tables = []
+    for names, paths in by_header.items():
+        rows = _csv(spark, T.StructType([T.StructField(n, T.StringType()) for n in names]), True, enforceSchema="true").csv(paths)
+        tables.append(rows.select(*[F.col(f"`{c}`") for c in wanted], _file_name().alias("file_name")))
+    return reduce(DataFrame.unionByName, tables)
+
+
 def read_sumstats(spark: SparkSession, directory: str) -> DataFrame:
-    """All 12-column hit tables (``.txt``, ``.tsv``) of a directory; header-only files add no rows."""
-    return _csv(spark, schemas.SUMSTATS, True, glob="*.{txt,tsv}").csv(directory)
+    """All 12-column hit tables (``.txt``, ``.tsv``) of a directory, columns by name; header-only files add no rows."""
+    rows = _tables_by_header(spark, directory, "*.{txt,tsv}", "hit table", schemas.SUMSTATS_COLUMNS)
+    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.SUMSTATS.fields])
 
 
 def read_regions(spark: SparkSession, path: str) -> DataFrame:
@@ -143,23 +171,18 @@ def read_variant_list(spark: SparkSession, path: str) -> DataFrame:
 def read_eqtl_directory(spark: SparkSession, directory: str, columns: dict[str, str] | None = None) -> DataFrame:
     """All eQTL tables of a directory as ``rsid, chromosome, position_hg38, gene, pval, slope, cell_type``.
 
-    ``columns`` maps source names to these; the files must share one header.
+    ``columns`` maps source names to these. Columns are found by name in each file,
+    so files may have them in any order and among others.
     """
     columns = columns or {
         "Variant_ID": "rsid", "Variant_CHR": "chromosome", "Variant_position_start": "position_hg38",
         "Gene_name": "gene", "Forward_nominal_P": "pval", "Forward_slope": "slope",
     }
     kinds = {"position_hg38": T.LongType(), "pval": T.DoubleType(), "slope": T.DoubleType()}
-    files = spark.read.option("pathGlobFilter", "*.txt")
-    names = files.text(directory).first()[0].split("\t")
-    absent = [c for c in columns if c not in names]
-    if absent:
-        raise ValueError(f"eQTL tables lack column(s) {', '.join(absent)}")
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = _csv(spark, text, True, glob="*.txt", enforceSchema="false").csv(directory)
+    rows = _tables_by_header(spark, directory, "*.txt", "eQTL table", list(columns))
     return rows.select(
         *[F.col(f"`{old}`").try_cast(kinds.get(new, T.StringType())).alias(new) for old, new in columns.items()],
-        cell_type_from_filename(_file_name()).alias("cell_type"))
+        cell_type_from_filename(F.col("file_name")).alias("cell_type"))
 
 
 def read_motif_effects(spark: SparkSession, path: str) -> DataFrame:
@@ -178,11 +201,31 @@ def read_motif_effects(spark: SparkSession, path: str) -> DataFrame:
     ])
 
 
+def motif_matrix_cells(header: DataFrame, lines: DataFrame) -> DataFrame:
+    """``variant, TF, score`` of a matrix given as text: one header line and one line per factor, in column ``value``.
+
+    Cells are taken apart by place and get their variant from the header by a join on
+    the place, so the plan is the same for any number of variants. An empty cell is
+    null; a line of another width than the header fails the read.
+    """
+    places = header.select(F.posexplode(F.split("value", "\t")).alias("place", "variant")).filter("place > 0")
+    places = F.broadcast(places) if fits_broadcast(places) else places
+    fields = F.split("value", "\t")
+    width = places.count() + 1
+    checked = F.when(F.size(fields) == width, fields).otherwise(
+        F.raise_error(F.concat(F.lit(f"motif matrix should have {width} columns, found "), F.size(fields))))
+    cells = lines.select(checked.alias("fields")).select(F.col("fields")[0].alias("TF"), F.posexplode("fields").alias("place", "score"))
+    return cells.join(places, "place").select("variant", "TF", F.nullif("score", F.lit("")).alias("score"))
+
+
 def read_motif_matrix(spark: SparkSession, path: str) -> DataFrame:
-    """Motif matrix as text columns; the first column, unnamed in the file, becomes ``TF``."""
-    names = header_columns(spark, path)
-    text = T.StructType([T.StructField(n if i else "TF", T.StringType()) for i, n in enumerate(names)])
-    return _csv(spark, text, True, enforceSchema="true").csv(path)
+    """Cells ``variant, TF, score`` of a motif matrix with a column per variant; its first column is unnamed."""
+    text = spark.read.text(path)
+    header = text.limit(1)
+    first = header.select(F.xxhash64("value").alias("mark")).first()
+    if first is None:
+        raise ValueError(f"{path} is empty")
+    return motif_matrix_cells(header, text.filter(F.xxhash64("value") != first.mark).filter("value != ''"))
 
 
 def read_peak_hits(spark: SparkSession, directory: str) -> DataFrame:

@@ -86,11 +86,54 @@ def test_motif_table_has_fourteen_columns_or_fails(spark, tmp_path):
 
 
 def test_motif_matrix_with_unnamed_first_column(spark, tmp_path):
-    path = _write(tmp_path / "w.tsv", "\tchr1:5G>T.1\tchr2:7A>AT.2\nTFA\t0.0000*\t-0.3\nTFB\t0.4\t0.1\n")
-    matrix = files.read_motif_matrix(spark, path)
-    assert matrix.columns == ["TF", "chr1:5G>T.1", "chr2:7A>AT.2"]
-    assert rows(tf_binding.motif_matrix_long(matrix), "TF", "score") == [
-        ("TFA", "-0.3"), ("TFA", "0.0000*"), ("TFB", "0.1"), ("TFB", "0.4")]
+    path = _write(tmp_path / "w.tsv", "\tchr1:5G>T.1\tchr2:7A>AT.2\nTFA\t0.0000*\t-0.3\nTFB\t\t0.1\n")
+    assert rows(files.read_motif_matrix(spark, path), "TF", "variant", "score") == [
+        ("TFA", "chr1:5G>T.1", "0.0000*"), ("TFA", "chr2:7A>AT.2", "-0.3"), ("TFB", "chr1:5G>T.1", None), ("TFB", "chr2:7A>AT.2", "0.1")]
+    with pytest.raises(Exception, match="3 columns, found 2"):
+        files.read_motif_matrix(spark, _write(tmp_path / "bad.tsv", "\ta\tb\nTFA\t1\n")).collect()
+    with pytest.raises(ValueError, match="empty"):
+        files.read_motif_matrix(spark, _write(tmp_path / "none.tsv", ""))
+
+
+def test_motif_matrix_of_many_variants_has_a_small_plan(spark, tmp_path):
+    variants = [f"chr{1 + i % 22}:{i}G>T.{i % 3 + 1}" for i in range(20_000)]
+    lines = ["\t".join(["", *variants])]
+    lines += ["\t".join([f"TF{f}", *(f"{((i * 7 + f) % 19 - 9) / 10}" for i in range(len(variants)))]) for f in range(6)]
+    cells = files.read_motif_matrix(spark, _write(tmp_path / "wide.tsv", "\n".join(lines) + "\n"))
+    key_map = tf_binding.variant_key_map(spark.createDataFrame(
+        [(f"v{i}", f"chr{1 + i % 22}", i, "G", "T") for i in range(0, 20_000, 2)], "ID string, Chrom string, Pos bigint, OA string, EA string"))
+    effects = tf_binding.motif_matrix_effects(cells, key_map, 0.5)
+    assert effects.count() == sum(abs((i * 7 + f) % 19 - 9) >= 5 for i in range(0, 20_000, 2) for f in range(6))
+    assert cells.count() == 120_000
+    assert len(effects._jdf.queryExecution().optimizedPlan().toString()) < 5_000
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2, 3, 4, 5], [5, 3, 1, 0, 2, 4]])
+def test_tables_with_columns_in_another_order_give_equal_rows(spark, tmp_path, order):
+    names = ["Variant_ID", "Variant_CHR", "Variant_position_start", "Gene_name", "Forward_nominal_P", "Forward_slope"]
+    row = ["rs1", "chr2", "77", "G1", "1e-9", "-0.5"]
+    first = "\t".join(names) + "\n" + "\t".join(row) + "\n"
+    picked = ["Extra", *[names[i] for i in order]], ["x", *[row[i] for i in order]]
+    _write(tmp_path / "e" / "CD8, memory_a_b_c.txt", first)
+    _write(tmp_path / "e" / "NK_a_b_c.txt", "".join("\t".join(p) + "\n" for p in picked))
+    _write(tmp_path / "e" / "B_a_b_c.txt", "\t".join(names) + "\n")
+    want = ("rs1", "chr2", 77, "G1", 1e-9, -0.5)
+    assert rows(files.read_eqtl_directory(spark, str(tmp_path / "e"))) == [(*want, "CD8, memory"), (*want, "NK")]
+
+
+def test_hit_tables_are_read_by_column_name(spark, tmp_path):
+    columns = schemas.SUMSTATS_COLUMNS
+    values = dict(zip(columns, ["rs1", "0.5", "40", "1e-9", "chr1:5", "1", "5", "A", "G", "0.1", "0.9", "t"]))
+    for name, order in (("a.tsv", columns), ("b.txt", columns[::-1])):
+        _write(tmp_path / "h" / name, "\t".join(order) + "\n" + "\t".join(values[c] for c in order) + "\n")
+    got = rows(files.read_sumstats(spark, str(tmp_path / "h")))
+    assert got == [("rs1", 0.5, 40.0, 1e-9, "chr1:5", 1, 5, "A", "G", 0.1, 0.9, "t")] * 2
+    _write(tmp_path / "h" / "c.txt", "\t".join(columns[:-1]) + "\n")
+    with pytest.raises(ValueError, match="c.txt lacks column.*phenotype"):
+        files.read_sumstats(spark, str(tmp_path / "h"))
+    with pytest.raises(ValueError, match="holds no"):
+        (tmp_path / "none").mkdir()
+        files.read_sumstats(spark, str(tmp_path / "none"))
 
 
 def test_peak_hits_take_their_position_from_the_name(spark, tmp_path):
