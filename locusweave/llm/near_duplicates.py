@@ -19,6 +19,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ TABLES, KEPT = 32, 5  # a pair at the threshold is missed with probability (1 -
 # Few shingles agree in five of their smallest less often than that, so texts of up to SHORT also get
 # tables of two; the lengths of a pair differ by a fifth, hence one of 64 or fewer has them on both sides.
 SHORT, SHORT_KEPT = 80, 2
+CELLS = 1 << 20  # a shingle's frequency among candidates is known by its cell
 
 _WORD = re.compile(r"[^\W_]+")
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -161,11 +163,13 @@ def _sketches(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, "bucket long, unit binary, n int")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """``leader, unit, linked, shared, rest`` of each pair.
+def _compared(pairs: DataFrame, texts: DataFrame, least: float, commonness: Broadcast) -> DataFrame:
+    """``leader, unit, linked, shared, lacking, rest`` of each pair.
 
-    ``rest`` are shingles the leader lacks, as many of the smallest as another
-    similar text that shares too few with the leader must meet one of.
+    ``rest`` are shingles the leader lacks and another candidate may have, as many of
+    the rarest as another similar text that shares too few with the leader must meet
+    one of. The order is the same for all texts, which is all that this needs.
+    ``lacking`` is the number of shingles before the cut.
     """
     sides = pairs.join(texts.select("unit", "text"), "unit").join(
         texts.select(F.col("unit").alias("leader"), F.col("text").alias("leader_text")), "leader")
@@ -179,36 +183,45 @@ def _compared(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                     last, lead = leader, shingles(leader_text)
                 own = shingles(text)
                 linked, shared = compare(lead, own, least)
-                rest = np.sort(np.setdiff1d(own, lead, assume_unique=True))
+                rest = np.setdiff1d(own, lead, assume_unique=True)
+                common = commonness.value[(rest % np.uint64(CELLS)).astype(np.int64)]
+                rest, common = rest[common > 0], common[common > 0]
+                lacking = len(rest)
                 need = max(0, int(np.ceil(least * len(own) - 1e-9)) - shared)
-                rest = rest[:len(rest) - need + 1] if need else rest
-                rows.append((leader, unit, linked, shared, rest.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["leader", "unit", "linked", "shared", "rest"])
+                if need:
+                    rest = rest[np.lexsort((rest, common))][:max(0, len(rest) - need + 1)]
+                rows.append((leader, unit, linked, shared, lacking, rest.view(np.int64)))
+            yield pd.DataFrame(rows, columns=["leader", "unit", "linked", "shared", "lacking", "rest"])
 
     return sides.select("leader", "unit", "text", "leader_text").mapInPandas(
-        run, "leader binary, unit binary, linked boolean, shared int, rest array<long>")
+        run, "leader binary, unit binary, linked boolean, shared int, lacking int, rest array<long>")
 
 
 def _shared_buckets(members: DataFrame) -> DataFrame:
     """``bucket, unit, n, able, root, linked, size, open``: members of buckets in which texts of different classes still meet.
 
     Members of the class that most of a bucket belong to count as linked, and
-    ``open`` is the number of others. Of buckets with the same members, told by
+    ``open`` is the number of others. A bucket without ``far`` members is left out, as
+    its members meet elsewhere. Of buckets with the same members, told by
     two 64-bit sums of their hashes, one stays.
     """
     marks = [F.xxhash64("unit").alias("mark_a"), F.xxhash64("unit", F.lit(1)).alias("mark_b")]
-    classes = members.select("bucket", "root", *marks).groupBy("bucket", "root").agg(
-        F.count(F.lit(1)).alias("rows"), F.bit_xor("mark_a").alias("mark_a"), F.bit_xor("mark_b").alias("mark_b"))
+    classes = members.select("bucket", "root", "far", *marks).groupBy("bucket", "root").agg(
+        F.count(F.lit(1)).alias("rows"), F.bool_or("far").alias("far"), F.bit_xor("mark_a").alias("mark_a"), F.bit_xor("mark_b").alias("mark_b"))
     several = classes.groupBy("bucket").agg(
         F.sum("rows").alias("size"), F.max(F.struct("rows", "root")).alias("top"),
-        F.bit_xor("mark_a").alias("mark_a"), F.bit_xor("mark_b").alias("mark_b")).where(F.col("size") > F.col("top.rows"))
+        F.bit_xor("mark_a").alias("mark_a"), F.bit_xor("mark_b").alias("mark_b"), F.bool_or("far").alias("far")).where(
+        F.col("far") & (F.col("size") > F.col("top.rows")))
     several = several.groupBy("size", "mark_a", "mark_b").agg(F.min("bucket").alias("bucket"), F.max("top").alias("top")).drop("mark_a", "mark_b")
     return members.join(several, "bucket").select(
-        "bucket", "unit", "n", "able", "root", (F.col("root") == F.col("top.root")).alias("linked"), "size", (F.col("size") - F.col("top.rows")).alias("open"))
+        "bucket", "unit", "n", "able", "common", "lacking", "root", (F.col("root") == F.col("top.root")).alias("linked"), "size", (F.col("size") - F.col("top.rows")).alias("open"))
 
 
-def _own_shingles(texts: DataFrame) -> DataFrame:
-    """``unit, own``: how many of a text's shingles no other of ``texts`` has; texts without any are left out."""
+def _shingle_counts(texts: DataFrame) -> DataFrame:
+    """``unit, cell, shingles``: per text how many of its shingles no other of ``texts`` has, and per cell the occurrences of those that several have.
+
+    Texts without such shingles are left out; ``cell`` is null for texts, ``unit`` for cells.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -221,7 +234,18 @@ def _own_shingles(texts: DataFrame) -> DataFrame:
 
     held = texts.mapInPandas(run, "shingle long, unit binary").groupBy("shingle").agg(
         F.count(F.lit(1)).alias("texts"), F.min("unit").alias("unit"))
-    return held.where(F.col("texts") == 1).groupBy("unit").agg(F.count(F.lit(1)).alias("own"))
+    alone = F.col("texts") == 1
+    # CELLS is a power of two, so the cell of the unsigned number is that of the signed one.
+    return held.groupBy(F.when(alone, F.col("unit")).alias("unit"), F.when(~alone, F.pmod("shingle", F.lit(CELLS))).alias("cell")).agg(
+        F.sum("texts").alias("shingles"))
+
+
+def _commonness(counts: DataFrame) -> np.ndarray:
+    """Per cell the logarithm of its occurrences, 0 if no shingle of the cell is in two texts; ``CELLS`` bytes whatever the input."""
+    cells = counts.where("cell IS NOT NULL").select("cell", F.least(F.ceil(8 * F.log2("shingles")), F.lit(255)).cast("short").alias("rank")).toArrow()
+    out = np.zeros(CELLS, dtype=np.uint8)
+    out[cells["cell"].to_numpy()] = cells["rank"].to_numpy()
+    return out
 
 
 def links_between(texts: DataFrame, members: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -237,8 +261,11 @@ def links_between(texts: DataFrame, members: DataFrame, least: float = SIMILARIT
     rounds end.
     """
     factor = least / (1 + least)
-    own = _own_shingles(texts)
-    members = members.join(own, "unit", "left").select("bucket", "unit", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("able"), F.col("unit").alias("root"))
+    counts = stored(_shingle_counts(texts))
+    commonness = texts.sparkSession.sparkContext.broadcast(_commonness(counts))
+    own = counts.where("unit IS NOT NULL").select("unit", F.col("shingles").alias("own"))
+    members = members.join(own, "unit", "left").select("bucket", "unit", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("able"), F.col("unit").alias("root"), F.lit(True).alias("far")).withColumns(
+        {"common": F.col("able"), "lacking": F.col("able")})
     members = stored(_shared_buckets(members.where(F.col("able") >= F.col("n") * least - 1e-6)))
     found: list[DataFrame] = []
     roots: DataFrame | None = None
@@ -247,28 +274,39 @@ def links_between(texts: DataFrame, members: DataFrame, least: float = SIMILARIT
         popular = members.groupBy("unit").agg(F.sum("size").alias("popular"))
         ranking = Window.partitionBy("bucket").orderBy(F.desc("popular"), "unit")
         shortest = members.groupBy("bucket").agg(F.min("n").alias("shortest"))
-        leaders = stored(members.where(~F.col("linked") | (F.col("size") == F.col("open") + 1)).select("bucket", "unit", "n", "able", "root").join(
+        leaders = stored(members.where(~F.col("linked") | (F.col("size") == F.col("open") + 1)).select("bucket", "unit", "n", "able", "common", "lacking", "root").join(
             popular, "unit").withColumn("place", F.row_number().over(ranking)).where(F.col("place") <= most).select(
-            "bucket", F.col("unit").alias("leader"), F.col("n").alias("leader_n"), F.col("able").alias("leader_able"), F.col("root").alias("leader_root"), "place").join(shortest, "bucket"))
-        enough = F.least("able", "leader_able") >= factor * (F.col("n") + F.col("leader_n")) - 1e-6
+            "bucket", F.col("unit").alias("leader"), F.col("n").alias("leader_n"), F.col("able").alias("leader_able"), F.col("common").alias("leader_common"), F.col("lacking").alias("leader_lacking"), F.col("root").alias("leader_root"), "place").join(shortest, "bucket"))
+        # What two members have in common is in common with the bucket's own leader, or is lacking there.
+        most_shared = F.least("able", "leader_able", F.least("common", "leader_common") + F.least("lacking", "leader_lacking"))
+        enough = most_shared >= factor * (F.col("n") + F.col("leader_n")) - 1e-6
         led = stored(members.join(leaders, "bucket").where(F.col("unit") != F.col("leader")).withColumn(
             "tried", enough & (F.col("root") != F.col("leader_root"))).where(F.col("tried") | (F.col("place") == 1)))
         routed = led.where((F.col("place") == 1) & (F.col("open") > most)).select("bucket", "leader", "unit", "n", "able", "shortest")
         pairs = led.where("tried").select("leader", "unit").unionByName(routed.select("leader", "unit")).distinct()
-        result = stored(_compared(pairs, texts, least))
+        result = stored(_compared(pairs, texts, least, commonness))
         found.append(result.where("linked").select(F.col("leader").alias("a"), F.col("unit").alias("b")))
         roots = components(reduce(DataFrame.unionByName, found))
         left = routed.join(leaders.where(F.col("place") > 1).select("bucket", F.col("leader").alias("unit")), ["bucket", "unit"], "left_anti")
         # Buckets that this round's links have made one class hold nothing more to tell apart.
         left = left.join(roots, "unit", "left").withColumn("root", F.coalesce("root", "unit"))
         mixed = left.groupBy("bucket").agg(F.min("root").alias("lowest"), F.max("root").alias("highest")).where(F.col("lowest") < F.col("highest"))
-        left = stored(left.drop("root").join(mixed.select("bucket"), "bucket"))
+        left = left.drop("root").join(mixed.select("bucket"), "bucket")
+        # A pair meets in many tables; from here on it is one row.
+        left = stored(left.groupBy("leader", "unit", "n", "able").agg(F.min("shortest").alias("shortest")))
         bound = factor * (F.col("n") + F.greatest(F.col("n") * least, F.col("shortest")))
-        inside = left.join(result.select("leader", "unit", "shared"), ["leader", "unit"]).where(F.col("shared") >= bound - 1e-6).select(
-            F.xxhash64("bucket", "leader").alias("bucket"), "unit", "n", "able")
-        outside = left.select("leader", "unit", "n", "able").distinct().join(result.select("leader", "unit", F.explode("rest").alias("shingle")), ["leader", "unit"]).select(
-            F.xxhash64("leader", "shingle").alias("bucket"), "unit", "n", "able")
-        after = inside.unionByName(outside).distinct().join(roots, "unit", "left").withColumn("root", F.coalesce("root", "unit"))
+        met = left.join(result.select("leader", "unit", "shared", "lacking", "rest"), ["leader", "unit"]).withColumn("stays", F.col("shared") >= bound - 1e-6)
+        bucket = lambda key, far: F.struct(key.alias("bucket"), far.alias("far"))
+        inside = F.when(F.col("stays"), F.array(bucket(F.xxhash64("leader"), F.lit(True))))
+        outside = F.transform("rest", lambda shingle: bucket(F.xxhash64("leader", shingle), ~F.col("stays")))
+        after = met.select("unit", "n", "able", F.col("shared").alias("common"), "lacking", F.xxhash64("leader").alias("owner"),
+                           F.inline(F.concat(F.coalesce(inside, F.array_except(outside, outside)), outside)))
+        # Shingles of one passage have nearly the same texts: a leader's buckets with the same smallest member become one.
+        marks = after.groupBy("bucket").agg(F.min(F.xxhash64("unit", F.lit(2))).alias("mark"), F.count(F.lit(1)).alias("texts"), F.bool_or("far").alias("any_far"))
+        merged = F.when(F.col("bucket") == F.col("owner"), F.col("bucket")).otherwise(F.xxhash64("owner", "mark")).alias("bucket")
+        after = after.join(marks.where((F.col("texts") > 1) & F.col("any_far")), "bucket").select(
+            "unit", "n", "able", "common", "lacking", "far", merged).distinct()
+        after = after.join(roots, "unit", "left").withColumn("root", F.coalesce("root", "unit"))
         members = stored(_shared_buckets(after))
         most *= 8
     return roots if roots is not None else texts.select("unit", F.col("unit").alias("root")).limit(0)
