@@ -57,47 +57,47 @@ def _with_frequency(counts: DataFrame) -> DataFrame:
 
 
 def with_hwe(counts: DataFrame, mid_p: bool = True) -> DataFrame:
-    """Add ``p_hwe``, the exact Hardy-Weinberg test on genotype counts keyed by ``ID``.
+    """Add ``p_hwe``, the exact Hardy-Weinberg test on genotype counts.
 
-    The possible heterozygote counts of a variant are exploded and summed under
-    the same ``ID``, which needs no exchange as the counts are already
-    partitioned by it. ``mid_p`` takes off half the observed probability.
+    The possible heterozygote counts of a variant are folded over in its own row, each
+    probability following from the one before, so no row is added whatever the number
+    of samples. ``mid_p`` takes off half the observed probability.
 
     Only heterozygote counts whose probability can be more than zero in a double are
-    exploded. The count is a function of the partners of the minor alleles, each of
+    visited. The count is a function of the partners of the minor alleles, each of
     which moves it by two at most, so by the inequality of Azuma and Hoeffding one at
     a distance t from the mean has probability 2 exp(-t^2 / (8 minor)) or less, and
     below exp(-746) a double is zero. The terms left out would add nothing.
     """
     keys = counts.columns
     ref, het, var = F.col("n_hom_ref"), F.col("n_het"), F.col("n_hom_var")
-    minor = F.least(2 * ref + het, 2 * var + het)
-    n = ref + het + var
+    sized = counts.withColumn("_minor", F.least(2 * ref + het, 2 * var + het)).withColumn("_all", ref + het + var)
+    minor, n = F.col("_minor"), F.col("_all")
 
     def log_weight(h: Column) -> Column:
         rare = (minor - h) / 2
         return h * float(np.log(2.0)) - ln_factorial(rare) - ln_factorial(h) - ln_factorial(n - h - rare)
 
-    def log_total() -> Column:
-        return ln_factorial(n) + ln_factorial(minor) + ln_factorial(2 * n - minor) - ln_factorial(2 * n)
+    def following(total: Column, h: Column) -> Column:
+        """``log`` is the count's log-probability over the observed one's, ``sum`` adds up what is no likelier."""
+        rare = (minor - h) / 2
+        step = F.log(4 * rare * (n - h - rare) / ((h + 1) * (h + 2)))
+        added = F.when(total["log"] <= 1e-8, F.exp(total["log"])).otherwise(0.0)
+        return F.struct((total["log"] + step).alias("log"), (total["sum"] + added).alias("sum"))
 
     mean = minor * (2 * n - minor) / F.greatest(2 * n - 1, F.lit(1))
     reach = F.ceil(F.sqrt(8.0 * 747.0 * minor)) + 2
     parity = minor % 2
-    lowest = F.greatest(F.lit(0).cast("bigint"), F.floor((mean - reach) / 2)) * 2 + parity
-    highest = F.least(minor, F.greatest(F.floor((mean + reach) / 2) * 2 + parity, parity))
-
-    expanded = (
-        counts.withColumn("_observed", log_weight(het)).withColumn("_scale", log_total())
-        .withColumn("_het", F.explode(F.sequence(lowest, highest, F.lit(2).cast("bigint"))))
-        .withColumn("_weight", log_weight(F.col("_het")))
-    )
-    rarer = F.col("_weight") <= F.col("_observed") + 1e-8
-    summed = expanded.groupBy(*keys, "_observed", "_scale").agg(
-        F.sum(F.when(rarer, F.exp(F.col("_weight") + F.col("_scale"))).otherwise(0.0)).alias("_p"))
+    placed = sized.withColumns({
+        "_lowest": F.greatest(F.lit(0).cast("bigint"), F.floor((mean - reach) / 2)) * 2 + parity,
+        "_highest": F.least(minor, F.greatest(F.floor((mean + reach) / 2) * 2 + parity, parity)),
+        "_observed": log_weight(het),
+        "_scale": ln_factorial(n) + ln_factorial(minor) + ln_factorial(2 * n - minor) - ln_factorial(2 * n)})
+    start = F.struct((log_weight(F.col("_lowest")) - F.col("_observed")).alias("log"), F.lit(0.0).alias("sum"))
+    rarer = F.aggregate(
+        F.sequence("_lowest", "_highest", F.lit(2).cast("bigint")), start, following, lambda total: total["sum"])
     observed = F.exp(F.col("_observed") + F.col("_scale"))
-    p = F.least(F.lit(1.0), F.col("_p") - (observed / 2 if mid_p else 0.0))
-    return summed.select(*keys, p.alias("p_hwe"))
+    return placed.select(*keys, F.least(F.lit(1.0), observed * (rarer - (0.5 if mid_p else 0.0))).alias("p_hwe"))
 
 
 def variant_qc(genotypes: DataFrame, mid_p: bool = True) -> DataFrame:

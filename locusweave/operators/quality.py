@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locusweave.functions.loci import LAST_CHROMOSOME
+
 LOCUS_PATTERN = "^(chr)?([0-9]+|X|Y|M|MT):[0-9]+$"
 
 
@@ -28,8 +30,9 @@ def unmatched_hits(hits: DataFrame, variant_info: DataFrame) -> DataFrame:
 
 
 def unparsed_markers(annotated: DataFrame) -> DataFrame:
-    """Rows per phenotype that have a marker but no locus from it."""
-    broken = F.col("Marker").isNotNull() & (F.col("chromosome").isNull() | F.col("position").isNull())
+    """Rows per phenotype that have a marker but no locus from it, or one on a chromosome that does not exist."""
+    placed = F.col("chromosome").between(1, LAST_CHROMOSOME) & F.col("position").isNotNull()
+    broken = F.col("Marker").isNotNull() & ~F.coalesce(placed, F.lit(False))
     return annotated.groupBy("phenotype").agg(F.count_if(broken).alias("num_unparsed")).filter("num_unparsed > 0")
 
 

@@ -30,6 +30,14 @@ def test_sample_overlap_counts_each_id_once(spark):
         quality.require_shared(a, b.filter("sample_id = 3"))
 
 
+def test_chromosomes_that_do_not_exist_are_reported(spark):
+    from locusweave.functions.loci import parse_marker
+
+    markers = [("a", "chr0:4"), ("a", "chr26:4"), ("a", "chrM:4"), ("a", "chrX:4"), ("b", "chr7-4"), ("b", None), ("c", "25:9")]
+    table = parse_marker(spark.createDataFrame(markers, "phenotype string, Marker string"))
+    assert rows(quality.unparsed_markers(table)) == [("a", 2), ("b", 1)]
+
+
 def test_column_checks_raise_before_any_job(spark):
     df = spark.range(1)
     with pytest.raises(ValueError, match="missing_one"):
