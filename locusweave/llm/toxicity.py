@@ -200,17 +200,26 @@ def choose_entries(counts: dict[str, tuple[float, float]], toxic: float, clean:
     return weights
 
 
+def training_texts(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+    """``text, label, copies``: at most ``rows`` labelled texts outside the held-out third, one per id.
+
+    Rows with equal id and text are one and count as often as they occur; of several
+    texts under one id, that with the smallest hash is taken.
+    """
+    known = F.broadcast(training_labels(labels, "toxic", rows))  # bounded by ``rows``
+    each = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id").groupBy("doc_id", "text", "label").agg(
+        F.count(F.lit(1)).alias("copies"))
+    one = each.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "copies")).alias("one"))
+    return one.select("one.text", "label", "one.copies")
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, exceptions: Sequence[str] = EXCEPTIONS) -> Lexicon:
-    """Learns weights and curve from at most ``rows`` labelled documents outside the held-out third.
+    """Learns weights and curve from the ``training_texts``; texts with equal inputs reach the driver as one.
 
-    Rows with equal id and text are read once and count as often as they occur;
-    rows of equal inputs reach the driver as one.
     Without documents of both classes the lexicon is empty, and every score is
     the share of toxic rows, a half for none.
     """
-    known = F.broadcast(training_labels(labels, "toxic", rows))  # bounded by ``rows``
-    sample = stored(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id").groupBy("doc_id", "text", "label").agg(
-        F.count(F.lit(1)).alias("copies")).select("text", "label", "copies"))
+    sample = stored(training_texts(docs, labels, rows))
 
     bare = Lexicon({}, exceptions)
 

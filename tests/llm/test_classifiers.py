@@ -128,3 +128,13 @@ def test_held_out_accuracy(spark):
     assert right > 0.97 and good > 0.97
     right, harmless = accuracy(spark, queries.op7_toxicity, "toxic", 0)
     assert right > 0.93 and harmless > 0.97
+
+
+def test_many_texts_under_one_labelled_id_stay_within_the_bound(spark, docs, labels):
+    pairs = [(0, f"text number {i} you idiot") for i in range(500)] + [(i, f"clean words {i}") for i in range(1, 40)] + [(0, "text number 7 you idiot")]
+    known = labels([(i, 1, int(i == 0)) for i in range(40)])
+    sample = toxicity.training_texts(docs(pairs), known, 10).collect()
+    assert len(sample) <= 10
+    every = toxicity.training_texts(docs(pairs), known, 1000).collect()
+    assert len(every) == len({i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1})
+    assert toxicity.fit(docs(pairs), known, 10) is not None
