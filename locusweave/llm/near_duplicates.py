@@ -14,7 +14,6 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -188,8 +187,9 @@ def _compared(pairs: DataFrame, texts: DataFrame, least: float, commonness: Broa
                 rest, common = rest[common > 0], common[common > 0]
                 lacking = len(rest)
                 need = max(0, int(np.ceil(least * len(own) - 1e-9)) - shared)
+                rest = rest[np.lexsort((rest, common))]
                 if need:
-                    rest = rest[np.lexsort((rest, common))][:max(0, len(rest) - need + 1)]
+                    rest = rest[:max(0, len(rest) - need + 1)]
                 rows.append((leader, unit, linked, shared, lacking, rest.view(np.int64)))
             yield pd.DataFrame(rows, columns=["leader", "unit", "linked", "shared", "lacking", "rest"])
 
@@ -267,7 +267,6 @@ def links_between(texts: DataFrame, members: DataFrame, least: float = SIMILARIT
     members = members.join(own, "unit", "left").select("bucket", "unit", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("able"), F.col("unit").alias("root"), F.lit(True).alias("far")).withColumns(
         {"common": F.col("able"), "lacking": F.col("able")})
     members = stored(_shared_buckets(members.where(F.col("able") >= F.col("n") * least - 1e-6)))
-    found: list[DataFrame] = []
     roots: DataFrame | None = None
     most = 1
     while not members.isEmpty():
@@ -285,8 +284,7 @@ def links_between(texts: DataFrame, members: DataFrame, least: float = SIMILARIT
         routed = led.where((F.col("place") == 1) & (F.col("open") > most)).select("bucket", "leader", "unit", "n", "able", "shortest")
         pairs = led.where("tried").select("leader", "unit").unionByName(routed.select("leader", "unit")).distinct()
         result = stored(_compared(pairs, texts, least, commonness))
-        found.append(result.where("linked").select(F.col("leader").alias("a"), F.col("unit").alias("b")))
-        roots = components(reduce(DataFrame.unionByName, found))
+        roots = joined_components(roots, result.where("linked").select(F.col("leader").alias("a"), F.col("unit").alias("b")))
         left = routed.join(leaders.where(F.col("place") > 1).select("bucket", F.col("leader").alias("unit")), ["bucket", "unit"], "left_anti")
         # Buckets that this round's links have made one class hold nothing more to tell apart.
         left = left.join(roots, "unit", "left").withColumn("root", F.coalesce("root", "unit"))
@@ -298,7 +296,10 @@ def links_between(texts: DataFrame, members: DataFrame, least: float = SIMILARIT
         met = left.join(result.select("leader", "unit", "shared", "lacking", "rest"), ["leader", "unit"]).withColumn("stays", F.col("shared") >= bound - 1e-6)
         bucket = lambda key, far: F.struct(key.alias("bucket"), far.alias("far"))
         inside = F.when(F.col("stays"), F.array(bucket(F.xxhash64("leader"), F.lit(True))))
-        outside = F.transform("rest", lambda shingle: bucket(F.xxhash64("leader", shingle), ~F.col("stays")))
+        # Known lengths of the others may ask for more shingles in common, so fewer of the rarest are enough.
+        need = F.ceil(bound - 1e-6).cast("int") - F.col("shared")
+        rest = F.when(need > 0, F.slice("rest", 1, F.greatest(F.lit(0), F.col("lacking") - need + 1))).otherwise(F.col("rest"))
+        outside = F.transform(rest, lambda shingle: bucket(F.xxhash64("leader", shingle), ~F.col("stays")))
         after = met.select("unit", "n", "able", F.col("shared").alias("common"), "lacking", F.xxhash64("leader").alias("owner"),
                            F.inline(F.concat(F.coalesce(inside, F.array_except(outside, outside)), outside)))
         # Shingles of one passage have nearly the same texts: a leader's buckets with the same smallest member become one.
@@ -330,6 +331,19 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def joined_components(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``components`` of further links on top of the ``roots`` found before: only classes that the links join are labelled anew."""
+    if roots is None:
+        return components(links)
+    of = lambda side: roots.select(F.col("unit").alias(side), F.col("root").alias(f"root_{side}"))
+    lifted = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    joined = components(lifted.where(F.col("a") != F.col("b")).distinct())
+    kept = roots.join(joined.select(F.col("unit").alias("root"), F.col("root").alias("further")), "root", "left").select("unit", F.coalesce("further", "root").alias("root"))
+    # Units that had no class yet, or were the root of theirs.
+    added = joined.join(roots.select("unit"), "unit", "left_anti")
+    return stored(kept.unionByName(added))
+
+
 def classify(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``unit, root, class_id, class_size`` of every distinct text; ``unit`` is its ``text_key``, ``root`` its class.
 

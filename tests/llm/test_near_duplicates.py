@@ -110,3 +110,12 @@ def test_similar_texts_share_a_sketch():
 def test_query_agrees_with_brute_force(spark):
     pairs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
     assert sorted((tuple(r) for r in queries.op5_near_duplicates(spark, DATA).collect()), key=str) == brute(pairs)
+
+
+def test_later_links_join_earlier_classes(spark):
+    pair = lambda *rows: spark.createDataFrame([(a.encode(), b.encode()) for a, b in rows], "a binary, b binary")
+    roots = N.joined_components(None, pair(("b", "c"), ("x", "y"), ("m", "n")))
+    roots = N.joined_components(roots, pair(("c", "y"), ("y", "a"), ("p", "q"), ("b", "c")))
+    got = {bytes(r.unit).decode(): bytes(r.root).decode() for r in roots.collect()}
+    assert got == dict(b="a", c="a", x="a", y="a", a="a", m="m", n="m", p="p", q="p")
+    assert roots.count() == len(got)
