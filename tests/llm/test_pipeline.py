@@ -14,7 +14,7 @@ def test_everything_is_registered():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "near_duplicates", "decontamination", "packing"]
     found = entry_module.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(found)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.SQL) <= set(entry_module.oracle_sql())
 
 
