@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -56,6 +56,7 @@ INSIDE_NAMES = frozenset("article articlebody main content maincontent post post
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|["'][^\s>]*+)"""
 _TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+{_VALUE})?+)*+(?=>)|[^>]*+)>|<[!?][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(rf"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+({_VALUE}))?+""")
+_OPEN_COMMENT = re.compile(r"<!--.*", re.S)  # all that can start behind the last ">"
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -70,6 +71,7 @@ class Node:
     size: int = 0
     linked: int = 0
     stops: int = 0
+    wrapped: bool = False  # a plain box that is all there is in another
 
 
 @dataclass
@@ -92,9 +94,14 @@ def _names(attributes: str) -> frozenset[str]:
 
 
 def parse(source: str) -> Page:
-    """Tree of a page and its text runs in page order; mends open and stray tags the way browsers do."""
+    """Tree of a page and its text runs in page order; mends open and stray tags the way browsers do.
+
+    Depths of open elements are kept by tag, so the time grows with the page and not with its depth.
+    """
     page = Page([Node(-1, "#root", frozenset())])
     stack: list[tuple[str, int, bool]] = [("#root", 0, True)]  # (tag, node that text belongs to, whether it breaks a block)
+    opened: dict[str, list[int]] = defaultdict(list)  # depths of the open elements of a tag, outermost first
+    unended: set[tuple[str, str]] = set()  # (raw element, graphic around it) that no end follows
     links = embedded = 0
 
     def text(raw: str) -> None:
@@ -111,38 +118,37 @@ def parse(source: str) -> Page:
     def pop(depth: int) -> None:
         nonlocal links, embedded
         for tag, _, block in stack[depth:]:
+            opened[tag].pop()
             links -= tag == "a"
             embedded -= tag in FOREIGN
             if block:
                 page.runs.append((-1, ""))
         del stack[depth:]
 
+    def innermost(tags: Iterable[str]) -> int:
+        return max((opened[tag][-1] for tag in tags if tag in opened and opened[tag]), default=0)
+
     def nearest(tags: Iterable[str], scope: frozenset[str]) -> int | None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth][0] in tags:
-                return depth
-            if stack[depth][0] in scope:
-                return None
-        return None
+        depth = innermost(tags)
+        return depth if depth and depth >= innermost(scope) else None
 
     def foreign() -> int | None:
         """Depth of the innermost svg or math element whose rules hold here."""
         return nearest(FOREIGN, HTML_AGAIN) if embedded else None
 
-    at, end = 0, len(source)
+    at, end, last = 0, len(source), source.rfind(">")
     while at < end:
-        found = _TAG.search(source, at)
+        found = (_TAG if at <= last else _OPEN_COMMENT).search(source, at)
         if found is None:
             text(source[at:])
             break
         text(source[at:found.start()])
         at = found.end()
-        if not found[2]:
+        if not found.lastindex:
             continue
         closing, tag, attributes = found[1], found[2].lower(), found[3]
         if closing:
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag), None)
-            if depth is not None:
+            if depth := innermost((tag,)):
                 pop(depth)
             elif tag == "p" or tag == "br":
                 page.runs.append((-1, ""))
@@ -163,7 +169,10 @@ def parse(source: str) -> Page:
                 finish = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
                 at = finish.end() if finish else end
             else:  # at most to the end of the graphic, or to the next tag if that is open
-                finish = re.compile(rf"(?=</{stack[root][0]}[\s/>])|</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
+                around = stack[root][0]
+                finish = None if (tag, around) in unended else re.compile(rf"(?=</{around}[\s/>])|</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
+                if finish is None:
+                    unended.add((tag, around))
                 after = finish.end() if finish else source.find("<", at)
                 at = end if after < 0 else after
             continue
@@ -178,6 +187,7 @@ def parse(source: str) -> Page:
         if block:
             page.runs.append((-1, ""))
         names = _names(attributes) if attributes.strip(" /") else frozenset()
+        opened[tag].append(len(stack))
         if tag in INLINE and not names:
             stack.append((tag, stack[-1][1], block))
         else:
@@ -185,13 +195,18 @@ def parse(source: str) -> Page:
             stack.append((tag, len(page.nodes) - 1, block))
         links += tag == "a"
         embedded += tag in FOREIGN
+    plain = [node.tag == "div" and not node.names for node in page.nodes]
+    children = Counter(node.parent for node in page.nodes)
+    for i, node in enumerate(page.nodes):
+        above = node.parent
+        node.wrapped = plain[i] and above >= 0 and plain[above] and children[above] == 1 and not page.nodes[above].size
     return page
 
 
 def features(node: Node) -> list[str]:
     tag = "h" if re.fullmatch("h[1-6]", node.tag) else "#text" if node.parent < 0 and node.size else node.tag
-    out = [f"tag {tag}", *(f"name {n}" for n in node.names)]
-    if not node.names:
+    out = [] if node.wrapped else [f"tag {tag}", *(f"name {n}" for n in node.names)]
+    if not node.names and not node.wrapped:
         out.append("no name")
     if node.size:
         share = node.linked / node.size
@@ -251,11 +266,17 @@ def built_pages() -> Iterator[tuple[Page, list[int]]]:
 def count_page(counts: Counter, page: Page, labels: list[int], weight: int = 1) -> None:
     """Adds each node's features under its parent's label and its own; the root counts as a child of no content."""
     for node, label in zip(page.nodes, labels):
+        if node.wrapped:
+            continue
         above = labels[node.parent] if node.parent >= 0 else 0
         for name in ("", *features(node)):
             counts[name, above, label] += weight
 
 
+# A wrapped box has the label of the box around it, so that nesting by itself says nothing.
+SAME = np.array([[0.0, -60.0], [-60.0, 0.0]])
+
+
 @dataclass
 class TreeModel:
     """Log potentials of an edge by labels of parent and child: ``potentials[""]`` of the edge itself, the others of a feature of the child."""
@@ -277,7 +298,7 @@ class TreeModel:
 
     def edge(self, node: Node) -> list[list[float]]:
         known = [self.potentials[name] for name in features(node) if name in self.potentials]
-        table = sum(known, self.potentials[""])
+        table = sum(known, SAME if node.wrapped else self.potentials[""])
         return np.exp(table - table.max()).tolist()
 
     def marginals(self, page: Page) -> list[float]:
@@ -313,7 +334,10 @@ class TreeModel:
 
 def fit(pages: DataFrame, rows: int = TRAINING_PAGES) -> TreeModel:
     """Fits on the built pages and at most ``rows`` pages that name an article or main element."""
-    sample = pages.select("page_id", "html").where(F.lower("html").rlike("<(article|main)[ >]")).orderBy(F.xxhash64("page_id"), "page_id").limit(rows)
+    # Ids are chosen first, so that the choice moves no pages; of several pages with a chosen id the one with the smallest hash counts.
+    named = pages.select("page_id", "html", F.xxhash64("html").alias("hash")).where(F.lower("html").rlike("<(article|main)[ >]") & F.col("page_id").isNotNull())
+    chosen = named.groupBy("page_id").agg(F.min("hash").alias("hash")).orderBy(F.xxhash64("page_id"), "page_id").limit(rows)
+    sample = named.join(F.broadcast(chosen), ["page_id", "hash"]).groupBy("page_id", "hash").agg(F.first("html").alias("html"))  # at most `rows` ids
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter = Counter()
@@ -326,7 +350,7 @@ def fit(pages: DataFrame, rows: int = TRAINING_PAGES) -> TreeModel:
         if counts:
             yield pd.DataFrame([(*key, n) for key, n in counts.items()], columns=["name", "above", "label", "n"])
 
-    counted = sample.repartition("page_id").mapInPandas(count, "name string, above int, label int, n long").groupBy("name", "above", "label").agg(F.sum("n").alias("n"))
+    counted = sample.mapInPandas(count, "name string, above int, label int, n long").groupBy("name", "above", "label").agg(F.sum("n").alias("n"))
     counts: Counter = Counter()
     for page, labels in built_pages():
         count_page(counts, page, labels, 20)

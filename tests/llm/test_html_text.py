@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -77,10 +78,28 @@ def test_marginals_equal_enumeration(model):
 
 
 def test_deep_and_long_pages_end(model):
-    assert model.extract("<div>" * 20000 + PROSE + "</div>" * 20000) in ("", PROSE.strip())
+    for source in (f"<p>{PROSE}</p>", f"<div>{PROSE}</div>"):
+        once = model.extract(f"<body><div>{source}</div></body>")
+        assert model.extract("<body>" + "<div>" * 100_000 + source + "</div>" * 100_000 + "</body>") == once
+    assert model.extract("<div>" * 100_000 + f"<p>{PROSE * 3}</p>" + "</div>" * 100_000) == (PROSE * 3).strip()
     assert len(model.extract("<article>" + f"<p>{PROSE}</p>" * 5000 + "</article>")) == 5000 * len(PROSE) - 1
 
 
+@pytest.mark.parametrize("source", [
+    "<div>" * 100_000 + f"<p>{PROSE}</p>", "<div>" * 20_000 + "</b>" * 200_000 + f"<p>{PROSE}</p>", "<ul><li>" * 50_000 + f"<p>{PROSE}</p>",
+    "<a " * 300_000, "<svg>" + "<style>x" * 100_000, "<b>" * 200_000 + PROSE,
+])
+def test_time_grows_with_the_page_not_its_depth(source):
+    start = time.process_time()
+    H.parse(source)
+    assert time.process_time() - start < 10  # walking the open elements for every tag takes minutes
+
+
+def test_sample_holds_one_page_per_id(spark):
+    pages = spark.createDataFrame([(1, f"<article><p>{PROSE} {i}</p></article>") for i in range(50)] + [(None, "<main>x</main>")], "page_id long, html string")
+    assert H.fit(pages, 5).potentials.keys() == H.fit(pages.where("html like '%0</p>%'"), 5).potentials.keys()
+
+
 def test_rows_with_nulls_repeats_and_other_columns(spark):
     pages = spark.createDataFrame([(1, None, None, "x"), (2, "u", "", "x"), (3, "u", f"<article><p>{PROSE}</p></article>", "x"), (3, "u", f"<article><p>{PROSE}</p></article>", "x"), (None, None, "<nav>a</nav>", "x")],
                                   "page_id long, url string, html string, TEXT string")
