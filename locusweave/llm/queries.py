@@ -11,7 +11,7 @@ from locusweave.llm import (
     decontamination, hamming_search, html_text, lexical_search, license_scan, near_duplicates, packing, quality, sharding, spelling, token_counts, toxicity,
     url_filter,
 )
-from locusweave.llm.common import table
+from locusweave.llm.common import stored, table
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.context_totals(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+    return token_counts.context_totals(stored(token_counts.length_histogram(table(spark, sf_dir, "documents"))))
 
 
 def op9_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
