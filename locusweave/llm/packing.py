@@ -140,7 +140,8 @@ def pack_documents(docs: DataFrame, size: int = 1024, vocabulary: str = VOCABULA
     alone. Long documents run over several sequences. Sequences hold ``size``
     ids; the rest of each range of the curve is cut into powers of two, so no
     position is padded. Equal keys are ordered by id and text, and rows that are
-    equal altogether are packed each. Only ``doc_id`` and ``text`` are read, so
+    equal altogether by their place in ``docs``, a stored table, so that any
+    number of copies spreads over ranges. Only ``doc_id`` and ``text`` are read, so
     other columns may have any name. No rows give no pieces.
     """
 
@@ -164,7 +165,8 @@ def pack_documents(docs: DataFrame, size: int = 1024, vocabulary: str = VOCABULA
         if packer.held:
             yield batch(packer.finish())
 
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                        F.monotonically_increasing_id().alias("place"))
     keyed = keyed.withColumn("hilbert_key", curve_key(F.col("text")))
-    order = ["hilbert_key", "doc_id", F.xxhash64("text")]
+    order = ["hilbert_key", "doc_id", F.xxhash64("text"), "place"]
     return keyed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(pack, PIECES)

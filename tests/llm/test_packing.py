@@ -4,6 +4,8 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from locusweave.llm import packing, tokens
 from locusweave.llm.packing import Packer, tail_lengths
 
@@ -88,3 +90,12 @@ def test_documents_round_trip(spark):
     df = spark.read.parquet(f"{DATA}/documents.parquet")
     pieces = packing.pack_documents(df).collect()
     round_trip(pieces, [(r.doc_id, r.text) for r in df.collect()])
+
+
+def test_equal_rows_spread_over_ranges(docs, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    df = docs([(1, "the same short text")] * 8000).repartition(8)
+    pieces = packing.pack_documents(df, 64).groupBy(F.spark_partition_id()).agg(F.sum("length").alias("n")).collect()
+    total = sum(r.n for r in pieces)
+    assert total == 8000 * (len(tokens.encode("the same short text")) + 1)
+    assert len(pieces) > 1 and max(r.n for r in pieces) < 0.5 * total
