@@ -109,12 +109,12 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> D
     The law is ``rows``: counts of shards differ by one at most, and slots run
     from 0 without gaps. A null text has size 1 and the checksum of no bytes.
     Repeated rows get a slot each. A unit too large for a shard is spread over
-    neighbouring shards. Other columns are left out, whatever their names. No
+    neighbouring shards, its rows dealt by id and place, so that equal rows are numbered by many tasks. Other columns are left out, whatever their names. No
     rows give no rows.
     """
     raw = F.coalesce("text", F.lit("")).cast("binary")
     rows = stored(docs.select("doc_id", (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
-                              F.xxhash64("text").alias("unit"), F.pmod(F.xxhash64("doc_id"), F.lit(_PARTS)).alias("part")))
+                              F.xxhash64("text").alias("unit"), F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(_PARTS)).alias("part")))
     cells = rows.groupBy("unit", "part").agg(F.count(F.lit(1)).alias("rows"))
     links = stored(shared_lines(docs))
     placed = propagate(cells.groupBy("unit").agg(F.sum("rows").alias("rows")), links, shards, rounds)

@@ -61,6 +61,15 @@ def test_few_rows(docs):
         check(got, pairs, 8)
 
 
+def test_equal_rows_are_numbered_by_many_tasks(docs, monkeypatch):
+    tables = []
+    monkeypatch.setattr(sharding, "stored", lambda df: tables.append(df.persist()) or tables[-1])
+    pairs = [(7, "one row over and over")] * 5000
+    check(sharding.shard_documents(docs(pairs)).collect(), pairs, 8)
+    parts = [r["count"] for r in tables[0].groupBy("unit", "part").count().collect()]
+    assert len(parts) > 100 and max(parts) < 100
+
+
 @needs_data
 def test_query_uses_no_python(spark):
     df = queries.op4_sharding(spark, DATA)
