@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -27,9 +28,9 @@ _LOWER, _UPPER, _DIGIT, _SPACE, _PLAIN, _SYMBOL = range(6)
 
 @cache
 def _kinds() -> np.ndarray:
-    """Kind of each code point of the basic plane."""
+    """Kind of each code point."""
     kind = {"Ll": _LOWER, "Lo": _LOWER, "Lm": _LOWER, "Lu": _UPPER, "Lt": _UPPER, "Nd": _DIGIT, "Mn": _LOWER, "Zs": _SPACE, "Cc": _SPACE}
-    out = np.array([kind.get(unicodedata.category(chr(c)), _SYMBOL) for c in range(1 << 16)], dtype=np.uint8)
+    out = np.array([kind.get(unicodedata.category(chr(c)), _SYMBOL) for c in range(sys.maxunicode + 1)], dtype=np.uint8)
     for c in ".,;:'\"()-?":
         out[ord(c)] = _PLAIN
     return out
@@ -38,7 +39,7 @@ def _kinds() -> np.ndarray:
 def statistics(text: str) -> np.ndarray:
     """The statistics of one whole text, shares as logarithms; an empty text has no words and the least of every share."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    kinds = np.bincount(_kinds()[np.minimum(codes, 0xFFFF)], minlength=6)
+    kinds = np.bincount(_kinds()[codes], minlength=6)
     letters = kinds[_LOWER] + kinds[_UPPER]
     words = text.split()
     n = len(words)

@@ -138,3 +138,8 @@ def test_many_texts_under_one_labelled_id_stay_within_the_bound(spark, docs, lab
     every = toxicity.training_texts(docs(pairs), known, 1000).collect()
     assert len(every) == len({i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1})
     assert toxicity.fit(docs(pairs), known, 10) is not None
+
+
+def test_letters_of_other_planes_are_letters():
+    plain, other = quality.statistics("abcd " * 40), quality.statistics("\U00010428\U00010429\U0001042a\U0001042b " * 40)
+    assert other.tolist() == plain.tolist()
