@@ -15,7 +15,7 @@ from locusweave.functions.loci import chrom_name, chrom_number
 from locusweave.operators import association, eqtl, hits, quality, regions, tf_binding
 from locusweave.operators.ordering import genomic_sort
 from locusweave.session import tune
-from locusweave.sources import files, interval_store, sinks
+from locusweave.sources import files, interval_store, lookup_store, sinks
 
 # Column names of the two eQTL collections and their names here.
 COLLECTION_A = {
@@ -29,9 +29,12 @@ GENOMIC_COLUMNS = ["OA", "EA", "EAF", "beta", "pval", "Marker", "phenotype"]
 
 
 def land_references(
-    spark: SparkSession, output: str, peaks: str | None = None, annotation: str | None = None, mode: str = "errorifexists"
+    spark: SparkSession, output: str, peaks: str | None = None, annotation: str | None = None, eqtls: str | None = None,
+    mode: str = "errorifexists",
 ) -> dict[str, str]:
-    """Peaks and genes as interval stores, to be given to the analyses with ``landed_peaks`` and ``landed_genes``.
+    """Peaks and genes as interval stores, a directory of eQTL tables as a store by variant ID.
+
+    They are given to the analyses with ``landed_peaks``, ``landed_genes`` and ``landed``.
 
     Written once per release of the references; an analysis then reads the parts near its variants.
     """
@@ -45,6 +48,9 @@ def land_references(
         out["genes"] = f"{output}/genes"
         interval_store.land_intervals(
             regions.gene_table(files.read_annotation(spark, annotation)), out["genes"], "chromosome", "gene_start", "gene_end", mode)
+    if eqtls:
+        out["eqtls"] = f"{output}/eqtls"
+        lookup_store.land_eqtls(files.read_eqtl_directory(spark, eqtls), out["eqtls"], mode)
     return out
 
 
@@ -110,10 +116,16 @@ def post_process_gwas(
     return out
 
 
-def look_up_eqtls(spark: SparkSession, eqtls: str, rsids: str, output: str, mode: str = "errorifexists") -> str:
-    """eQTLs of the listed IDs in every cell type, by chromosome, position and gene."""
+def look_up_eqtls(
+    spark: SparkSession, eqtls: str, rsids: str, output: str, mode: str = "errorifexists", landed: bool = False
+) -> str:
+    """eQTLs of the listed IDs in every cell type, by chromosome, position and gene.
+
+    With ``landed``, ``eqtls`` is a store of ``land_references``, of which only the row groups that may hold an ID are read.
+    """
     tune(spark)
-    found = eqtl.eqtl_lookup(files.read_eqtl_directory(spark, eqtls), files.read_value_list(spark, rsids, "rsid"))
+    wanted = files.read_value_list(spark, rsids, "rsid")
+    found = lookup_store.look_up(spark, eqtls, wanted) if landed else eqtl.eqtl_lookup(files.read_eqtl_directory(spark, eqtls), wanted)
     ordered = found.orderBy(
         chrom_number(F.col("chromosome")), "position_hg38", "gene", "cell_type", "rsid", "pval", "slope")
     sinks.write_tsv(ordered.select("rsid", "chromosome", "position_hg38", "gene", "pval", "slope", "cell_type"), output, mode)
