@@ -19,21 +19,26 @@ GENOME_WIDE_LINE = 7.301029995664
 SIGNIFICANT_LINE = 11.0
 
 
-def annotate(results: DataFrame, variant_info: DataFrame) -> DataFrame:
+def annotate(results: DataFrame, variant_info: DataFrame, known: str | None = None) -> DataFrame:
     """Results with p-value and locus, in the 12-column layout. Unmatched IDs keep null loci.
 
+    With ``known``, a column of that name says whether the ID has variant information.
+
     The join runs on the variant ID; variant info has one row per ID, so rows never
     multiply, and a variant with very many results is split by adaptive execution.
     """
-    info = parse_marker(variant_info.select("ID", "Marker", "OA", "EA", "EAF", "Info"))
+    info = parse_marker(variant_info.select("ID", "Marker", "OA", "EA", "EAF", "Info")).withColumn("_known", F.lit(True))
+    flag = [] if known is None else [F.coalesce("_known", F.lit(False)).alias(known)]
     return (
         results.join(info, "ID", "left")
         .withColumn("pval", chi2_sf("chi2"))
-        .select(*SUMSTATS_COLUMNS)
+        .select(*SUMSTATS_COLUMNS, *flag)
     )
 
 
-def significant_hits(results: DataFrame, variant_info: DataFrame, pval_exponent: float = 6) -> DataFrame:
+def significant_hits(
+    results: DataFrame, variant_info: DataFrame, pval_exponent: float = 6, known: str | None = None
+) -> DataFrame:
     """Results with p below ``10 ** -pval_exponent``, annotated.
 
     The threshold is turned into a chi-square value once, so the filter is a plain
@@ -41,7 +46,7 @@ def significant_hits(results: DataFrame, variant_info: DataFrame, pval_exponent:
     """
     require_columns(results, ["ID", "beta", "chi2", "phenotype"], "results")
     threshold = chi2_isf(10.0 ** -float(pval_exponent))
-    return annotate(results.filter(F.col("chi2") > F.lit(threshold)), variant_info)
+    return annotate(results.filter(F.col("chi2") > F.lit(threshold)), variant_info, known)
 
 
 def full_sumstats(results: DataFrame, variant_info: DataFrame, phenotype: str | None = None) -> DataFrame:

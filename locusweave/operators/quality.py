@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from locusweave.functions.loci import LAST_CHROMOSOME
@@ -10,6 +10,22 @@ from locusweave.functions.loci import LAST_CHROMOSOME
 LOCUS_PATTERN = "^(chr)?([0-9]+|X|Y|M|MT):[0-9]+$"
 
 
+def watch(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with aggregates that are taken in the pass that writes it, and where to read them afterwards.
+
+    A task that is run again after a lost executor may be counted twice, so these
+    numbers only tell whether there is anything to report. What a report says is
+    counted from flags written with the rows.
+    """
+    seen = Observation()
+    return df.observe(seen, *[count.alias(name) for name, count in counts.items()]), seen
+
+
+def flagged(df: DataFrame, flag: Column, name: str) -> DataFrame:
+    """Rows per phenotype for which ``flag`` holds, as ``name``; phenotypes without any are left out."""
+    return df.groupBy("phenotype").agg(F.count_if(flag).alias(name)).filter(F.col(name) > 0)
+
+
 def locus_quality(df: DataFrame, locus: str) -> DataFrame:
     """Counts of well-formed, malformed, prefixed and missing locus texts."""
     text = F.col(locus)
@@ -29,11 +45,21 @@ def unmatched_hits(hits: DataFrame, variant_info: DataFrame) -> DataFrame:
     return unknown.groupBy("phenotype").agg(F.count(F.lit(1)).alias("num_unmatched"))
 
 
-def unparsed_markers(annotated: DataFrame) -> DataFrame:
-    """Rows per phenotype that have a marker but no locus from it, or one on a chromosome that does not exist."""
+def marker_is_broken() -> Column:
+    """Whether a row has a marker but no locus from it, or one on a chromosome that does not exist."""
     placed = F.col("chromosome").between(1, LAST_CHROMOSOME) & F.col("position").isNotNull()
-    broken = F.col("Marker").isNotNull() & ~F.coalesce(placed, F.lit(False))
-    return annotated.groupBy("phenotype").agg(F.count_if(broken).alias("num_unparsed")).filter("num_unparsed > 0")
+    return F.col("Marker").isNotNull() & ~F.coalesce(placed, F.lit(False))
+
+
+def unparsed_markers(annotated: DataFrame) -> DataFrame:
+    """Rows per phenotype whose marker is broken."""
+    return flagged(annotated, marker_is_broken(), "num_unparsed")
+
+
+def require_rows(df: DataFrame, what: str) -> None:
+    """Fail on an input without rows; looks for one row only."""
+    if df.isEmpty():
+        raise ValueError(f"the {what} holds no rows")
 
 
 def sample_overlap(samples: DataFrame, phenotypes: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ never sends an analysis back to its raw input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from locusweave import schemas
 from locusweave.functions.loci import chrom_name, chrom_number
@@ -54,6 +55,16 @@ def land_references(
     return out
 
 
+def _report(rows: DataFrame, flag: Column, seen: Observation, name: str, path: str, mode: str) -> None:
+    """Flagged rows per phenotype; ``rows`` are read only if some were seen while they were written.
+
+    Where there are no rows at all, Spark leaves the aggregates out and nothing was seen.
+    """
+    counted = quality.flagged(rows, flag, name)
+    some = not rows.isEmpty() and seen.get[name] > 0
+    sinks.write_tsv(counted if some else rows.sparkSession.createDataFrame([], counted.schema), path, mode)
+
+
 def post_process_gwas(
     spark: SparkSession,
     variant_info: str,
@@ -69,6 +80,7 @@ def post_process_gwas(
     bed: bool = True,
     strict: bool = True,
     landed_genes: bool = False,
+    buckets: int = sinks.BUCKETS,
     mode: str = "errorifexists",
 ) -> dict[str, str]:
     """Hits per phenotype, combined hit table, Manhattan points, regions and region members.
@@ -77,31 +89,42 @@ def post_process_gwas(
     table, the alphabetically first one by default. The text results are landed as
     Parquet first and read as text only then; malformed rows fail that step, or
     are counted in a report with ``strict`` off. Hits with unknown IDs and with
-    markers that do not parse are reported as well. With ``landed_genes``,
+    markers that do not parse are reported as well; whether there are any is
+    counted while the rows are written, and a report without rows reads nothing.
+    Results and variant info are landed in ``buckets`` by ID. With ``landed_genes``,
     ``annotation`` is a gene store of ``land_references``, read near the hits only.
     """
     tune(spark)
-    names = ("landed", "hits", "hit_tables", "combined", "points", "regions", "members", "unmatched", "unparsed", "malformed")
+    names = ("landed", "variant_info", "hits", "hit_tables", "combined", "points", "regions", "members", "unmatched", "unparsed", "malformed")
     out = {name: f"{output}/{name}" for name in names}
     name = hits.hits_table_name(run_name, f"{pval_exponent:g}", one_per_variant)
     out["hits_table"] = f"{output}/{name}"
-    info = files.read_variant_info(spark, variant_info)
-    sinks.land_results(files.read_gwas_results(spark, results, strict), out["landed"], mode)
+    info_table = sinks.land_variant_info(files.read_variant_info(spark, variant_info), out["variant_info"], buckets, mode)
+    info = spark.read.schema(schemas.VARIANT_INFO).parquet(out["variant_info"])
+    malformed = F.lit(False) if strict else F.col("is_malformed")
+    table, landing = quality.watch(files.read_gwas_results(spark, results, strict), num_malformed=F.count_if(malformed))
+    result_table = sinks.land_results(table, out["landed"], buckets, mode)
+    quality.require_rows(info_table, "variant info")
+    quality.require_rows(result_table, "result directory")
     raw = spark.read.schema("ID string, beta double, chi2 double, phenotype string").parquet(out["landed"])
     if not strict:
-        sinks.write_tsv(files.malformed_results(spark, results), out["malformed"], mode)
-
-    sinks.write_partitioned(
-        hits.significant_hits(raw, info, pval_exponent), out["hits"], "phenotype", ["chromosome", "position", "ID"], mode=mode)
-    found = spark.read.schema(schemas.SUMSTATS).parquet(out["hits"]).select(*schemas.SUMSTATS_COLUMNS)
+        _report(result_table, malformed, landing, "num_malformed", out["malformed"], mode)
+
+    unmatched, unparsed = ~F.col("is_known"), quality.marker_is_broken()
+    table, annotated = quality.watch(
+        hits.significant_hits(raw, info, pval_exponent, "is_known"),
+        num_unmatched=F.count_if(unmatched), num_unparsed=F.count_if(unparsed))
+    sinks.write_partitioned(table, out["hits"], "phenotype", ["chromosome", "position", "ID"], mode=mode)
+    checked = spark.read.schema(T.StructType([*schemas.SUMSTATS.fields, T.StructField("is_known", T.BooleanType())])).parquet(out["hits"])
+    found = checked.select(*schemas.SUMSTATS_COLUMNS)
     sinks.write_by_phenotype(found, out["hit_tables"], mode=mode)
     sinks.write_tsv(hits.all_hits([found], one_per_variant), out["hits_table"], mode)
-    sinks.write_tsv(quality.unmatched_hits(found, info), out["unmatched"], mode)
-    sinks.write_tsv(quality.unparsed_markers(found), out["unparsed"], mode)
+    _report(checked, unmatched, annotated, "num_unmatched", out["unmatched"], mode)
+    _report(checked, unparsed, annotated, "num_unparsed", out["unparsed"], mode)
 
     trait = template_trait or files.result_phenotypes(spark, results)[0]
     alias_map = files.read_alias_map(spark, aliases) if aliases else None
-    combined = hits.combined_sumstats(hits.full_sumstats(raw, info, trait), found, alias_map)
+    combined = hits.combined_sumstats(hits.full_sumstats(result_table, info_table, trait), found, alias_map)
     combined.write.mode(mode).parquet(out["combined"])
     sinks.write_tsv(hits.manhattan_points(spark.read.parquet(out["combined"])), out["points"], mode)
 

@@ -81,20 +81,15 @@ def read_gwas_results(spark: SparkSession, directory: str, strict: bool = True)
     """All headerless result files (plain or gzipped) of a directory, phenotype from the file name.
 
     A row without exactly an ID and two numbers fails the job. With ``strict``
-    off it gives nulls, and ``malformed_results`` counts such rows.
+    off it gives nulls, and ``is_malformed`` marks it.
     """
-    mode = "FAILFAST" if strict else "PERMISSIVE"
-    rows = _csv(spark, schemas.GWAS_RESULT, False, " ", "*.res*", mode=mode).csv(directory)
-    return rows.select("*", phenotype_from_filename(_file_name()).alias("phenotype"))
-
-
-def malformed_results(spark: SparkSession, directory: str) -> DataFrame:
-    """Rows per phenotype that are not an ID and two numbers; phenotypes without any are left out."""
-    fields = F.split("value", " ")
-    good = (F.size(fields) == 3) & fields[1].try_cast("double").isNotNull() & fields[2].try_cast("double").isNotNull()
-    lines = spark.read.option("pathGlobFilter", "*.res*").text(directory).filter("value != ''")
-    counted = lines.groupBy(phenotype_from_filename(_file_name()).alias("phenotype")).agg(F.count_if(~good).alias("num_malformed"))
-    return counted.filter("num_malformed > 0")
+    named = phenotype_from_filename(_file_name()).alias("phenotype")
+    if strict:
+        return _csv(spark, schemas.GWAS_RESULT, False, " ", "*.res*", mode="FAILFAST").csv(directory).select("*", named)
+    schema = T.StructType([*schemas.GWAS_RESULT.fields, T.StructField("_line", T.StringType())])
+    rows = _csv(spark, schema, False, " ", "*.res*", mode="PERMISSIVE", columnNameOfCorruptRecord="_line").csv(directory)
+    broken = F.col("_line").isNotNull() | F.col("beta").isNull() | F.col("chi2").isNull()
+    return rows.select(*schemas.GWAS_RESULT.fieldNames(), named, broken.alias("is_malformed"))
 
 
 def result_phenotypes(spark: SparkSession, directory: str) -> list[str]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from locusweave.session import settle
 UNSAFE_IN_NAMES = ' <>:"/\\|?*'
 TRIMMED_FROM_NAMES = " ."
 
+# Tasks of a join of one phenotype's results with variant info.
+BUCKETS = 64
+
 
 def safe_name(name: Column) -> Column:
     """A column value as a file or folder name."""
@@ -80,15 +85,35 @@ def write_vcf_chunks(rows: DataFrame, path: str, mode: str = "errorifexists") ->
     plain.write.mode(mode).partitionBy("chunk").options(**TSV).csv(path)
 
 
-def land_results(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One-time landing of text results as Parquet by phenotype, sorted so that chi-square filters skip row groups."""
-    write_partitioned(df, path, "phenotype", ["chi2", "ID"], "parquet", mode)
+def land_bucketed(
+    df: DataFrame, path: str, key: str, buckets: int, by: str | None = None, order: str | None = None, mode: str = "errorifexists"
+) -> DataFrame:
+    """One-time landing as an external table bucketed by a join key, and the table read back.
+
+    Two tables landed with the same key and count, such as results and variant
+    info by ``ID``, join without moving either side. Rows are moved to their
+    bucket's file by hash, so nothing is computed twice to find ranges; adaptive
+    execution cuts a bucket with very many rows into several files. ``by`` adds a
+    folder per value, and files are sorted by ``order``, the key by default.
+    """
+    table = f"landed_{crc32(path.encode()):08x}"
+    bucket = F.pmod(F.hash(F.col(f"`{key}`")), F.lit(buckets))
+    rows = df.withColumn("_bucket", bucket).hint("rebalance", *([F.col(f"`{by}`")] if by else []), F.col("_bucket")).drop("_bucket")
+    writer = rows.write.mode(mode).format("parquet").option("path", path).bucketBy(buckets, key).sortBy(order or key)
+    (writer.partitionBy(by) if by else writer).saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
-def land_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "errorifexists") -> None:
-    """One-time landing as a table bucketed and sorted by a join key.
+def land_results(df: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "errorifexists") -> DataFrame:
+    """One-time landing of text results as Parquet, by phenotype and bucketed by ID.
 
-    Two tables landed with the same key and count, such as results and variant
-    info by ``ID``, join without moving either side.
+    Files are sorted so that chi-square filters skip row groups. A read of ``path``
+    cuts the files by size, as a filter over all phenotypes wants it; the table
+    returned joins a phenotype to variant info without an exchange.
     """
-    df.write.mode(mode).bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
+    return land_bucketed(df, path, "ID", buckets, "phenotype", "chi2", mode)
+
+
+def land_variant_info(df: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "errorifexists") -> DataFrame:
+    """One-time landing of variant info, bucketed like the results."""
+    return land_bucketed(df, path, "ID", buckets, mode=mode)

@@ -44,3 +44,16 @@ def test_column_checks_raise_before_any_job(spark):
         schemas.require_columns(df, ["id", "missing_one"])
     with pytest.raises(ValueError, match="14 columns"):
         schemas.require_width(df, 14)
+
+
+def test_counts_are_taken_once_by_an_ordered_sink(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from locusweave.sources import sinks
+
+    for i, settle in enumerate((sinks.settle, lambda df: df.persist())):
+        monkeypatch.setattr(sinks, "settle", settle)
+        table = spark.range(0, 3000, 1, 4).select((F.col("id") % 3).cast("string").alias("phenotype"), F.col("id").alias("position"))
+        watched, seen = quality.watch(table, num_rows=F.count(F.lit(1)), num_even=F.count_if(F.col("position") % 2 == 0))
+        sinks.write_partitioned(watched, str(tmp_path / str(i)), "phenotype", ["position"])
+        assert seen.get == {"num_rows": 3000, "num_even": 1500}

@@ -208,18 +208,33 @@ def test_landed_results_prune_by_phenotype(spark, tmp_path):
     assert one.count() == 10
 
 
-def test_bucketed_tables_join_without_an_exchange(spark, conf):
+def test_landed_tables_join_without_an_exchange(spark, conf, tmp_path):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     table = _sumstats(spark)
-    sinks.land_bucketed(table.select("ID", "beta", "chi2", "phenotype"), "landed_results", "ID", 4, "overwrite")
+    results = table.select("ID", "beta", "chi2", "phenotype")
     info = table.select("ID", "Marker", "OA", "EA", "EAF", "Info").dropDuplicates(["ID"])
-    sinks.land_bucketed(info, "landed_info", "ID", 4, "overwrite")
-    joined = hits.full_sumstats(spark.table("landed_results"), spark.table("landed_info"))
+    for _ in range(2):  # landed again over what is there
+        landed = sinks.land_results(results, str(tmp_path / "results"), 4, "overwrite")
+        known = sinks.land_variant_info(info, str(tmp_path / "info"), 4, "overwrite")
+    joined = hits.full_sumstats(landed, known, "b")
     plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "SortMergeJoin" in plan
-    assert joined.count() == 30
-    for name in ("landed_results", "landed_info"):
-        spark.sql(f"DROP TABLE {name}")
+    assert "Exchange" not in plan and "SortMergeJoin" in plan and "PartitionFilters: [isnotnull(phenotype" in plan
+    shared = ["ID", "chi2", "Marker", "position", "EAF", "phenotype"]
+    assert rows(joined, *shared) == rows(table.filter("phenotype = 'b'"), *shared)
+    assert rows(landed.select(*results.columns)) == rows(results)
+    with pytest.raises(Exception, match="exist|empty"):
+        sinks.land_results(results, str(tmp_path / "results"), 4)
+
+
+def test_hot_bucket_is_landed_by_many_tasks(spark, conf, tmp_path):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="20000")
+    n = F.col("id")
+    results = spark.range(0, 60_000, 1, 8).select(
+        F.when(n % 3 > 0, "hot").otherwise(F.concat(F.lit("rs"), n)).alias("ID"), (n * 0.5).alias("beta"), n.cast("double").alias("chi2"),
+        F.lit("t").alias("phenotype"))
+    landed = sinks.land_results(results, str(tmp_path / "hot"), 4)
+    assert landed.count() == 60_000 and landed.filter("ID = 'hot'").count() == 40_000
+    assert landed.filter("ID = 'hot'").select(F.input_file_name().alias("f")).distinct().count() > 4
 
 
 def test_safe_names(spark):

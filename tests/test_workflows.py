@@ -69,6 +69,43 @@ def test_malformed_rows_fail_or_are_reported(spark, tmp_path):
     assert rows(_read(spark, out["members"]), "chromosome", "phenotype") == [("24", "IL2, free")]
 
 
+def test_reports_without_rows_read_nothing(spark, tmp_path, monkeypatch):
+    from locusweave.operators import quality
+    from locusweave.sources import sinks
+
+    info = _write(tmp_path / "vi.txt", [("ID", "Marker", "OA", "EA", "EAF", "Info")] + [(f"rs{i}", f"chr1:{i + 1}", "A", "G", 0.1, 0.9) for i in range(50)])
+    path = tmp_path / "res" / "a_b_c_d_t_x_y_z.res"
+    path.parent.mkdir()
+    path.write_text("".join(f"rs{i} 0.1 {30 + i}\n" for i in range(50)))
+    watched, written = [], {}
+    watch, write = quality.watch, sinks.write_tsv
+    monkeypatch.setattr(quality, "watch", lambda *a, **k: watched.append(watch(*a, **k)) or watched[-1])
+    monkeypatch.setattr(sinks, "write_tsv", lambda df, path, *a: written.update({path: df}) or write(df, path, *a))
+    out = workflows.post_process_gwas(spark, info, str(tmp_path / "res"), str(tmp_path / "out"), "run", 6, 300, strict=False)
+    # Every row is counted once, in the pass that writes it.
+    assert [seen.get for _, seen in watched] == [{"num_malformed": 0}, {"num_unmatched": 0, "num_unparsed": 0}]
+    for name in ("malformed", "unmatched", "unparsed"):
+        assert "FileScan" not in written[out[name]]._jdf.queryExecution().executedPlan().toString()
+        assert _read(spark, out[name]).count() == 0
+    assert len(rows(spark.read.parquet(out["hits"]))) == 50
+
+
+def test_empty_inputs_fail(spark, tmp_path):
+    lines = [("ID", "Marker", "OA", "EA", "EAF", "Info"), ("rs1", "chr1:1000", "A", "G", 0.1, 0.9)]
+    path = tmp_path / "res" / "a_b_c_d_t_x_y_z.res"
+    path.parent.mkdir()
+    path.write_text("")
+    full, bare = _write(tmp_path / "vi.txt", lines), _write(tmp_path / "bare.txt", lines[:1])
+    with pytest.raises(ValueError, match="result directory holds no rows"):
+        workflows.post_process_gwas(spark, full, str(tmp_path / "res"), str(tmp_path / "a"), "run")
+    path.write_text("rs1 0.1 40\n")
+    with pytest.raises(ValueError, match="variant info holds no rows"):
+        workflows.post_process_gwas(spark, bare, str(tmp_path / "res"), str(tmp_path / "b"), "run")
+    path.write_text("rs1 0.1 2\n")  # no hits is a result
+    out = workflows.post_process_gwas(spark, full, str(tmp_path / "res"), str(tmp_path / "c"), "run")
+    assert _read(spark, out["hits_table"]).count() == _read(spark, out["unmatched"]).count() == 0
+
+
 def test_sinks_compute_their_rows_once(spark, tmp_path):
     from pyspark.sql import functions as F
 
