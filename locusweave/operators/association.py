@@ -3,7 +3,8 @@
 Genotypes are ``ID, sample_id, n_alt`` rows (0, 1, 2, null when missing; an
 absent row counts as missing too). The regression reads them once, whatever the
 number of phenotypes, and packs them into one byte per call: samples are dealt
-into stripes, and a packed row holds a variant's calls of a stripe. Phenotypes come as
+into stripes, and a packed row holds a variant's calls of a stripe, as a list of
+the known ones where these are few. Phenotypes come as
 blocks of columns per stripe, and the sums that the fits need are products of
 both, added over the stripes.
 """
@@ -34,6 +35,13 @@ BLOCK_COLUMNS = 512
 CHUNK_VARIANTS = 128  # rows of a group that are numbers instead of bytes at a time
 MISSING = 255
 
+# A variant called in few samples of a stripe is a list of slots and calls, so its size follows its calls and not the samples.
+SPARSE_CALL = np.dtype([("slot", "<u4"), ("n_alt", "u1")])
+# A group of such variants has more rows, up to what makes this many sums or terms at a time.
+GROUP_SPARSE = 32
+GROUP_SUMS = 1 << 22
+CHUNK_TERMS = 1 << 21
+
 # -ln p of a positive double is below 746, so there are at most 746 * 2**9 coarse
 # cells, each of 2**16 fine ones; p = 0 has a cell of its own beyond them.
 FINE_CELLS = 1 << 25
@@ -247,7 +255,9 @@ def _blocks(designs: list[_Design], covariates: int) -> list[_Block]:
 
 
 def pack_genotypes(genotypes: DataFrame, slots: DataFrame) -> DataFrame:
-    """``ID, stripe, n_hom_ref, n_het, n_hom_var, calls``: one byte per call, in the samples' ``slots``.
+    """``ID, stripe, n_hom_ref, n_het, n_hom_var, calls, sparse``: one byte per call, in the samples' ``slots``.
+
+    Where fewer bytes do, ``calls`` is a list of ``SPARSE_CALL`` instead, and ``sparse`` is true.
 
     ``slots`` has ``sample_id, stripe, slot``; calls of samples that are not in it
     are only counted, under stripe -1. Missing calls are ``MISSING``; of several calls
@@ -262,17 +272,25 @@ def pack_genotypes(genotypes: DataFrame, slots: DataFrame) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets, codes = batch["codes"].offsets.to_numpy(), batch["codes"].values.to_numpy()
-            packed = []
+            packed, sparse = [], []
             for i in range(batch.num_rows):
                 own = np.sort(codes[offsets[i]:offsets[i + 1]])
-                calls = np.full(int(own[-1] >> 8) + 1 if len(own) else 0, MISSING, dtype=np.uint8)
-                calls[own >> 8] = own & 255
+                width = int(own[-1] >> 8) + 1 if len(own) else 0
+                own = own[np.append(own[1:] >> 8 != own[:-1] >> 8, True)] if len(own) else own
+                sparse.append(len(own) * SPARSE_CALL.itemsize < width)
+                if sparse[-1]:
+                    calls = np.empty(len(own), dtype=SPARSE_CALL)
+                    calls["slot"], calls["n_alt"] = own >> 8, own & 255
+                else:
+                    calls = np.full(width, MISSING, dtype=np.uint8)
+                    calls[own >> 8] = own & 255
                 packed.append(calls.tobytes())
             kept = batch.drop_columns(["codes"])
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(packed, pa.binary())], [*kept.schema.names, "calls"])
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns, pa.array(packed, pa.binary()), pa.array(sparse, pa.bool_())], [*kept.schema.names, "calls", "sparse"])
 
     kind = genotypes.schema["ID"].dataType.simpleString()
-    return grouped.mapInArrow(pack, f"ID {kind}, stripe int, n_hom_ref bigint, n_het bigint, n_hom_var bigint, calls binary")
+    return grouped.mapInArrow(pack, f"ID {kind}, stripe int, n_hom_ref bigint, n_het bigint, n_hom_var bigint, calls binary, sparse boolean")
 
 
 def _slots(table: DataFrame, size: int) -> DataFrame:
@@ -306,28 +324,58 @@ def _phenotype_blocks(dealt: DataFrame, designs: list[_Design], covariates: list
     return rows.groupBy("stripe", "block").applyInArrow(build, "stripe int, block int, samples int, matrix binary")
 
 
+def _dense_sums(calls: list[bytes], y: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    n = len(y)
+    raw = b"".join(c.ljust(n, bytes([MISSING])) for c in calls)
+    x = np.frombuffer(raw, dtype=np.uint8).reshape(-1, n)
+    called = (x != MISSING).astype(float)
+    x = np.where(x == MISSING, 0, x).astype(float)
+    return np.hstack([x @ y, called @ y, (x * x) @ ones])
+
+
+def _sparse_sums(calls: list[bytes], y: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    known = np.frombuffer(b"".join(calls), dtype=SPARSE_CALL)
+    starts = np.cumsum([0] + [len(c) // SPARSE_CALL.itemsize for c in calls[:-1]])
+    rows, x = y[known["slot"]], known["n_alt"].astype(float)[:, None]
+    return np.add.reduceat(np.hstack([x * rows, rows, x * x * ones[known["slot"]]]), starts, axis=0)
+
+
 def _products(blocks: list[_Block]) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
     """Sums of a group of variants with a block of phenotypes over one stripe; zeros for calls outside the sample table."""
 
     def multiply(key: tuple, calls: pa.Table, matrices: pa.Table) -> pa.Table:
         block = blocks[key[0].as_py()]
         sums = np.zeros((calls.num_rows, block.sums))
-        if matrices.num_rows:
+        if matrices.num_rows and calls.num_rows:
             n = matrices["samples"][0].as_py()
             y = np.frombuffer(matrices["matrix"][0].as_py()).reshape(n, block.columns)
             ones = y[:, block.first[:-1]]
-            for start in range(0, calls.num_rows, CHUNK_VARIANTS):
-                raw = b"".join(c.ljust(n, bytes([MISSING])) for c in calls["calls"].slice(start, CHUNK_VARIANTS).to_pylist())
-                x = np.frombuffer(raw, dtype=np.uint8).reshape(-1, n)
-                called = (x != MISSING).astype(float)
-                x = np.where(x == MISSING, 0, x).astype(float)
-                sums[start:start + CHUNK_VARIANTS] = np.hstack([x @ y, called @ y, (x * x) @ ones])
+            packed, sparse = calls["calls"].to_pylist(), calls["sparse"].to_numpy().astype(bool)
+            dense = np.flatnonzero(~sparse)
+            for start in range(0, len(dense), CHUNK_VARIANTS):
+                own = dense[start:start + CHUNK_VARIANTS]
+                sums[own] = _dense_sums([packed[i] for i in own], y, ones)
+            listed = np.flatnonzero(sparse)
+            upto = np.cumsum([len(packed[i]) // SPARSE_CALL.itemsize for i in listed])
+            done, most = 0, max(1, CHUNK_TERMS // block.sums)
+            while done < len(listed):
+                end = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + most, side="right")))
+                own, done = listed[done:end], end
+                sums[own] = _sparse_sums([packed[i] for i in own], y, ones)
         return pa.table({"ID": calls["ID"], "af": calls["af"], "block": pa.array([key[0].as_py()] * calls.num_rows, pa.int32()),
                          "sums": pa.array([row.tobytes() for row in sums], pa.binary())})
 
     return multiply
 
 
+def _groups(packed: DataFrame, sums: int) -> int:
+    """How many groups of variants keep a group's rows of a stripe bounded in bytes of calls and in number."""
+    per_stripe = packed.groupBy("stripe").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("calls")).alias("bytes"))
+    rows, size = per_stripe.agg(F.max("rows"), F.max("bytes")).first()
+    most = max(1, min(GROUP_SPARSE * GROUP_VARIANTS, GROUP_SUMS // sums))
+    return max(1, -(-(rows or 0) // most), -(-(size or 0) // (GROUP_VARIANTS * STRIPE_SAMPLES)))
+
+
 def _fitted(blocks: list[_Block]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds the sums of a variant's stripes, which come in a row, and gives a row per phenotype; the last variant of a batch waits for the next."""
 
@@ -391,7 +439,8 @@ def association(
     share the sums of genotypes and covariates. Blocks of phenotypes and packed rows meet
     by stripe and group of variants, so a task holds one block of phenotypes, one stripe
     of samples and one group of variants at a time, and nothing is broadcast but
-    the designs, a few numbers per phenotype.
+    the designs, a few numbers per phenotype. Groups are sized by what is packed, so
+    copies of the phenotype blocks follow the calls and not variants times samples.
     """
     names = [c for c in phenotypes.columns if c != "sample_id"]
     number = lambda c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None))
@@ -415,11 +464,11 @@ def association(
         counts = counts.filter(F.col("af") > min_af)
     if min_p_hwe is not None:
         counts = with_hwe(counts, mid_p).filter(F.col("p_hwe") > min_p_hwe)
-    kept = settle(counts.select("ID", "af"))
-    groups = max(1, -(-kept.count() // GROUP_VARIANTS))
+    kept = counts.select("ID", "af")
+    groups = _groups(packed, max(block.sums for block in blocks))
 
     calls = packed.join(kept, "ID").select(
-        "ID", "af", "stripe", "calls", F.pmod(F.xxhash64("ID"), F.lit(groups)).cast("int").alias("group"),
+        "ID", "af", "stripe", "calls", "sparse", F.pmod(F.xxhash64("ID"), F.lit(groups)).cast("int").alias("group"),
         F.explode(F.sequence(F.lit(0), F.lit(len(blocks) - 1))).alias("block"))
     matrices = _phenotype_blocks(dealt, designs, extra, blocks).withColumn(
         "group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))

@@ -203,6 +203,45 @@ def test_packed_calls(spark):
     assert got == {("a", 0): (b"\x02\xff\x01", 1, 1, 1), ("a", 1): (b"\x01", 0, 1, 0), ("b", -1): (b"", 0, 0, 1)}
 
 
+def test_few_calls_are_packed_as_a_list(spark):
+    geno = spark.createDataFrame([("a", 3_999, 2), ("a", 7, 0), ("a", 7, 1), ("a", 8, None), ("b", 0, 1)], GENO)
+    slots = spark.range(4_000).selectExpr("id AS sample_id", "0 AS stripe", "cast(id AS int) AS slot")
+    got = {r.ID: r for r in association.pack_genotypes(geno, slots).collect()}
+    assert len(got["a"].calls) == 2 * association.SPARSE_CALL.itemsize and got["a"].sparse
+    assert np.frombuffer(bytes(got["a"].calls), association.SPARSE_CALL).tolist() == [(7, 1), (3_999, 2)]
+    assert (bytes(got["b"].calls), got["b"].sparse) == (b"\x01", False)
+
+
+@pytest.mark.parametrize("terms", [1, 1 << 21])
+def test_sparse_and_dense_variants_equal_least_squares(spark, monkeypatch, terms):
+    """Most variants are called in a twentieth of the samples, some in all; a list is cut into chunks or not."""
+    monkeypatch.setattr(association, "CHUNK_TERMS", terms)
+    monkeypatch.setattr(association, "STRIPE_SAMPLES", 150)
+    rng = np.random.default_rng(23)
+    n, variants = 400, 9
+    calls = rng.binomial(2, 0.4, (variants, n)).astype(float)
+    calls[2:][rng.random((variants - 2, n)) > 0.05] = np.nan
+    sex, y = rng.integers(0, 2, n), rng.normal(0, 1, n)
+    geno = spark.createDataFrame([(f"v{i}", s, int(calls[i, s])) for i in range(variants) for s in range(n) if not np.isnan(calls[i, s])], GENO)
+    samples = spark.createDataFrame([(s,) for s in range(n)], "sample_id bigint")
+    pheno = spark.createDataFrame([(s, float(y[s])) for s in range(n)], "sample_id bigint, y double")
+    cov = spark.createDataFrame([(s, int(sex[s])) for s in range(n)], "sample_id bigint, sex int")
+    got = {r.ID: r for r in association.association(geno, samples, pheno, cov).collect()}
+    assert len(got) == variants
+    for i in range(variants):
+        x = np.where(np.isnan(calls[i]), np.nanmean(calls[i]), calls[i])
+        beta, t, count, _ = _ols(y, x, [sex.astype(float)])
+        assert (got[f"v{i}"].beta, got[f"v{i}"].tstat, got[f"v{i}"].n) == (pytest.approx(beta, rel=1e-8), pytest.approx(t, rel=1e-8), count)
+
+
+def test_groups_follow_what_is_packed(spark):
+    """Three calls of a variant in a wide stripe need no group per thousand variants, dense ones do."""
+    packed = lambda size: spark.range(4_000).select(F.lit(0).alias("stripe"), F.lit(bytes(size)).alias("calls"))
+    assert association._groups(packed(15), 10) == 1
+    assert association._groups(packed(association.STRIPE_SAMPLES), 10) == 4
+    assert association._groups(packed(15), association.GROUP_SUMS // 1_000) == 4
+
+
 def test_quality_counts_and_one_sided_frequency(spark):
     geno = spark.createDataFrame(
         [("common", s, s % 3) for s in range(30)] + [("rare", s, 0) for s in range(30)]
