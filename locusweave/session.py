@@ -14,6 +14,10 @@ ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Shuffles start out fine and are coalesced by their bytes, so what a task sorts or
+    # aggregates has a bounded size and does not grow with the input over a fixed number.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "512",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 BROADCAST_BYTES = 256 * 1024 * 1024

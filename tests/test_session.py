@@ -26,3 +26,11 @@ def test_broadcast_only_below_the_counted_size(spark):
 def test_adaptive_skew_settings_are_on(spark):
     session.tune(spark)
     assert all(spark.conf.get(k) == v for k, v in session.ADAPTIVE_SETTINGS.items())
+
+
+def test_tasks_are_cut_by_bytes_not_by_a_fixed_number(spark, conf):
+    """Eight shuffle partitions are set, and the rows of an aggregate still go to more tasks once they are larger than these should be."""
+    session.tune(spark)
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="16k", spark__sql__adaptive__coalescePartitions__minPartitionSize="16k")
+    groups = spark.range(200_000).withColumn("id", F.xxhash64("id")).groupBy("id").count()
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 8 and groups.rdd.getNumPartitions() > 50
