@@ -119,3 +119,15 @@ def test_later_links_join_earlier_classes(spark):
     got = {bytes(r.unit).decode(): bytes(r.root).decode() for r in roots.collect()}
     assert got == dict(b="a", c="a", x="a", y="a", a="a", m="m", n="m", p="p", q="p")
     assert roots.count() == len(got)
+
+
+def test_open_members_need_shingles_only_for_others_that_their_leader_leaves_open(spark):
+    """Lone members need none, staying ones none without a far one, and far ones as few as the lengths allow."""
+    left = spark.createDataFrame(
+        [(b"alone", b"a", 10, 10, 8), (b"near", b"b", 10, 10, 10), (b"near", b"c", 10, 10, 10), (b"far", b"d", 20, 20, 18), (b"far", b"e", 20, 20, 18)],
+        "leader binary, unit binary, n int, able int, shortest int")
+    result = spark.createDataFrame(
+        [(b"alone", b"a", 2, 4, [1, 2, 3, 4]), (b"near", b"b", 9, 1, [5]), (b"near", b"c", 9, 1, [6]), (b"far", b"d", 14, 6, [1, 2, 3, 4, 5, 6]),
+         (b"far", b"e", 19, 1, [9])], "leader binary, unit binary, shared int, lacking int, rest array<long>")
+    got = {bytes(r.unit).decode(): (r.stays, r.rest) for r in N._met(left, result, 0.8).collect()}
+    assert got == {"b": (True, []), "c": (True, []), "d": (False, [1, 2, 3]), "e": (True, [])}
