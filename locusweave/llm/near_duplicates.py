@@ -218,28 +218,33 @@ def _shared_buckets(members: DataFrame) -> DataFrame:
 
 
 def _met(left: DataFrame, result: DataFrame, least: float) -> DataFrame:
-    """``leader, unit, n, able, shared, lacking, rest, stays`` of the members that a leader leaves open, with the part of ``rest`` that they need.
+    """``leader, unit, n, able, shared, lacking, rest, stays, inside`` of the members that a leader leaves open, with the part of ``rest`` that they need.
 
     What two members have in common is bounded below by their lengths, and what of it
     the leader has by the smaller share with it, so that many of the rarest
     shingles may be left out. The other member is one that the same leader leaves
     open. Two that stay meet in the leader's bucket, so the other one of a staying
     member is one that does not stay; without such a one it needs no shingle, and
-    a member that is alone needs nothing at all.
+    a member that is alone needs nothing at all. ``inside`` is true for staying members
+    that are not the only one.
     """
     factor = least / (1 + least)
-    others = left.groupBy("leader").agg(F.count(F.lit(1)).alias("units"), F.min("n").alias("least_n")).where("units > 1")
+    others = left.groupBy("leader").agg(
+        F.count(F.lit(1)).alias("units"), F.min("n").alias("least_n"), F.sum("n").alias("sum_n")).where("units > 1")
+    # Of two, the other one's length is known.
+    least_n = F.when(F.col("units") == 2, F.col("sum_n") - F.col("n")).otherwise(F.col("least_n"))
     # In common with any other open member, at least.
-    bound = factor * (F.col("n") + F.greatest(F.col("n") * least, F.col("shortest"), F.col("least_n")))
-    met = left.join(others.drop("units"), "leader").join(result.select("leader", "unit", "shared", "lacking", "rest"), ["leader", "unit"]).withColumn(
+    bound = factor * (F.col("n") + F.greatest(F.col("n") * least, F.col("shortest"), least_n))
+    met = left.join(others, "leader").join(result.select("leader", "unit", "shared", "lacking", "rest"), ["leader", "unit"]).withColumn(
         "bound", bound).withColumn("stays", F.col("shared") >= F.col("bound") - 1e-6)
-    far = met.where(~F.col("stays")).groupBy("leader").agg(F.min("n").alias("far_n"), F.max("shared").alias("far_shared"))
+    far = met.where(~F.col("stays")).groupBy("leader").agg(F.min("n").alias("far_n"), F.max("shared").alias("far_shared"), F.count(F.lit(1)).alias("far_units"))
     with_far = factor * (F.col("n") + F.greatest(F.col("n") * least, F.col("far_n"))) - F.least("shared", "far_shared")
     lacks = F.when(F.col("stays"), with_far).otherwise(F.col("bound") - F.col("shared"))
     need = F.greatest(F.lit(1), F.ceil(lacks - 1e-6).cast("int"))
     kept = F.when(F.col("stays") & F.col("far_n").isNull(), 0).otherwise(F.greatest(F.lit(0), F.col("lacking") - need + 1))
     return met.join(far, "leader", "left").select(
-        "leader", "unit", "n", "able", "shared", "lacking", F.slice("rest", F.lit(1), kept).alias("rest"), "stays")
+        "leader", "unit", "n", "able", "shared", "lacking", F.slice("rest", F.lit(1), kept).alias("rest"), "stays",
+        (F.col("stays") & (F.col("units") - F.coalesce("far_units", F.lit(0)) > 1)).alias("inside"))
 
 
 def _shingle_counts(texts: DataFrame) -> DataFrame:
@@ -319,7 +324,7 @@ def links_between(texts: DataFrame, members: DataFrame, least: float = SIMILARIT
         left = stored(left.groupBy("leader", "unit", "n", "able").agg(F.min("shortest").alias("shortest")))
         met = _met(left, result, least)
         bucket = lambda key, far: F.struct(key.alias("bucket"), far.alias("far"))
-        inside = F.when(F.col("stays"), F.array(bucket(F.xxhash64("leader"), F.lit(True))))
+        inside = F.when(F.col("inside"), F.array(bucket(F.xxhash64("leader"), F.lit(True))))
         outside = F.transform("rest", lambda shingle: bucket(F.xxhash64("leader", shingle), ~F.col("stays")))
         after = met.select("unit", "n", "able", F.col("shared").alias("common"), "lacking", F.xxhash64("leader").alias("owner"),
                            F.inline(F.concat(F.coalesce(inside, F.array_except(outside, outside)), outside)))

@@ -129,5 +129,5 @@ def test_open_members_need_shingles_only_for_others_that_their_leader_leaves_ope
     result = spark.createDataFrame(
         [(b"alone", b"a", 2, 4, [1, 2, 3, 4]), (b"near", b"b", 9, 1, [5]), (b"near", b"c", 9, 1, [6]), (b"far", b"d", 14, 6, [1, 2, 3, 4, 5, 6]),
          (b"far", b"e", 19, 1, [9])], "leader binary, unit binary, shared int, lacking int, rest array<long>")
-    got = {bytes(r.unit).decode(): (r.stays, r.rest) for r in N._met(left, result, 0.8).collect()}
-    assert got == {"b": (True, []), "c": (True, []), "d": (False, [1, 2, 3]), "e": (True, [])}
+    got = {bytes(r.unit).decode(): (r.stays, r.inside, r.rest) for r in N._met(left, result, 0.8).collect()}
+    assert got == {"b": (True, True, []), "c": (True, True, []), "d": (False, False, [1, 2, 3]), "e": (True, False, [])}
