@@ -29,7 +29,8 @@ TABLES, KEPT = 32, 5  # a pair at the threshold is missed with probability (1 -
 # Few shingles agree in five of their smallest less often than that, so texts of up to SHORT also get
 # tables of two; the lengths of a pair differ by a fifth, hence one of 64 or fewer has them on both sides.
 SHORT, SHORT_KEPT = 80, 2
-CELLS = 1 << 20  # a shingle's frequency among candidates is known by its cell
+CELLS = 1 << 20  # whether several candidates have a shingle is known by its cell, roughly
+PART = 1 << 16  # shingles of a leader's open members that one task counts at a time
 
 _WORD = re.compile(r"[^\W_]+")
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -162,13 +163,10 @@ def _sketches(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, "bucket long, unit binary, n int")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, least: float, commonness: Broadcast) -> DataFrame:
-    """``leader, unit, linked, shared, lacking, rest`` of each pair.
+def _compared(pairs: DataFrame, texts: DataFrame, least: float, cells: Broadcast) -> DataFrame:
+    """``leader, unit, linked, shared, rest`` of each pair ``leader, unit, routed``.
 
-    ``rest`` are shingles the leader lacks and another candidate may have, as many of
-    the rarest as another similar text that shares too few with the leader must meet
-    one of. The order is the same for all texts, which is all that this needs.
-    ``lacking`` is the number of shingles before the cut.
+    ``rest`` are the shingles of a routed unit that the leader lacks and another candidate may have.
     """
     sides = pairs.join(texts.select("unit", "text"), "unit").join(
         texts.select(F.col("unit").alias("leader"), F.col("text").alias("leader_text")), "leader")
@@ -177,24 +175,52 @@ def _compared(pairs: DataFrame, texts: DataFrame, least: float, commonness: Broa
         last, lead = None, None
         for batch in batches:
             rows = []
-            for leader, unit, text, leader_text in zip(batch["leader"], batch["unit"], batch["text"], batch["leader_text"]):
+            for leader, unit, routed, text, leader_text in zip(batch["leader"], batch["unit"], batch["routed"], batch["text"], batch["leader_text"]):
                 if last != leader:
                     last, lead = leader, shingles(leader_text)
                 own = shingles(text)
                 linked, shared = compare(lead, own, least)
-                rest = np.setdiff1d(own, lead, assume_unique=True)
-                common = commonness.value[(rest % np.uint64(CELLS)).astype(np.int64)]
-                rest, common = rest[common > 0], common[common > 0]
-                lacking = len(rest)
-                need = max(0, int(np.ceil(least * len(own) - 1e-9)) - shared)
-                rest = rest[np.lexsort((rest, common))]
-                if need:
-                    rest = rest[:max(0, len(rest) - need + 1)]
-                rows.append((leader, unit, linked, shared, lacking, rest.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["leader", "unit", "linked", "shared", "lacking", "rest"])
+                rest = np.setdiff1d(own, lead, assume_unique=True) if routed else own[:0]
+                rest = rest[cells.value[(rest % np.uint64(CELLS)).astype(np.int64)]]
+                rows.append((leader, unit, linked, shared, rest.view(np.int64)))
+            yield pd.DataFrame(rows, columns=["leader", "unit", "linked", "shared", "rest"])
 
-    return sides.select("leader", "unit", "text", "leader_text").mapInPandas(
-        run, "leader binary, unit binary, linked boolean, shared int, lacking int, rest array<long>")
+    return sides.select("leader", "unit", "routed", "text", "leader_text").mapInPandas(
+        run, "leader binary, unit binary, linked boolean, shared int, rest array<long>")
+
+
+def _held_by_others(left: DataFrame, result: DataFrame) -> DataFrame:
+    """``leader, unit, shared, lacking, rest`` of the members ``leader, unit, root`` that a leader leaves open.
+
+    ``rest`` are the shingles that the leader lacks and one of its open members of
+    another class has, those of fewest members first, ``lacking`` is their number. No
+    other shingle brings two classes together. The order is the same for all members
+    of a leader. A leader's shingles are dealt into parts of bounded size.
+    """
+    held = left.select("leader", "unit", "root").join(result.select("leader", "unit", "shared", "rest"), ["leader", "unit"])
+    parts = held.groupBy("leader").agg(F.ceil(F.sum(F.size("rest")) / PART).alias("parts"))
+    part = lambda shingle: F.pmod(F.xxhash64(shingle), F.col("parts"))
+    pieces = held.join(parts, "leader").withColumn("part", F.explode(F.array_distinct(F.transform("rest", part)))).select(
+        "leader", "part", "unit", "root", F.filter("rest", lambda shingle: part(shingle) == F.col("part")).alias("rest"))
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        classes = pd.factorize(group["root"])[0]
+        lengths = [len(x) for x in group["rest"]]
+        names, at, members = np.unique(np.concatenate(group["rest"].to_list()), return_inverse=True, return_counts=True)
+        lowest, highest = np.full(len(names), len(group)), np.full(len(names), -1)
+        np.minimum.at(lowest, at, np.repeat(classes, lengths))
+        np.maximum.at(highest, at, np.repeat(classes, lengths))
+        several = lowest < highest
+        each = [x[several[x]] for x in np.split(at, np.cumsum(lengths)[:-1])]
+        out = group[["leader", "unit"]].assign(members=[members[x] for x in each], rest=[names[x] for x in each])
+        return out[[len(x) > 0 for x in each]]
+
+    found = pieces.groupBy("leader", "part").applyInPandas(run, "leader binary, unit binary, members array<long>, rest array<long>")
+    ranked = found.groupBy("leader", "unit").agg(
+        F.sort_array(F.arrays_zip(F.flatten(F.collect_list("members")).alias("members"), F.flatten(F.collect_list("rest")).alias("shingle"))).alias("ranked"))
+    rest = F.transform("ranked", lambda x: x["shingle"])
+    return held.drop("root", "rest").join(ranked, ["leader", "unit"], "left").select(
+        "leader", "unit", "shared", F.coalesce(F.size(rest), F.lit(0)).alias("lacking"), F.coalesce(rest, F.array().cast("array<bigint>")).alias("rest"))
 
 
 def _shared_buckets(members: DataFrame) -> DataFrame:
@@ -270,11 +296,10 @@ def _shingle_counts(texts: DataFrame) -> DataFrame:
         F.sum("texts").alias("shingles"))
 
 
-def _commonness(counts: DataFrame) -> np.ndarray:
-    """Per cell the logarithm of its occurrences, 0 if no shingle of the cell is in two texts; ``CELLS`` bytes whatever the input."""
-    cells = counts.where("cell IS NOT NULL").select("cell", F.least(F.ceil(8 * F.log2("shingles")), F.lit(255)).cast("short").alias("rank")).toArrow()
-    out = np.zeros(CELLS, dtype=np.uint8)
-    out[cells["cell"].to_numpy()] = cells["rank"].to_numpy()
+def _shared_cells(counts: DataFrame) -> np.ndarray:
+    """Per cell whether one of its shingles is in two texts; ``CELLS`` bytes whatever the input."""
+    out = np.zeros(CELLS, dtype=bool)
+    out[counts.where("cell IS NOT NULL").select("cell").toArrow()["cell"].to_numpy()] = True
     return out
 
 
@@ -292,7 +317,7 @@ def links_between(texts: DataFrame, members: DataFrame, least: float = SIMILARIT
     """
     factor = least / (1 + least)
     counts = stored(_shingle_counts(texts))
-    commonness = texts.sparkSession.sparkContext.broadcast(_commonness(counts))
+    cells = texts.sparkSession.sparkContext.broadcast(_shared_cells(counts))
     own = counts.where("unit IS NOT NULL").select("unit", F.col("shingles").alias("own"))
     members = members.join(own, "unit", "left").select("bucket", "unit", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("able"), F.col("unit").alias("root"), F.lit(True).alias("far")).withColumns(
         {"common": F.col("able"), "lacking": F.col("able")})
@@ -312,22 +337,23 @@ def links_between(texts: DataFrame, members: DataFrame, least: float = SIMILARIT
         led = stored(members.join(leaders, "bucket").where(F.col("unit") != F.col("leader")).withColumn(
             "tried", enough & (F.col("root") != F.col("leader_root"))).where(F.col("tried") | (F.col("place") == 1)))
         routed = led.where((F.col("place") == 1) & (F.col("open") > most)).select("bucket", "leader", "unit", "n", "able", "shortest")
-        pairs = led.where("tried").select("leader", "unit").unionByName(routed.select("leader", "unit")).distinct()
-        result = stored(_compared(pairs, texts, least, commonness))
+        pairs = led.where("tried").select("leader", "unit", F.lit(False).alias("routed")).unionByName(
+            routed.select("leader", "unit", F.lit(True).alias("routed"))).groupBy("leader", "unit").agg(F.bool_or("routed").alias("routed"))
+        result = stored(_compared(pairs, texts, least, cells))
         roots = joined_components(roots, result.where("linked").select(F.col("leader").alias("a"), F.col("unit").alias("b")))
         left = routed.join(leaders.where(F.col("place") > 1).select("bucket", F.col("leader").alias("unit")), ["bucket", "unit"], "left_anti")
         # Buckets that this round's links have made one class hold nothing more to tell apart.
         left = left.join(roots, "unit", "left").withColumn("root", F.coalesce("root", "unit"))
         mixed = left.groupBy("bucket").agg(F.min("root").alias("lowest"), F.max("root").alias("highest")).where(F.col("lowest") < F.col("highest"))
-        left = left.drop("root").join(mixed.select("bucket"), "bucket")
+        left = left.join(mixed.select("bucket"), "bucket")
         # A pair meets in many tables; from here on it is one row.
-        left = stored(left.groupBy("leader", "unit", "n", "able").agg(F.min("shortest").alias("shortest")))
-        met = _met(left, result, least)
+        left = stored(left.groupBy("leader", "unit", "n", "able", "root").agg(F.min("shortest").alias("shortest")))
+        met = _met(left.drop("root"), stored(_held_by_others(left, result)), least)
         bucket = lambda key, far: F.struct(key.alias("bucket"), far.alias("far"))
         inside = F.when(F.col("inside"), F.array(bucket(F.xxhash64("leader"), F.lit(True))))
         outside = F.transform("rest", lambda shingle: bucket(F.xxhash64("leader", shingle), ~F.col("stays")))
-        after = met.select("unit", "n", "able", F.col("shared").alias("common"), "lacking", F.xxhash64("leader").alias("owner"),
-                           F.inline(F.concat(F.coalesce(inside, F.array_except(outside, outside)), outside)))
+        after = stored(met.select("unit", "n", "able", F.col("shared").alias("common"), "lacking", F.xxhash64("leader").alias("owner"),
+                                  F.inline(F.concat(F.coalesce(inside, F.array_except(outside, outside)), outside))))
         # Shingles of one passage have nearly the same texts: a leader's buckets with the same smallest member become one.
         marks = after.groupBy("bucket").agg(F.min(F.xxhash64("unit", F.lit(2))).alias("mark"), F.count(F.lit(1)).alias("texts"), F.bool_or("far").alias("any_far"))
         merged = F.when(F.col("bucket") == F.col("owner"), F.col("bucket")).otherwise(F.xxhash64("owner", "mark")).alias("bucket")

@@ -131,3 +131,37 @@ def test_open_members_need_shingles_only_for_others_that_their_leader_leaves_ope
          (b"far", b"e", 19, 1, [9])], "leader binary, unit binary, shared int, lacking int, rest array<long>")
     got = {bytes(r.unit).decode(): (r.stays, r.inside, r.rest) for r in N._met(left, result, 0.8).collect()}
     assert got == {"b": (True, True, []), "c": (True, True, []), "d": (False, False, [1, 2, 3]), "e": (True, False, [])}
+
+
+def test_members_keep_only_shingles_that_another_class_of_their_leader_has(spark, monkeypatch):
+    """Shingles of one member or one class are left out, the rest come rarest first, and parts give what the whole gives."""
+    left = spark.createDataFrame(
+        [(b"x", b"a", b"a"), (b"x", b"b", b"b"), (b"x", b"c", b"b"), (b"x", b"d", b"d"), (b"y", b"a", b"a"), (b"y", b"e", b"e")], "leader binary, unit binary, root binary")
+    result = spark.createDataFrame(
+        [(b"x", b"a", 7, [1, 2, 3, 10]), (b"x", b"b", 8, [2, 3, 4, 5]), (b"x", b"c", 9, [2, 4, 6]), (b"x", b"d", 6, []), (b"y", b"a", 5, [6, 8]), (b"y", b"e", 4, [8, 10]),
+         (b"z", b"a", 3, [1, 2])], "leader binary, unit binary, shared int, rest array<long>")
+    expected = {("x", "a"): (7, 2, [3, 2]), ("x", "b"): (8, 2, [3, 2]), ("x", "c"): (9, 1, [2]), ("x", "d"): (6, 0, []), ("y", "a"): (5, 1, [8]), ("y", "e"): (4, 1, [8])}
+    for part in (N.PART, 3):
+        monkeypatch.setattr(N, "PART", part)
+        rows = N._held_by_others(left, result).collect()
+        assert len(rows) == len(expected)
+        assert {(bytes(r.leader).decode(), bytes(r.unit).decode()): (r.shared, r.lacking, r.rest) for r in rows} == expected
+
+
+def test_shingles_that_only_other_groups_have_make_no_rows(docs, monkeypatch):
+    """Open members of one leader share its passage only; what each else shares is with texts of other groups."""
+    emitted = []
+    met = N._met
+
+    def counted(*args):
+        got = met(*args)
+        emitted.append(sum(len(r.rest) for r in got.collect()))
+        return got
+
+    monkeypatch.setattr(N, "_met", counted)
+    draw = random.Random(8)
+    words = lambda n: " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+    passages, tails = [words(60) for _ in range(4)], [words(15) for _ in range(20)]
+    pairs = [(100 * g + t, f"{passage} {tail}") for g, passage in enumerate(passages) for t, tail in enumerate(tails)]
+    assert sorted((tuple(r) for r in N.near_duplicate_classes(docs(pairs)).collect()), key=str) == brute(pairs)
+    assert emitted and sum(emitted) == 0
