@@ -15,6 +15,9 @@ from locusweave.functions.traits import decode_traits
 from locusweave.operators.hits import OTHER_ALIAS
 from locusweave.session import fits_broadcast
 
+PIECE_CELLS = 4_096  # cells of a motif matrix line that are handled as one row
+HEADER_BYTES = 32 * 1024 * 1024  # names of a motif matrix that may pass through the driver
+
 
 def _name_parts(file_name: Column, skip: int, drop: int) -> Column:
     parts = F.split(file_name, "_")
@@ -196,21 +199,42 @@ def read_motif_effects(spark: SparkSession, path: str) -> DataFrame:
     ])
 
 
-def motif_matrix_cells(header: DataFrame, lines: DataFrame) -> DataFrame:
+def _cell_pieces(fields: str) -> Column:
+    """All but the first of a line's fields as arrays of ``PIECE_CELLS``, one array at least."""
+    pieces = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(fields) - 2) / PIECE_CELLS).cast("int")))
+    return F.transform(pieces, lambda k: F.slice(fields, k * PIECE_CELLS + 2, PIECE_CELLS))
+
+
+def motif_matrix_cells(header: DataFrame, lines: DataFrame, matrix: str | None = None) -> DataFrame:
     """``variant, TF, score`` of a matrix given as text: one header line and one line per factor, in column ``value``.
 
-    Cells are taken apart by place and get their variant from the header by a join on
-    the place, so the plan is the same for any number of variants. An empty cell is
-    null; a line of another width than the header fails the read.
+    With ``matrix``, a column of both, there are many matrices, each with its header.
+    Lines are cut into pieces of ``PIECE_CELLS`` cells, which get their variants from
+    the same piece of the header by a join before they are taken apart, so the plan is the
+    same for any number of variants and what is shuffled is a row per piece. The
+    pieces of the headers are broadcast by their measured size or merged, never
+    broadcast because the planner takes a header for one short row. An empty cell
+    is null; a line of another width than the header fails the read.
     """
-    places = header.select(F.posexplode(F.split("value", "\t")).alias("place", "variant")).filter("place > 0")
-    places = F.broadcast(places) if fits_broadcast(places) else places
+    of = [matrix] if matrix else []
     fields = F.split("value", "\t")
-    width = places.count() + 1
-    checked = F.when(F.size(fields) == width, fields).otherwise(
-        F.raise_error(F.concat(F.lit(f"motif matrix should have {width} columns, found "), F.size(fields))))
-    cells = lines.select(checked.alias("fields")).select(F.col("fields")[0].alias("TF"), F.posexplode("fields").alias("place", "score"))
-    return cells.join(places, "place").select("variant", "TF", F.nullif("score", F.lit("")).alias("score"))
+    names = (
+        header.select(*of, fields.alias("_fields"))
+        .select(*of, F.size("_fields").alias("_width"), F.posexplode_outer(_cell_pieces("_fields")).alias("_piece", "variant"))
+    )
+    text_bytes = F.octet_length(F.array_join("variant", "")) + 16 * F.size("variant")
+    names = F.broadcast(names) if fits_broadcast(names, HEADER_BYTES, text_bytes) else names.hint("merge")
+    cells = (
+        lines.select(*of, fields.alias("_fields"))
+        .select(*of, F.col("_fields")[0].alias("TF"), F.size("_fields").alias("_found"),
+                F.posexplode_outer(_cell_pieces("_fields")).alias("_piece", "score"))
+    )
+    checked = F.when(F.col("_found") == F.col("_width"), F.arrays_zip("variant", "score")).otherwise(
+        F.raise_error(F.concat(F.lit("motif matrix should have "), "_width", F.lit(" columns, found "), "_found")))
+    return (
+        cells.join(names, [*of, "_piece"]).select("TF", F.inline(checked))
+        .select("variant", "TF", F.nullif("score", F.lit("")).alias("score"))
+    )
 
 
 def read_motif_matrix(spark: SparkSession, path: str) -> DataFrame:

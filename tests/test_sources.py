@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from conftest import rows
 from locusweave import schemas
 from locusweave.operators import hits, regions, tf_binding
+from locusweave.plans import catalog
+from locusweave.plans.fixtures import Tables
 from locusweave.sources import files, sinks
 
 
@@ -95,6 +97,46 @@ def test_motif_matrix_with_unnamed_first_column(spark, tmp_path):
         files.read_motif_matrix(spark, _write(tmp_path / "none.tsv", ""))
 
 
+@pytest.mark.parametrize("columns", [1, 4_096, 4_097, 9_000])
+def test_motif_matrix_names_are_not_broadcast_on_a_guess(spark, tmp_path, monkeypatch, columns):
+    text = "\t".join(["", *(f"v{i}" for i in range(columns))]) + "\n" + "\t".join(["TFA", *(f"{i}" for i in range(columns))]) + "\n"
+    path = _write(tmp_path / "wide.tsv", text)
+    want = sorted((f"v{i}", "TFA", f"{i}") for i in range(columns))
+    assert rows(files.read_motif_matrix(spark, path)) == want
+    monkeypatch.setattr(files, "fits_broadcast", lambda *a, **k: False)
+    cells = files.read_motif_matrix(spark, path)
+    assert rows(cells) == want
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_lines_meet_the_header_of_their_matrix(spark):
+    header = spark.createDataFrame([(1, "\ta\tb"), (2, "\tc")], "m int, value string")
+    lines = spark.createDataFrame([(1, "T\t1\t2"), (2, "T\t3"), (2, "U\t")], "m int, value string")
+    assert rows(files.motif_matrix_cells(header, lines, "m")) == [
+        ("a", "T", "1"), ("b", "T", "2"), ("c", "T", "3"), ("c", "U", None)]
+    odd = spark.createDataFrame([(2, "U\t1\t2")], "m int, value string")
+    with pytest.raises(Exception, match="2 columns, found 3"):
+        files.motif_matrix_cells(header, odd, "m").collect()
+
+
+def test_no_header_line_grows_with_the_variants(spark, monkeypatch):
+    seen = {}
+
+    def spy(header, lines, matrix=None):
+        seen["widths"] = [len(r.value.split("\t")) - 1 for r in header.select("value").collect()]
+        return files.motif_matrix_cells(header, lines, matrix)
+
+    monkeypatch.setattr(catalog, "MATRIX_VARIANTS", 20)
+    monkeypatch.setattr(catalog, "motif_matrix_cells", spy)
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    cells = catalog._matrix_cells(tables)
+    variants = tables.matrix_cells.select("variant").distinct().count()
+    assert sum(seen["widths"]) == variants and max(seen["widths"]) < 60 < variants
+    assert cells.count() == variants * catalog.FACTORS
+    assert rows(cells.filter("score IS NOT NULL"), "TF", "variant", "score") == rows(tables.matrix_cells, "TF", "variant", "score")
+
+
 def test_motif_matrix_of_many_variants_has_a_small_plan(spark, tmp_path):
     variants = [f"chr{1 + i % 22}:{i}G>T.{i % 3 + 1}" for i in range(20_000)]
     lines = ["\t".join(["", *variants])]
